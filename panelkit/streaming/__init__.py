@@ -1,0 +1,10 @@
+"""Aggregates that also run incrementally.
+
+They are plain group-bys, so a streaming DataFrame works as their input (output
+mode ``complete`` or ``update``). There are no operators of its own here.
+"""
+
+from panelkit.operators.evolution import period_evolution, region_evolution
+from panelkit.operators.metrics import actual_vs_predicted
+
+__all__ = ["actual_vs_predicted", "period_evolution", "region_evolution"]
