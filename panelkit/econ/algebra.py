@@ -40,4 +40,9 @@ def inverse(matrix: np.ndarray) -> np.ndarray:
 
 
 def generalised_inverse(matrix: np.ndarray) -> np.ndarray:
-    return np.linalg.pinv(matrix, hermitian=True)
+    """Pseudo-inverse of a moment matrix of deficient rank.
+
+    The cut-off lies far above rounding noise, which would otherwise count as a
+    direction of its own.
+    """
+    return np.linalg.pinv(matrix, rcond=1e-10, hermitian=True)

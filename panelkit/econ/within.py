@@ -97,7 +97,9 @@ class PanelFit:
     def predict(self, df: DataFrame, effects: str = "none") -> DataFrame:
         """Add ``y_pred``: the slopes only, or with the entity effects added.
 
-        An entity without an estimated effect gets the mean effect.
+        The effect of an entity is the mean of what the slopes leave of its
+        target, so it includes its average time effect. An entity without one
+        gets the mean over all entities.
         """
         if effects == "none":
             return df.withColumn("y_pred", self.linear_part())
