@@ -62,8 +62,9 @@ def exact_quantiles(
     (group, value) then gives every distinct value its ranks; the one or two
     values that cover the wanted rank are picked.
     """
-    by = list(by) or ["_all"]
-    base = df if by != ["_all"] else df.withColumn("_all", F.lit(0))
+    wanted_by = list(by)
+    by = wanted_by or ["_every"]
+    base = df if wanted_by else df.withColumn("_every", F.lit(0))
     counts = (
         base.where(F.col(value).isNotNull())
         .groupBy(*by, value)
@@ -88,9 +89,7 @@ def exact_quantiles(
         F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.max("_frac").alias("_frac")
     )
     quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
-    return picked.select(
-        *[c for c in by if c != "_all"], "prob", quantile.alias("quantile")
-    )
+    return picked.select(*wanted_by, "prob", quantile.alias("quantile"))
 
 
 def quantile_columns(
