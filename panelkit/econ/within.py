@@ -21,7 +21,7 @@ from panelkit.econ.algebra import generalised_inverse, inverse, moment_columns,
 from panelkit.functions.dist import t_two_sided
 from panelkit.functions.scalars import significance_label
 from panelkit.operators.reshape import complete_cases
-from panelkit.runtime import durable, lookup_side
+from panelkit.runtime import broadcast_if_small, lookup_side, stored
 from panelkit.spec import PanelSpec
 
 #: Periods up to which time effects enter as dummies (the matrix is T x T).
@@ -85,7 +85,7 @@ class PanelFit:
     def residuals(self) -> DataFrame:
         """Keys and residual ``e`` after both effects."""
         entity = self.spec.entity
-        return self.rows.join(lookup_side(self.row_effects), entity).select(
+        return self.rows.join(broadcast_if_small(self.row_effects), entity).select(
             *self.spec.keys, (F.col("e1") - F.col("_e1_mean")).alias("e")
         )
 
@@ -167,7 +167,7 @@ def _presence_products(
 
 
 def _deviations(sample: DataFrame, means: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
-    joined = sample.join(lookup_side(means), entity)
+    joined = sample.join(broadcast_if_small(means), entity)
     return joined.select(
         *sample.columns, *[(F.col(c) - F.col(f"_m_{c}")).alias(f"_d_{c}") for c in columns]
     )
@@ -193,7 +193,7 @@ def absorb_alternating(
                 *[c for c in df.columns if c not in columns],
                 *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in columns],
             )
-        current = durable(current)
+        current = stored(current)
         left = entity_means(current, spec.time, columns).agg(
             *[F.max(F.abs(f"_m_{c}")).alias(c) for c in columns]
         ).first()
@@ -218,10 +218,10 @@ def fit_two_way(
     terms = list(regressors or spec.features)
     y, entity, time = spec.target, spec.entity, spec.time
     columns = [y, *terms]
-    sample = durable(
+    sample = stored(
         complete_cases(df.select(*spec.keys, *[F.col(c).cast("double").alias(c) for c in columns]))
     )
-    means = durable(entity_means(sample, entity, columns))
+    means = stored(entity_means(sample, entity, columns))
     deviations = _deviations(sample, means, entity, columns)
     d_names = [f"_d_{c}" for c in columns]
     k = len(columns)
@@ -233,22 +233,22 @@ def fit_two_way(
             *[F.sum(d).alias(f"s_{i}") for i, d in enumerate(d_names)],
             *moment_columns(d_names),
         )
-        .orderBy(time)
     )
-    n_periods = sample.select(time).distinct().count()
+    m_names = [f"_m_{c}" for c in columns]
     between = means.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("_n").alias("rows"),
-        *moment_columns([f"_m_{c}" for c in columns]),
+        F.struct(*moment_columns(m_names)).alias("plain"),
+        F.struct(*moment_columns(m_names, F.col("_n"))).alias("weighted"),
     ).first()
-    raw_between = means.agg(*moment_columns([f"_m_{c}" for c in columns], F.col("_n"))).first()
     n_entities, n_obs = between["n"], between["rows"]
     if not n_obs:
         raise ValueError("no complete rows to estimate on")
-    between_moments = moment_matrix(between.asDict(), k)
+    between_moments = moment_matrix(between["plain"].asDict(), k)
+    rows = sorted(per_period.limit(max_dummies + 1).collect(), key=lambda r: r[time])
+    n_periods = len(rows)
 
     if n_periods <= max_dummies:
-        rows = per_period.collect()
         periods = [r[time] for r in rows]
         within = sum(moment_matrix(r.asDict(), k) for r in rows)
         by_period = np.array([[r[f"s_{i}"] for i in range(k)] for r in rows])
@@ -276,6 +276,7 @@ def fit_two_way(
         fitted = sum((F.col(f"_d_{t}") * F.lit(float(b)) for t, b in zip(terms, beta)), F.lit(0.0))
         e1 = F.col(f"_d_{y}") - fitted - F.col("_lambda")
     else:
+        n_periods = sample.select(time).distinct().count()
         within = moment_matrix(deviations.agg(*moment_columns(d_names)).first().asDict(), k)
         base = absorb_alternating(deviations.select(*spec.keys, *d_names), spec, d_names)
         partial = moment_matrix(base.agg(*moment_columns(d_names)).first().asDict(), k)
@@ -288,7 +289,7 @@ def fit_two_way(
     scored = base.select(
         *spec.keys, *[c.alias(f"z_{j}") for j, c in enumerate(z)], e1.alias("e1")
     )
-    scores = durable(
+    scores = stored(
         scored.groupBy(entity).agg(
             F.count(F.lit(1)).alias("_n"),
             F.avg("e1").alias("_e1_mean"),
@@ -321,7 +322,7 @@ def fit_two_way(
         left = total - 2 * beta @ moments[1:, 0] + beta @ moments[1:, 1:] @ beta
         return float(1 - left / total) if total > 0 else 0.0
 
-    raw = within + moment_matrix(raw_between.asDict(), k)
+    raw = within + moment_matrix(between["weighted"].asDict(), k)
     return PanelFit(
         spec=spec, terms=terms, beta=beta, cov=cov, cov_unadjusted=unadjusted,
         df_resid=int(df_resid), n_obs=int(n_obs), n_entities=int(n_entities),

@@ -97,10 +97,18 @@ def performance_tier(r2: Column | str) -> Column:
     return F.when(v >= 0.75, "excellent").when(v >= 0.65, "good").when(v.isNotNull(), "moderate")
 
 
-def array_median(values: Column) -> Column:
-    """Median of an array of non-null doubles (mean of the middle two)."""
-    ordered = F.array_sort(values)
-    n = F.size(ordered)
-    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
-    high = F.get(ordered, F.floor(n / 2).cast("int"))
-    return (low + high) / 2
+def median_of(values: Sequence[Column], least: int = 1) -> Column:
+    """Median of the non-null values of a few columns; null if fewer than ``least``.
+
+    The sorted values are bound to a lambda variable, so the expression names
+    every value once and stays small enough to compile well.
+    """
+
+    def middle(ordered: Column) -> Column:
+        n = F.size(ordered)
+        low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+        high = F.get(ordered, F.floor(n / 2).cast("int"))
+        return F.when(n >= max(least, 1), (low + high) / 2)
+
+    bound = F.array(F.sort_array(F.array_compact(F.array(*values))))
+    return F.get(F.transform(bound, middle), F.lit(0))

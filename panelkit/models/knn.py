@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from panelkit.models.scaling import ZScores
 from panelkit.operators.reshape import complete_cases
-from panelkit.runtime import durable, lookup_side
+from panelkit.runtime import lookup_side, stored
 from panelkit.spec import PanelSpec
 
 #: Points per pivot, most pivots, and the least size of a block.
@@ -219,7 +219,7 @@ def nearest_neighbours(
     )
     # of equal points only the first k keys can ever be among the nearest
     twins = Window.partitionBy(*dims).orderBy(*p_keys)
-    p = durable(
+    p = stored(
         p.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= k).drop("_twin")
     )
     n = p.count()
@@ -227,9 +227,9 @@ def nearest_neighbours(
         raise ValueError("no points to search")
     count = pivots or max(1, min(MAX_PIVOTS, n // POINTS_PER_PIVOT))
     centres = _choose_pivots(p, dims, count)
-    cut = durable(_cut_blocks(_assign_cells(p, dims, centres, metric), n))
+    cut = stored(_cut_blocks(_assign_cells(p, dims, centres, metric), n))
     blocks, layout = _number_blocks(cut, centres, k)
-    routed = durable(_route_queries(q, dims, layout, k, metric))
+    routed = stored(_route_queries(q, dims, layout, k, metric))
 
     chunks = routed.groupBy("block_id").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(QUERY_CHUNK)).cast("int").alias("_chunks")

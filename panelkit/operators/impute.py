@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Mapping, Sequence
+from statistics import median
 
 import numpy as np
 import pandas as pd
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.functions.scalars import array_median
+from panelkit.functions.scalars import median_of
 from panelkit.operators.ordered import CHUNK, add_last_observed, add_neighbours, exact_quantiles
 from panelkit.spec import PanelSpec
 
@@ -27,12 +29,14 @@ def global_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     return {r["column"]: r["quantile"] for r in rows}
 
 
-def _window_median(neighbours: Column, time: Column, column: str, radius: int) -> Column:
-    near = F.filter(
-        neighbours,
-        lambda s: (F.abs(s["at"] - time) <= radius) & s[column].isNotNull(),
-    )
-    return F.when(F.size(near) >= MIN_VALUES, array_median(F.transform(near, lambda s: s[column])))
+def _window_median(near: Mapping[int, str], time: Column, column: str, radius: int) -> Column:
+    """Median of the observed values within ``radius`` periods, if there are enough."""
+    values = [
+        F.when(F.abs(F.col(f"{name}.at") - time) <= radius, F.col(f"{name}.{column}"))
+        for offset, name in near.items()
+        if abs(offset) <= radius
+    ]
+    return median_of(values, MIN_VALUES)
 
 
 def impute_window_median(
@@ -53,11 +57,11 @@ def impute_window_median(
     """
     columns = list(columns or spec.features)
     medians = global_medians(fit_on if fit_on is not None else df, columns)
-    near = add_neighbours(df, spec, columns, max(radii), "_near", chunk)
+    around, near = add_neighbours(df, spec, columns, max(radii), chunk)
     time = F.col(spec.time)
     fills, marks = {}, {}
     for c in columns:
-        tries = [_window_median(F.col("_near"), time, c, r) for r in radii]
+        tries = [_window_median(near, time, c, r) for r in radii]
         overall = F.lit(medians.get(c)).cast("double")
         fills[c] = F.when(F.col(c).isNotNull(), F.col(c)).otherwise(
             F.coalesce(*tries, overall)
@@ -69,7 +73,7 @@ def impute_window_median(
     kept = [F.col(c) if c not in fills else fills[c].alias(c) for c in df.columns]
     if stages:
         kept += [m.cast("int").alias(name) for name, m in marks.items()]
-    return near.select(*kept)
+    return around.select(*kept)
 
 
 def impute_report(staged: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -81,17 +85,21 @@ def impute_report(staged: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_series(
-    periods: np.ndarray, values: np.ndarray, radii: Sequence[int], overall: float
-) -> np.ndarray:
+    periods: Sequence[int],
+    values: Sequence[float | None],
+    radii: Sequence[int],
+    overall: float | None,
+) -> list[float | None]:
     """Fill one entity's ordered series; earlier fills feed the later windows."""
-    out = values.astype("float64").copy()
-    for i in np.flatnonzero(np.isnan(out)):
+    out = list(values)
+    for i, value in enumerate(values):
+        if value is not None:
+            continue
         for r in radii:
-            lo, hi = np.searchsorted(periods, [periods[i] - r, periods[i] + r + 1])
-            seen = out[lo:hi]
-            seen = seen[~np.isnan(seen)]
-            if seen.size >= MIN_VALUES:
-                out[i] = np.median(seen)
+            window = out[bisect_left(periods, periods[i] - r) : bisect_right(periods, periods[i] + r)]
+            seen = [v for v in window if v is not None]
+            if len(seen) >= MIN_VALUES:
+                out[i] = median(seen)
                 break
         else:
             out[i] = overall
@@ -108,21 +116,41 @@ def impute_sequential(
 
     A fill can depend on all earlier ones of its entity, so an entity is handled
     as a whole. That needs declared ``period_bounds``, which bound its rows.
+    Tasks stream over entities in order and hold one batch at a time.
     """
     if spec.period_bounds is None:
         raise ValueError("sequential imputation needs a PanelSpec with period_bounds")
     columns = list(columns or spec.features)
     medians = global_medians(df, columns)
-    time = spec.time
+    entity, time = spec.entity, spec.time
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time)
-        periods = pdf[time].to_numpy()
+        names = pdf[entity].to_numpy()
+        starts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)]
+        periods = pdf[time].tolist()
+        filled = {}
         for c in columns:
-            pdf[c] = fill_series(
-                periods, pdf[c].to_numpy(dtype="float64"), radii, medians.get(c, np.nan)
-            )
-        return pdf
+            values = [None if v != v else v for v in pdf[c].astype("float64").tolist()]
+            done: list[float | None] = []
+            for lo, hi in zip(starts, starts[1:]):
+                done += fill_series(periods[lo:hi], values[lo:hi], radii, medians.get(c))
+            filled[c] = pd.Series(done, index=pdf.index, dtype="float64")
+        return pdf.assign(**filled)
+
+    def whole_entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Cut the ordered stream between entities, never inside one."""
+        rest = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            same = (rest[entity] == rest[entity].iloc[-1]).to_numpy()
+            cut = int(same.argmax())  # rows of the last entity may continue
+            if cut:
+                yield fill(rest.iloc[:cut])
+                rest = rest.iloc[cut:]
+        if rest is not None:
+            yield fill(rest)
 
     schema = T.StructType(
         [
@@ -130,7 +158,10 @@ def impute_sequential(
             for f in df.schema.fields
         ]
     )
-    return df.where(spec.within_bounds()).groupBy(spec.entity).applyInPandas(fill, schema)
+    ordered = (
+        df.where(spec.within_bounds()).repartition(entity).sortWithinPartitions(entity, time)
+    )
+    return ordered.mapInPandas(whole_entities, schema)
 
 
 def forward_fill(

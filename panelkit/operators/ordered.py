@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.runtime import durable, lookup_side
+from panelkit.runtime import lookup_side, stored
 from panelkit.spec import PanelSpec
 
 #: Periods per chunk. Periods are 32-bit integers, so an entity has at most
@@ -21,6 +21,12 @@ from panelkit.spec import PanelSpec
 CHUNK = 1 << 16
 
 
+def _range_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Write the rows in ranges of ``order``, with the range number as ``_part``."""
+    ranged = df.repartitionByRange(*[F.col(c) for c in order])
+    return stored(ranged.withColumn("_part", F.spark_partition_id()))
+
+
 def running_total(
     df: DataFrame, order: Sequence[str], weight: Column | str, out: str
 ) -> DataFrame:
@@ -30,13 +36,8 @@ def running_total(
     partition is summed on its own, and the few partition totals are added up
     to give every partition its starting value.
     """
-    keep = df.columns
-    ranged = (
-        df.withColumn("_w", F.col(weight) if isinstance(weight, str) else weight)
-        .repartitionByRange(*[F.col(c) for c in order])
-        .withColumn("_part", F.spark_partition_id())
-    )
-    fixed = durable(ranged)
+    weight = F.col(weight) if isinstance(weight, str) else weight
+    fixed = _range_parts(df.withColumn("_w", weight), order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = fixed.groupBy("_part").agg(F.sum("_w").alias("_sum")).select(
         "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")
@@ -49,7 +50,7 @@ def running_total(
     return (
         fixed.withColumn("_inside", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
         .join(F.broadcast(starts), "_part")  # one row per range partition
-        .select(*keep, (F.col("_base") + F.col("_inside")).alias(out))
+        .select(*df.columns, (F.col("_base") + F.col("_inside")).alias(out))
     )
 
 
@@ -58,9 +59,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group: (by..., prob, quantile).
 
-    Equal values are counted first, so ties cost one row. A running total over
-    (group, value) then gives every distinct value its ranks; the one or two
-    values that cover the wanted rank are picked.
+    Equal values are counted first, so ties cost one row, and the counts are
+    range-partitioned by (group, value). The totals per group and range tell
+    which range holds a wanted rank; only those ranges are sorted.
     """
     wanted_by = list(by)
     by = wanted_by or ["_every"]
@@ -70,23 +71,36 @@ def exact_quantiles(
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = running_total(counts, [*by, value], "_n", "_start")
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    targets = (
-        ranked.groupBy(*by)
-        .agg(F.min("_start").alias("_first"), F.sum("_n").alias("_total"))
-        .withColumn("prob", wanted)
-        .withColumn("_at", F.col("prob") * (F.col("_total") - 1))
-        .withColumn("_low", F.col("_first") + F.floor("_at"))
-        .withColumn("_high", F.col("_first") + F.ceil("_at"))
-        .withColumn("_frac", F.col("_at") - F.floor("_at"))
-    )
-    targets = lookup_side(targets)
-    covers_low = F.col("_low").between(F.col("_start"), F.col("_start") + F.col("_n") - 1)
-    covers_high = F.col("_high").between(F.col("_start"), F.col("_start") + F.col("_n") - 1)
-    hits = ranked.join(targets, by).where(covers_low | covers_high)
-    picked = hits.groupBy(*by, "prob").agg(
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.max("_frac").alias("_frac")
+    ranges = _range_parts(counts, [*by, value])
+
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("prob") * (F.col("_total") - 1)
+    ends = F.col("_base") + F.col("_sum")
+    wanted = lookup_side(
+        ranges.groupBy(*by, "_part")
+        .agg(F.sum("_n").alias("_sum"))
+        .withColumn("_base", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+        .withColumn("_total", F.sum("_sum").over(group))
+        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        .withColumn("_low", F.floor(at))
+        .withColumn("_high", F.ceil(at))
+        .withColumn("_frac", at - F.floor(at))
+        .where((F.col("_low") < ends) & (F.col("_high") >= F.col("_base")))
+    )
+    up_to_here = (
+        Window.partitionBy(*by, "_part", "prob")
+        .orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    last = F.col("_base") + F.col("_run") - 1  # rank of the last copy of this value
+    first = last - F.col("_n") + 1
+    picked = (
+        ranges.join(wanted, [*by, "_part"])
+        .withColumn("_run", F.sum("_n").over(up_to_here))
+        .where(F.col("_low").between(first, last) | F.col("_high").between(first, last))
+        .groupBy(*by, "prob")
+        .agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.max("_frac").alias("_frac"))
     )
     quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")
     return picked.select(*wanted_by, "prob", quantile.alias("quantile"))
@@ -184,35 +198,32 @@ def add_last_observed(
 
 
 def add_neighbours(
-    df: DataFrame, spec: PanelSpec, columns: Sequence[str], radius: int, out: str,
-    chunk: int = CHUNK,
-) -> DataFrame:
-    """Add ``out``: an array of structs with the other rows within ``radius`` periods.
+    df: DataFrame, spec: PanelSpec, columns: Sequence[str], radius: int, chunk: int = CHUNK
+) -> tuple[DataFrame, dict[int, str]]:
+    """Add the rows up to ``radius`` places before and after as struct columns.
 
-    (entity, period) is a key and periods are integers, so no row has more than
-    ``radius`` such rows on either side and fixed offsets reach them all. Chunked
+    Returns the frame and the column name per offset. Each struct holds the
+    period as ``at`` and the columns. As (entity, period) is a key and periods
+    are integers, every row within ``radius`` periods is among them. Chunked
     panels copy the rows near a chunk border into the next chunk as well.
     """
+    # the columns travel inside one struct, so nothing is shuffled twice
     payload = F.struct(F.col(spec.time).alias("at"), *[F.col(c) for c in columns])
-    home = df.columns
+    packed = df.select(*[c for c in df.columns if c not in columns], payload.alias("_row"))
+    unpacked = [F.col(f"_row.{c}").alias(c) if c in columns else F.col(c) for c in df.columns]
+    names = {o: f"_near_{o + radius}" for o in range(-radius, radius + 1) if o}
+
+    def neighbours(window) -> list[Column]:
+        return [F.lead("_row", o).over(window).alias(c) for o, c in names.items()]
+
     if spec.period_bounds is not None:
-        window, source = spec.window(), df
-    else:
-        window = Window.partitionBy(spec.entity, "_chunk").orderBy(spec.time)
-        first = F.floor((F.col(spec.time) - radius) / F.lit(chunk)).cast("int")
-        last = F.floor((F.col(spec.time) + radius) / F.lit(chunk)).cast("int")
-        source = df.withColumn("_home", _chunk(spec, chunk)).withColumn(
-            "_chunk", F.explode(F.sequence(first, last))
-        )
-    offsets = [o for o in range(-radius, radius + 1) if o]
-    around = source.withColumns(
-        {f"_o{i}": F.lag(payload, o).over(window) for i, o in enumerate(offsets)}
-    )
-    if spec.period_bounds is None:
-        around = around.where(F.col("_chunk") == F.col("_home"))
-    everything = F.array(*[F.col(f"_o{i}") for i in range(len(offsets))])
-    near = F.filter(
-        everything,
-        lambda s: s.isNotNull() & (F.abs(s["at"] - F.col(spec.time)) <= radius),
+        return packed.select("*", *neighbours(spec.window())).select(*unpacked, *names.values()), names
+
+    window = Window.partitionBy(spec.entity, "_chunk").orderBy(spec.time)
+    first = F.floor((F.col(spec.time) - radius) / F.lit(chunk)).cast("int")
+    last = F.floor((F.col(spec.time) + radius) / F.lit(chunk)).cast("int")
+    copies = packed.withColumn("_home", _chunk(spec, chunk)).withColumn(
+        "_chunk", F.explode(F.sequence(first, last))
     )
-    return around.select(*home, near.alias(out))
+    around = copies.select("*", *neighbours(window)).where(F.col("_chunk") == F.col("_home"))
+    return around.select(*unpacked, *names.values()), names

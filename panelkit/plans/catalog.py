@@ -25,7 +25,7 @@ from panelkit.models.search import QUICK_GRIDS, SearchResult, cross_validate, gr
 from panelkit.models.training import PanelRegressor, train_all
 from panelkit.operators import evolution, impute, metrics, quality, reshape, stats, temporal
 from panelkit.operators.ordered import add_previous
-from panelkit.runtime import checkpoint_dir, durable, ship_package
+from panelkit.runtime import scratch_dir, ship_package, stored
 from panelkit.sources import files, sinks
 from panelkit.sources.panels import (
     CUSTOMER_YEAR, EVENT_TYPES, NATION_MONTH, USER_DAY, customer_year, nation_month, sales_wide,
@@ -66,8 +66,8 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder next to the session's checkpoints, which all executors share."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder in the shared scratch space."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # -- panels and scans ---------------------------------------------------------
@@ -669,7 +669,7 @@ def result_report(spark, folder):
 
 
 def _split_customers(spark, folder) -> tuple[DataFrame, DataFrame]:
-    panel = durable(reshape.complete_cases(customer_year(spark, folder)))
+    panel = stored(reshape.complete_cases(customer_year(spark, folder)))
     return temporal.split_at(panel, CY, TRAIN_YEAR)
 
 

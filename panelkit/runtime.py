@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +33,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage.
+def scratch_dir(spark: SparkSession) -> str:
+    """Where this application keeps its intermediate tables."""
+    return f"{checkpoint_dir(spark)}/panelkit-{spark.sparkContext.applicationId}"
+
 
-    Used where later steps must see exactly the same rows in the same
-    partitions even if an executor is lost and its tasks run again.
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For row-sized intermediates that several steps read: they stay compressed
+    and columnar, each step only reads its columns, and all of them see the same
+    rows even if an executor is lost and its tasks run again.
     """
+    path = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; call it when done."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Checkpoint a small table, such as one row per group or period."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
