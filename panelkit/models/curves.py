@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from panelkit.models.regressors import fit_regressor
 from panelkit.models.search import SearchResult, cross_validate
 from panelkit.operators.metrics import r_squared
 from panelkit.operators.reshape import complete_cases
+from panelkit.runtime import run_jobs
 from panelkit.spec import PanelSpec
 
 #: Shares of the training rows at which a curve is taken.
@@ -26,6 +28,7 @@ def learning_curve(
     shares: Sequence[float] = SHARES,
     k: int = 3,
     seed: int = 42,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Scores of growing training sets: mean and std (ddof 0) over the folds.
 
@@ -41,27 +44,35 @@ def learning_curve(
         .withColumn("fold", fold_of(F.col("position"), n, k))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    out = []
-    for kind, params in kinds.items():
-        for fold, (start, end) in enumerate(bounds):
-            place = F.when(F.col("position") < start, F.col("position")).otherwise(
-                F.col("position") - (end - start)
-            )
-            outside = F.col("fold") != fold
-            for share in shares:
-                size = max(1, int(share * (n - (end - start))))
-                chosen = outside & (place < size)
-                fitted = fit_regressor(kind, data.where(chosen), spec, params)
-                used = data.where(chosen | ~outside)
-                sides = (
-                    fitted.predict(used)
-                    .select(outside.alias("train"), F.col(spec.target).alias("y_true"), "y_pred")
-                    .groupBy("train")
-                    .agg(r_squared().alias("r2"))
-                    .collect()
-                )
-                by_side = {r["train"]: r["r2"] for r in sides}
-                out.append((kind, float(share), size, fold, by_side.get(True), by_side.get(False)))
+
+    def score(kind: str, params: dict, fold: int, share: float) -> tuple:
+        start, end = bounds[fold]
+        # place of a row among those outside the fold
+        place = F.when(F.col("position") < start, F.col("position")).otherwise(
+            F.col("position") - (end - start)
+        )
+        outside = F.col("fold") != fold
+        size = max(1, int(share * (n - (end - start))))
+        chosen = outside & (place < size)
+        fitted = fit_regressor(kind, data.where(chosen), spec, params)
+        sides = (
+            fitted.predict(data.where(chosen | ~outside))
+            .select(outside.alias("train"), F.col(spec.target).alias("y_true"), "y_pred")
+            .groupBy("train")
+            .agg(r_squared().alias("r2"))
+            .collect()
+        )
+        by_side = {r["train"]: r["r2"] for r in sides}
+        return kind, float(share), size, fold, by_side.get(True), by_side.get(False)
+
+    out = run_jobs(
+        train.sparkSession,
+        [
+            partial(score, kind, params, fold, share)
+            for kind, params in kinds.items() for fold in range(k) for share in shares
+        ],
+        parallelism,
+    )
     data.unpersist()
     table = train.sparkSession.createDataFrame(
         out,

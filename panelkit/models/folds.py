@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.operators.ordered import running_total
+from panelkit.operators.ordered import rows_at, running_total
 from panelkit.spec import PanelSpec
 
 
@@ -26,27 +26,41 @@ def fold_bounds(n: int, k: int) -> list[tuple[int, int]]:
     return list(zip(starts, starts[1:]))
 
 
-def with_position(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
-    """Add the 0-based place of each row in the order of a unique key."""
-    return running_total(df, order, F.lit(1), out)
+def ordered_folds(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
+    """Add ``fold``: k blocks of rows in the order of a unique key.
+
+    The keys where the folds begin are looked up, and every row is compared with
+    those k - 1 literals. So the rows themselves are not moved.
+    """
+
+    def starts(n: int) -> list[int]:
+        return [start for start, end in fold_bounds(n, k)[1:] if start < end]
+
+    _, borders = rows_at(df, order, starts)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c) for c in order])
+    fold = F.lit(0)
+    for border in borders:
+        edge = F.struct(*[F.lit(border[c]).cast(types[c]).alias(c) for c in order])
+        fold = fold + (key >= edge).cast("int")
+    return df.withColumn("fold", fold)
 
 
 def contiguous_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
     """Blocks of rows in (entity, period) order."""
-    placed = with_position(df, spec.keys, "_pos")
-    return placed.withColumn("fold", fold_of(F.col("_pos"), df.count(), k)).drop("_pos")
+    return ordered_folds(df, spec.keys, k)
 
 
-def shuffled_positions(df: DataFrame, spec: PanelSpec, seed: int = 42) -> DataFrame:
-    """Add ``position`` in a seeded pseudo-random order of the keys."""
+def shuffled_folds(df: DataFrame, spec: PanelSpec, k: int = 5, seed: int = 42) -> DataFrame:
+    """Equal folds in a seeded pseudo-random order."""
     mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *spec.keys))
-    return with_position(mixed, ["_mix", *spec.keys]).drop("_mix")
+    return ordered_folds(mixed, ["_mix", *spec.keys], k).drop("_mix")
 
 
-def shuffled_folds(df: DataFrame, spec: PanelSpec, k: int = 5, seed: int = 42) -> DataFrame:
-    """Equal folds in a seeded pseudo-random order."""
-    placed = shuffled_positions(df, spec, seed)
-    return placed.withColumn("fold", fold_of(F.col("position"), df.count(), k)).drop("position")
+def shuffled_positions(df: DataFrame, spec: PanelSpec, seed: int = 42) -> DataFrame:
+    """Add the 0-based ``position`` in a seeded pseudo-random order of the keys."""
+    mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *spec.keys))
+    return running_total(mixed, ["_mix", *spec.keys], F.lit(1), "position").drop("_mix")
 
 
 def entity_folds(df: DataFrame, spec: PanelSpec, k: int = 5, seed: int = 42) -> DataFrame:

@@ -26,10 +26,13 @@ from panelkit.spec import PanelSpec
 
 #: Points per pivot, most pivots, and the least size of a block.
 POINTS_PER_PIVOT, MAX_PIVOTS, MIN_BLOCK = 2_000, 256, 4_096
-#: Most blocks; their table of distances is kept on the driver.
-MAX_BLOCKS = 20_000
+#: Most rings per cell, and about how many blocks there may be; a table of them
+#: is kept on the driver.
+MAX_RINGS, MAX_BLOCKS = 64, 20_000
 #: Queries that meet a block in one task, and rows of one distance matrix.
 QUERY_CHUNK, SLICE = 20_000, 512
+#: Cells of the query x block matrix that is held at a time.
+ROUTE_CELLS = 4_000_000
 #: Distances are compared after rounding, so float noise cannot reorder ties.
 DECIMALS = 9
 SLACK = 1e-6
@@ -85,32 +88,40 @@ def _assign_cells(points: DataFrame, dims: list[str], pivots: np.ndarray, metric
 def _cut_blocks(assigned: DataFrame, n: int) -> DataFrame:
     """Add ``block``: rings of similar pivot distance, oversized rings split by hash."""
     target = max(MIN_BLOCK, -(-n // MAX_BLOCKS))
-    sizes = assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("_cell_n"))
-    most = sizes.agg(F.max("_cell_n")).first()[0]
-    rings = int(-(-most // target))
-    if rings == 1:
-        return assigned.withColumn("block", F.struct("cell", F.lit(0).alias("ring"), F.lit(0).alias("part")))
+    per_cell = F.least(F.ceil(F.count(F.lit(1)) / F.lit(target)), F.lit(MAX_RINGS)).cast("int")
+    sizes = lookup_side(assigned.groupBy("cell").agg(per_cell.alias("_rings")))
+    most = sizes.agg(F.max("_rings")).first()[0]
+    if most == 1:  # no cell is larger than a block
+        return assigned.withColumn(
+            "block", F.struct("cell", F.lit(0).alias("ring"), F.lit(0).alias("part"))
+        )
     cuts = lookup_side(
         assigned.groupBy("cell").agg(
             F.percentile_approx(
-                "to_pivot", [(i + 1) / rings for i in range(rings - 1)], max(10 * rings, 100)
+                "to_pivot", [(i + 1) / most for i in range(most - 1)], 10 * most
             ).alias("_cuts")
-        )
+        ).join(sizes, "cell")
     )
+    fine = F.size(F.filter("_cuts", lambda c: c < F.col("to_pivot")))
     ringed = assigned.join(cuts, "cell").withColumn(
-        "ring", F.size(F.filter("_cuts", lambda c: c < F.col("to_pivot")))
+        "ring", F.floor(fine * F.col("_rings") / F.lit(most)).cast("int")
     )
+    return _split_large(ringed.drop("_cuts", "_rings"), target)
+
+
+def _split_large(ringed: DataFrame, target: int) -> DataFrame:
+    """Add ``block``, splitting rings of more than two targets by hash of the key."""
     ring_sizes = lookup_side(
         ringed.groupBy("cell", "ring").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(2 * target)).cast("int").alias("_parts")
         )
     )
-    keys = [c for c in assigned.columns if c.startswith("p_")]
+    keys = [c for c in ringed.columns if c.startswith("p_")]
     return (
         ringed.join(ring_sizes, ["cell", "ring"])
         .withColumn("part", F.pmod(F.xxhash64(*keys), F.col("_parts")).cast("int"))
         .withColumn("block", F.struct("cell", "ring", "part"))
-        .drop("ring", "part", "_cuts", "_parts")
+        .drop("ring", "part", "_parts")
     )
 
 
@@ -150,9 +161,10 @@ def _route_queries(
     schema = T.StructType([*queries.schema.fields, T.StructField("block_id", T.IntegerType())])
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = max(1, min(SLICE, ROUTE_CELLS // len(layout.cell)))
         for batch in batches:
-            for start in range(0, len(batch), SLICE):
-                part = batch.iloc[start : start + SLICE]
+            for start in range(0, len(batch), rows):
+                part = batch.iloc[start : start + rows]
                 to_pivot = distances(part[dims].to_numpy(dtype="float64"), layout.pivots, metric)
                 upper = (to_pivot[:, :, None] + layout.near[None]).reshape(len(part), -1)
                 reach = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else None
@@ -227,7 +239,8 @@ def nearest_neighbours(
         raise ValueError("no points to search")
     count = pivots or max(1, min(MAX_PIVOTS, n // POINTS_PER_PIVOT))
     centres = _choose_pivots(p, dims, count)
-    cut = stored(_cut_blocks(_assign_cells(p, dims, centres, metric), n))
+    assigned = stored(_assign_cells(p, dims, centres, metric))
+    cut = stored(_cut_blocks(assigned, n))
     blocks, layout = _number_blocks(cut, centres, k)
     routed = stored(_route_queries(q, dims, layout, k, metric))
 

@@ -7,11 +7,10 @@ import json
 import math
 import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -20,6 +19,7 @@ from panelkit.models.folds import contiguous_folds
 from panelkit.models.regressors import Fitted, fit_regressor, metric_of
 from panelkit.operators.metrics import r_squared
 from panelkit.operators.reshape import complete_cases
+from panelkit.runtime import run_jobs
 from panelkit.spec import PanelSpec
 
 # The full default grid of each regressor.
@@ -220,20 +220,20 @@ class SearchResult:
         )
 
 
-def _scores_by_side(scored: DataFrame, by: Sequence[str]) -> list:
-    return scored.groupBy(*by).agg(r_squared().alias("r2")).collect()
-
-
-def _fold_scores(
-    kind: str, data: DataFrame, spec: PanelSpec, params: dict, fold: int
-) -> tuple[float, float]:
+def _candidate_scores(
+    kind: str, data: DataFrame, spec: PanelSpec, candidate: int, params: dict, fold: int
+) -> list[tuple[int, int, float, float]]:
     """R2 on the training rows and on the held-out rows, from one scoring pass."""
     fitted = fit_regressor(kind, data.where(F.col("fold") != fold), spec, params)
-    scored = fitted.predict(data).select(
-        (F.col("fold") == fold).alias("held"), F.col(spec.target).alias("y_true"), "y_pred"
+    sides = (
+        fitted.predict(data)
+        .select((F.col("fold") == fold).alias("held"), F.col(spec.target).alias("y_true"), "y_pred")
+        .groupBy("held")
+        .agg(r_squared().alias("r2"))
+        .collect()
     )
-    by_side = {r["held"]: r["r2"] for r in _scores_by_side(scored, ["held"])}
-    return by_side.get(False), by_side.get(True)
+    by_side = {r["held"]: r["r2"] for r in sides}
+    return [(candidate, fold, by_side.get(False), by_side.get(True))]
 
 
 def _knn_scores(
@@ -291,22 +291,19 @@ def cross_validate(
     data = complete_cases(rows.select(*spec.keys, spec.target, *spec.features, "fold"))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     folds = sorted(r["fold"] for r in data.select("fold").distinct().collect())
-    spark = train.sparkSession
 
     if kind == "knn":
         metrics = sorted({metric_of(c) for c in candidates})
         tasks = [
-            (lambda m=m, f=f: _knn_scores(data, spec, candidates, m, f))
-            for m in metrics for f in folds
+            partial(_knn_scores, data, spec, candidates, m, f) for m in metrics for f in folds
         ]
     else:
         tasks = [
-            (lambda i=i, c=c, f=f: [(i, f, *_fold_scores(kind, data, spec, c, f))])
+            partial(_candidate_scores, kind, data, spec, i, c, f)
             for i, c in enumerate(candidates) for f in folds
         ]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        jobs = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
-        scores = sorted(row for job in jobs for row in job.result())
+    done = run_jobs(train.sparkSession, tasks, parallelism)
+    scores = sorted(row for rows_ in done for row in rows_)
     result = SearchResult(kind, candidates, scores, 0, None, train)
     result.best = max(range(len(candidates)), key=lambda c: (result._mean(c, 3), -c))
     if refit:

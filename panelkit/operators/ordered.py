@@ -8,9 +8,9 @@ into chunks of periods.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from panelkit.runtime import lookup_side, stored
@@ -54,6 +54,35 @@ def running_total(
     )
 
 
+def rows_at(
+    df: DataFrame, order: Sequence[str], places: Callable[[int], Sequence[int]]
+) -> tuple[int, list[Row]]:
+    """The row count and the keys at some 0-based places of the order.
+
+    ``places`` maps the row count to the places. Only the key columns are moved,
+    and only the ranges that hold a wanted place are sorted.
+    """
+    ranges = _range_parts(df.select(*order), order)
+    sizes = sorted(ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(r["n"] for r in sizes)
+    wanted = []
+    for place in places(n):
+        base = 0
+        for part, size in sizes:
+            if base <= place < base + size:
+                wanted.append((part, place - base + 1))
+            base += size
+    if not wanted:
+        return n, []
+    numbered = ranges.where(F.col("_part").isin(sorted({p for p, _ in wanted}))).withColumn(
+        "_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    )
+    hit = F.lit(False)
+    for part, row in wanted:
+        hit = hit | ((F.col("_part") == part) & (F.col("_row") == row))
+    return n, numbered.where(hit).orderBy(*order).select(*order).collect()
+
+
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import ratio
 from panelkit.operators.ordered import exact_quantiles
+from panelkit.runtime import broadcast_if_small, stored
 from panelkit.spec import PanelSpec
 
 #: Highest share of empty feature cells an entity may have.
@@ -48,9 +49,14 @@ def missing_by_entity(
 def coverage_filter(
     df: DataFrame, spec: PanelSpec, limit: float = MAX_MISSING, count_time: bool = False
 ) -> DataFrame:
-    """Keep the entities whose share of empty feature cells is at most ``limit``."""
-    kept = missing_by_entity(df, spec, count_time).where(F.col("share") <= limit)
-    return whitelist_entities(df, spec, kept)
+    """Keep the entities whose share of empty feature cells is at most ``limit``.
+
+    The list of kept entities is written first. If it is small it is broadcast
+    and the rows are not shuffled; else Spark shuffles and splits hot entities.
+    """
+    share = missing_by_entity(df, spec, count_time)
+    kept = stored(share.where(F.col("share") <= limit).select(spec.entity))
+    return whitelist_entities(df, spec, broadcast_if_small(kept))
 
 
 def null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:

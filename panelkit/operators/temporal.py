@@ -137,24 +137,12 @@ def latest_delta(
     with_before = add_previous(
         df.select(*spec.keys, value), spec, {"_before": value, "_then": spec.time}, 1, chunk
     )
+    # a single row has no predecessor and compares with itself
+    previous = F.when(F.col("_then").isNull(), F.col(value)).otherwise(F.col("_before"))
     newest = with_before.groupBy(spec.entity).agg(
-        F.max(
-            F.struct(
-                F.col(spec.time).alias("at"),
-                F.col(value).alias("latest"),
-                # a single row has no predecessor and compares with itself
-                F.when(F.col("_then").isNull(), F.col(value))
-                .otherwise(F.col("_before"))
-                .alias("previous"),
-            )
-        ).alias("r")
-    )
-    delta = F.col("r.latest") - F.col("r.previous")
-    return newest.select(
-        spec.entity,
-        F.col("r.at").alias("latest_period"),
-        F.col("r.latest").alias("latest"),
-        F.col("r.previous").alias("previous"),
-        delta.alias("delta"),
-        trend_label(delta).alias("trend"),
+        F.max(spec.time).alias("latest_period"),
+        F.max_by(value, spec.time).alias("latest"),
+        F.max_by(previous, F.col(spec.time)).alias("previous"),
     )
+    delta = F.col("latest") - F.col("previous")
+    return newest.withColumn("delta", delta).withColumn("trend", trend_label("delta"))

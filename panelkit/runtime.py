@@ -5,8 +5,12 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,3 +98,10 @@ def ship_package(spark: SparkSession) -> None:
         str(Path(folder) / package.name), "zip", root_dir=package.parent, base_dir=package.name
     )
     spark.sparkContext.addPyFile(archive)
+
+
+def run_jobs(spark: SparkSession, jobs: Sequence[Callable[[], Any]], parallelism: int) -> list:
+    """Run independent fits with a few in flight, so that their tails overlap."""
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]

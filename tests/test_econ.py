@@ -5,7 +5,6 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from panelkit.econ.diagnostics import (
     ar1_table, breusch_pagan_statistics, diagnostics, diagnostics_table, hausman, random_effects,

@@ -12,7 +12,6 @@ from panelkit.models.regressors import NAMES, fit_regressor
 from panelkit.models.scaling import ZScores
 from panelkit.models.search import GRIDS, QUICK_GRIDS, SPACES, draw, expand_grid, grid_search, random_search
 from panelkit.models.training import PanelRegressor, train_all
-from panelkit.spec import PanelSpec
 
 
 def test_grid_sizes():
