@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -12,10 +13,12 @@ from pyspark.sql import functions as F
 
 from panelkit.models.regressors import NAMES, Fitted, load_regressor
 from panelkit.models.search import GRIDS, SPACES, SearchResult, grid_search, random_search
-from panelkit.operators.metrics import regression_metrics, with_overfitting
+from panelkit.operators.metrics import OVERFIT_GAP, regression_metrics, with_overfitting
 from panelkit.operators.reshape import complete_cases
 from panelkit.spec import PanelSpec
 
+log = logging.getLogger(__name__)
+
 
 class PanelRegressor:
     """One regressor with tuning: fit, predict, evaluate, save and load."""
@@ -43,7 +46,17 @@ class PanelRegressor:
             self.kind, train, self.spec, param_grid or GRIDS[self.kind], k=cv,
             parallelism=parallelism,
         )
-        self.model = self.search.model
+        return self._keep()
+
+    def _keep(self) -> "PanelRegressor":
+        found = self.search
+        self.model = found.model
+        log.info(
+            "%s: train R2 %.4f, validation R2 %.4f with %s",
+            self.name, found.train_score, found.cv_score, found.best_params,
+        )
+        if found.train_score - found.cv_score > OVERFIT_GAP:
+            log.warning("%s: potential overfitting", self.name)
         return self
 
     def fit_random(
@@ -55,8 +68,7 @@ class PanelRegressor:
             self.kind, train, self.spec, n_trials, space or SPACES[self.kind], seed, k=cv,
             parallelism=parallelism,
         )
-        self.model = self.search.model
-        return self
+        return self._keep()
 
     def _fitted(self) -> Fitted:
         if self.model is None:
@@ -138,6 +150,7 @@ def train_all(
                 train, (grids or GRIDS)[kind], cv=cv, parallelism=parallelism
             )
         except Exception as problem:  # noqa: BLE001 - the other models still train
+            log.warning("%s failed: %s", kind, problem)
             failures[kind] = str(problem)
             continue
         seconds = time.monotonic() - started

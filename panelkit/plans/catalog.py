@@ -665,6 +665,43 @@ def result_report(spark, folder):
     return sinks.result_report(scores, settings)
 
 
+@query
+def results_sink(spark, folder):
+    """Write the union of result tables and read it back."""
+    train = _metrics(spark, folder, test=False).select("model", "r2", "rmse")
+    test = _metrics(spark, folder).select("model", "r2", "mae")
+    path = scratch(spark, "results")
+    sinks.save_evaluation_summary({"train": train, "test": test}, path)
+    return tidy(spark.read.parquet(path))
+
+
+@query
+def leaderboard_sink(spark, folder):
+    """Write the stamped leaderboard and read it back without the stamp."""
+    parts = temporal.split_at(nation_month(spark, folder), NM, TRAIN_MONTH)
+    path = scratch(spark, "leaderboard")
+    scores = _metrics(spark, folder).select("model", "r2", "rmse", "mae")
+    sinks.save_leaderboard(scores, path, *[part.count() for part in parts])
+    return tidy(spark.read.parquet(path).drop("timestamp"))
+
+
+@query
+def checked_panel_scan(spark, folder):
+    """Scan a written panel after checking columns, rows and keys."""
+    path = scratch(spark, "panel")
+    sinks.save_table(nation_month(spark, folder), path)
+    return tidy(files.read_panel(spark, path, NM))
+
+
+@query
+def panel_report_sink(spark, folder):
+    """Write coefficients and fit statistics and read the statistics back."""
+    path = scratch(spark, "report")
+    fit = _fit(spark, folder)
+    sinks.save_panel_report(fit.coefficients(), fit.statistics(), path)
+    return tidy(spark.read.parquet(f"{path}/statistics"))
+
+
 # -- regressors --------------------------------------------------------------------
 
 
@@ -718,6 +755,16 @@ def elastic_net_simple(spark, folder):
     )
 
 
+@query
+def model_round_trip(spark, folder):
+    """Fit on the train part, save, load and predict the test part."""
+    train, test = temporal.split_at(nation_month(spark, folder), NM1, TRAIN_MONTH)
+    path = scratch(spark, "model")
+    fit_regressor("elastic_net", train, NM1, {"alpha": 0.0}).save(spark, path)
+    loaded = PanelRegressor("elastic_net", NM1).load_model(spark, path)
+    return tidy(loaded.predictions(test))
+
+
 @query
 def elastic_net_coefficients(spark, folder):
     train, _ = _split_customers(spark, folder)
@@ -749,12 +796,14 @@ def overfitting(spark, folder):
 
 @query
 def search_grid(spark, folder):
-    return grid_search("elastic_net", nation_month(spark, folder), NM, QUICK_GRIDS["elastic_net"]).table()
+    grid = QUICK_GRIDS["elastic_net"]
+    return tidy(grid_search("elastic_net", nation_month(spark, folder), NM1, grid).table())
 
 
 @query
 def search_random(spark, folder):
-    return random_search("elastic_net", nation_month(spark, folder), NM, n_trials=3, k=3).table()
+    found = random_search("elastic_net", nation_month(spark, folder), NM1, n_trials=3, k=5)
+    return tidy(found.table().drop("params"))
 
 
 @query

@@ -6,6 +6,9 @@ closed forms for balanced panels, window functions without chunks.
 
 from __future__ import annotations
 
+import json
+
+from panelkit.models.search import QUICK_GRIDS, SPACES, draw, expand_grid
 from panelkit.plans.catalog import TRAIN_MONTH, TRAIN_YEAR
 
 ORACLES: dict[str, str] = {}
@@ -446,6 +449,15 @@ add("union_results", PREDICTIONS, f"""
 SELECT model, {r('r2')} AS r2, {r('rmse')} AS rmse, 'train' AS source, CAST(NULL AS DOUBLE) AS mae
 FROM score WHERE split = 'train'
 UNION ALL SELECT model, {r('r2')}, CAST(NULL AS DOUBLE), 'test', {r('mae')} FROM score {TEST}""")
+ORACLES["results_sink"] = ORACLES["union_results"]
+add("leaderboard_sink", PREDICTIONS, f"""
+SELECT model, {rounded('r2', 'rmse', 'mae')},
+  CAST(row_number() OVER (ORDER BY r2 DESC, model) AS BIGINT) AS rank,
+  repeat('*', CAST(greatest(4 - row_number() OVER (ORDER BY r2 DESC, model), 0) AS INT)) AS mark,
+  CASE WHEN r2 >= 0.75 THEN 'excellent' WHEN r2 >= 0.65 THEN 'good' ELSE 'moderate' END AS tier,
+  (SELECT count(*) FROM tr) AS train_samples, (SELECT count(*) FROM te) AS test_samples
+FROM score {TEST}""")
+ORACLES["checked_panel_scan"] = ORACLES["nation_month_panel"]
 add("models_vs_benchmark", PREDICTIONS, f"""
 SELECT model, {rounded('r2', 'rmse', 'mae')}, model = 'entity_mean' AS is_benchmark,
   r2 = max(r2) OVER () AS best_r2, rmse = min(rmse) OVER () AS best_rmse, mae = min(mae) OVER () AS best_mae
@@ -508,6 +520,42 @@ SELECT 'elastic_net' AS model, {r('avg(train_score)')} AS train_score, {r('avg(c
   {r('avg(train_score) - avg(cv_score)')} AS overfitting_gap,
   avg(train_score) - avg(cv_score) > 0.1 AS has_overfitting FROM fs""")
 
+
+
+def _penalised(candidates: list[dict]) -> str:
+    """Closed form of the one-feature elastic net per candidate and fold."""
+    values = ", ".join(
+        f"({i}, CAST({c['alpha']!r} AS DOUBLE), CAST({c['l1_ratio']!r} AS DOUBLE))"
+        for i, c in enumerate(candidates)
+    )
+    return FOLDS + f""",
+pc(candidate, alpha, ratio) AS (VALUES {values}),
+mo AS (SELECT k.fold, avg(log_orders) AS mx, stddev_pop(log_orders) AS sx, avg(log_sales) AS my,
+  covar_pop(log_sales, log_orders) / stddev_pop(log_orders) AS rho
+  FROM k JOIN f ON f.fold <> k.fold GROUP BY 1),
+cb AS (SELECT *, sign(rho) * greatest(abs(rho) - alpha * ratio, 0) / (1 + alpha * (1 - ratio)) AS b
+  FROM pc CROSS JOIN mo),
+pe AS (SELECT candidate, cb.fold, f.fold = cb.fold AS held, log_sales AS y,
+  my + b * (log_orders - mx) / sx AS p FROM cb CROSS JOIN f),
+ps AS (SELECT candidate, fold, held, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2
+  FROM pe GROUP BY 1, 2, 3)"""
+
+
+_MEANS = f"""{r('avg(r2) FILTER (WHERE NOT held)')} AS train_score,
+  {r('avg(r2) FILTER (WHERE held)')} AS cv_score, {r('stddev_pop(r2) FILTER (WHERE held)')} AS cv_std"""
+_GRID = expand_grid(QUICK_GRIDS["elastic_net"])
+_PARAMS = " ".join(f"WHEN {i} THEN '{json.dumps(c, sort_keys=True)}'" for i, c in enumerate(_GRID))
+add("search_grid", _penalised(_GRID), f"""
+SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate,
+  CASE candidate {_PARAMS} END AS params, {_MEANS} FROM ps GROUP BY candidate""")
+add("search_random", _penalised(draw(SPACES["elastic_net"], 3)), f"""
+SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate, {_MEANS} FROM ps GROUP BY candidate""")
+add("model_round_trip", NATION_MONTH + f""",
+co AS (SELECT regr_slope(log_sales, log_orders) AS b, regr_intercept(log_sales, log_orders) AS a
+  FROM nm WHERE period <= {TRAIN_MONTH})""", f"""
+SELECT 'Elastic Net' AS model, entity, period, {r('log_sales')} AS y_true,
+  {r('a + b * log_orders')} AS y_pred FROM nm CROSS JOIN co WHERE period > {TRAIN_MONTH}""")
+
 # -- panel econometrics
 
 SPARE = "(n - 1 - ne - nt + 1)"
@@ -521,6 +569,7 @@ SELECT 'Dynamic Panel (FE)' AS model,
   {r('(SELECT 1 - sum(pow(yi - beta * xi, 2)) / sum(yi * yi) FROM ei)')} AS r2_between,
   {r('(SELECT 1 - sum(pow(y0 - beta * x0, 2)) / sum(y0 * y0) FROM dd)')} AS r2_overall,
   n AS n_obs, ne AS n_entities, nt AS n_periods FROM b""")
+ORACLES["panel_report_sink"] = ORACLES["fe_r2"]
 add("fe_residuals", WITHIN, f"SELECT entity, period, {r('e')} AS e FROM res")
 add("lagged_residual", WITHIN, f"""
 SELECT entity, period, {r('e')} AS e,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import impute, temporal
-from panelkit.operators.ordered import exact_quantiles, quantile_columns, running_total
+from panelkit.operators.ordered import exact_quantiles, quantile_columns, rows_at, running_total
 from panelkit.spec import PanelSpec
 
 FREE = PanelSpec(features=("v",))
@@ -132,6 +132,29 @@ def test_modes_differ_on_gap_panel(spark):
     assert (serial[9], serial[3], serial[4]) == (82.0, 4.0, 14.5)
 
 
+def test_sequential_against_a_plain_loop(gappy):
+    df, pdf = gappy
+    p = pdf.sort_values(["entity", "period"]).reset_index(drop=True)
+    overall = p["v"].median()
+    for i in np.flatnonzero(p["v"].isna()):
+        for r in (1, 2, 4):
+            near = p[(p["entity"] == p["entity"][i]) & ((p["period"] - p["period"][i]).abs() <= r)]
+            if near["v"].count() >= 2:
+                p.loc[i, "v"] = near["v"].median()
+                break
+        else:
+            p.loc[i, "v"] = overall
+    got = rows_of(impute.impute_sequential(df, BOUNDED), "entity", "period", "v")
+    assert np.allclose([r[2] for r in got], p["v"]) and len(got) == len(p)
+
+
+def test_rows_at(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("g"), "id").repartition(8)
+    n, rows = rows_at(df, ["g", "id"], lambda n: [0, n // 2, n - 1])
+    assert n == 1000
+    assert [tuple(r) for r in rows] == [(0, 0), (5, 5), (9, 999)]
+
+
 def test_sequential_needs_bounds(spark):
     df = spark.createDataFrame([("a", 1, 1.0)], "entity string, period int, v double")
     with pytest.raises(ValueError):
