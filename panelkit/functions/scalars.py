@@ -84,11 +84,10 @@ SIGNIFICANCE_LEVELS: Sequence[tuple[float, str]] = (
 
 
 def significance_label(p: Column | str) -> Column:
+    """The strictest label ``p`` earns, else ``ns``."""
     v = _col(p)
-    out = F
-    for limit, label in SIGNIFICANCE_LEVELS:
-        out = out.when(v < limit, label)
-    return out.when(v.isNotNull(), "ns")
+    labels = [F.when(v < limit, label) for limit, label in SIGNIFICANCE_LEVELS]
+    return F.coalesce(*labels, F.when(v.isNotNull(), "ns"))
 
 
 def performance_tier(r2: Column | str) -> Column:

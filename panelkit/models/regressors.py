@@ -28,6 +28,7 @@ from panelkit.models import net
 from panelkit.models.knn import nearest_neighbours, neighbour_average
 from panelkit.models.scaling import ZScores
 from panelkit.operators.reshape import complete_cases
+from panelkit.runtime import stored
 from panelkit.spec import PanelSpec
 
 SEED = 42
@@ -249,7 +250,7 @@ def fit_regressor(
         )
     elif kind == "knn":
         fitted.scores = ZScores.of(rows, features)
-        fitted.neighbours = fitted.scores.apply(rows)
+        fitted.neighbours = stored(fitted.scores.apply(rows))
     elif kind == "mlp":
         fitted.network = net.fit_net(rows, features, target, net.mlp_config(params), spec.keys)
     elif kind == "svr":

@@ -308,8 +308,7 @@ def cross_validate(
     result.best = max(range(len(candidates)), key=lambda c: (result._mean(c, 3), -c))
     if refit:
         result.model = fit_regressor(kind, data.drop("fold"), spec, result.best_params)
-    if kind != "knn":  # the neighbours stay a plan on the cached rows
-        data.unpersist()
+    data.unpersist()
     return result
 
 

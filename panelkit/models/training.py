@@ -15,6 +15,7 @@ from panelkit.models.regressors import NAMES, Fitted, load_regressor
 from panelkit.models.search import GRIDS, SPACES, SearchResult, grid_search, random_search
 from panelkit.operators.metrics import OVERFIT_GAP, regression_metrics, with_overfitting
 from panelkit.operators.reshape import complete_cases
+from panelkit.runtime import stored
 from panelkit.spec import PanelSpec
 
 log = logging.getLogger(__name__)
@@ -97,7 +98,11 @@ class PanelRegressor:
 
     def evaluate(self, test: DataFrame) -> DataFrame:
         """The metrics row, with the overfitting figures if there was a search."""
-        scores = regression_metrics(self.predictions(test), len(self.spec.features))
+        return self.score(self.predictions(test))
+
+    def score(self, predictions: DataFrame) -> DataFrame:
+        """As ``evaluate``, for predictions that are already there."""
+        scores = regression_metrics(predictions, len(self.spec.features))
         train = cv = F.lit(None).cast("double")
         if self.search is not None:
             train, cv = F.lit(self.search.train_score), F.lit(self.search.cv_score)
@@ -154,8 +159,9 @@ def train_all(
             failures[kind] = str(problem)
             continue
         seconds = time.monotonic() - started
-        metrics.append(model.evaluate(test).withColumn("time", F.lit(seconds)))
-        predictions.append(model.predictions(test))
+        predicted = stored(model.predictions(test))
+        metrics.append(model.score(predicted).withColumn("time", F.lit(seconds)))
+        predictions.append(predicted)
         models[kind] = model
     if not models:
         raise RuntimeError(f"no model could be trained: {failures}")

@@ -895,13 +895,14 @@ def dynamic_panel(spark, folder):
 
 @query
 def dynamic_panel_unbalanced(spark, folder):
-    model = DynamicPanel(customer_year(spark, folder), CY.with_features("n_orders", "urgent_share"))
-    return tidy(model.fit().fit_.coefficients())
+    """Gappy panel: the lag as the only regressor, with clustered errors."""
+    model = DynamicPanel(customer_year(spark, folder), CY.with_features()).fit()
+    return tidy(model.fit_.coefficients().select("term", "coefficient", "std_error", "t_stat"))
 
 
 @query
 def dynamic_panel_test(spark, folder):
-    return tidy(_dynamic(spark, folder, NM).evaluate_on_test())
+    return tidy(_dynamic(spark, folder, NM.with_features()).evaluate_on_test())
 
 
 @query

@@ -89,7 +89,7 @@ score AS (
     (r2 / 3) / ((1 - r2) / (n - 4)) AS f_stat FROM base)"""
 
 #: Rounds of alternating demeaning; the nation panel is close to balanced.
-ROUNDS = 25
+ROUNDS = 40
 
 
 def _demeaned(source: str, out: str) -> str:
@@ -583,16 +583,34 @@ WHERE period > {TRAIN_MONTH}""")
 add("fe_predict_entity", TRAINED, f"""
 SELECT entity, period, {r('beta * log_orders + yi - beta * xi')} AS y_pred
 FROM fullnm JOIN ei USING (entity) CROSS JOIN b WHERE period > {TRAIN_MONTH}""")
-add("shock_persistence", NATION_MONTH + """,
+
+
+def _dynamic(panel: str, name: str) -> str:
+    """The target on its own lag with both effects swept out."""
+    return panel + f""",
 lg AS (SELECT entity, period, log_sales AS y, lag(log_sales) OVER (PARTITION BY entity ORDER BY period) AS x
-  FROM nm),
+  FROM {name}),
 ok AS (SELECT * FROM lg WHERE x IS NOT NULL),
 """ + _demeaned("ok", "dm") + """,
-p AS (SELECT sum(x * y) / sum(x * x) AS rho FROM dm)""", f"""
+p AS (SELECT sum(x * y) / sum(x * x) AS rho, sum(x * x) AS sxx, count(*) AS n,
+  count(DISTINCT entity) AS ne, count(DISTINCT period) AS nt FROM dm)"""
+
+
+add("shock_persistence", _dynamic(NATION_MONTH, "nm"), f"""
 SELECT {r('rho')} AS rho,
   {r('CASE WHEN rho > 0 AND rho < 1 THEN -ln(2) / ln(abs(rho)) END')} AS half_life,
   CASE WHEN rho >= 1 THEN 'EXPLOSIVE' WHEN rho > 0.7 THEN 'STRONG' WHEN rho > 0.4 THEN 'MODERATE'
     WHEN rho > 0 THEN 'WEAK' ELSE 'NONE' END AS interpretation FROM p""")
+add("dynamic_panel_test", _dynamic(NATION_MONTH, "nm") + f""",
+t AS (SELECT y, rho * x AS q FROM ok CROSS JOIN p WHERE period > {TRAIN_MONTH})""", f"""
+SELECT 'Dynamic Panel (FE)' AS model, count(*) AS n_test, {r('avg(pow(y - q, 2))')} AS mse,
+  {r('sqrt(avg(pow(y - q, 2)))')} AS rmse, {r('avg(abs(y - q))')} AS mae,
+  {r('1 - sum(pow(y - q, 2)) / (var_pop(y) * count(*))')} AS r2 FROM t""")
+add("dynamic_panel_unbalanced", _dynamic(CUSTOMER_YEAR, "cy") + f""",
+ds AS (SELECT entity, sum(x * (y - rho * x)) AS s FROM dm CROSS JOIN p GROUP BY 1),
+v AS (SELECT rho, sqrt(n / CAST({SPARE} AS DOUBLE) * (SELECT sum(s * s) FROM ds)) / sxx AS se FROM p)""",
+    f"""SELECT 'log_sales_lag1' AS term, {r('rho')} AS coefficient, {r('se')} AS std_error,
+  {r('rho / se')} AS t_stat FROM v""")
 add("ar1_residual", WITHIN + """,
 lr AS (SELECT e, lag(e) OVER (PARTITION BY entity ORDER BY period) AS l FROM res),
 ok AS (SELECT * FROM lr WHERE l IS NOT NULL),

@@ -11,6 +11,7 @@ from panelkit.operators.impute import impute_sequential, impute_window_median
 from panelkit.operators.quality import coverage_filter, whitelist_entities
 from panelkit.operators.reshape import drop_null_rows, fold_outer_join, recode
 from panelkit.operators.temporal import recombine, split_at
+from panelkit.runtime import stored
 from panelkit.sources.files import load_registry
 from panelkit.sources.lookups import INDICATOR_FILES, NAME_RECODES, allowed_entities
 from panelkit.sources.sinks import write_splits
@@ -53,7 +54,7 @@ def clean_panel(
         spec = spec.infer_features(panel)
     if allowed is not None:
         panel = whitelist_entities(panel, spec, allowed)
-    panel = coverage_filter(panel, spec)
+    panel = coverage_filter(stored(panel), spec)  # read again by each of the next steps
     if sequential:
         return impute_sequential(panel, spec), spec
     fit_on = None if fit_until is None else split_at(panel, spec, fit_until)[0]
