@@ -7,14 +7,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from panelkit.models.folds import fold_bounds, fold_of, shuffled_positions
 from panelkit.models.regressors import fit_regressor
 from panelkit.models.search import SearchResult, cross_validate
 from panelkit.operators.metrics import r_squared
 from panelkit.operators.reshape import complete_cases
-from panelkit.runtime import run_jobs
+from panelkit.runtime import cached, run_jobs
 from panelkit.spec import PanelSpec
 
 #: Shares of the training rows at which a curve is taken.
@@ -39,13 +38,9 @@ def learning_curve(
     rows = complete_cases(train.select(*spec.keys, spec.target, *spec.features))
     n = rows.count()
     bounds = fold_bounds(n, k)
-    data = (
-        shuffled_positions(rows, spec, seed)
-        .withColumn("fold", fold_of(F.col("position"), n, k))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    placed = shuffled_positions(rows, spec, seed).withColumn("fold", fold_of(F.col("position"), n, k))
 
-    def score(kind: str, params: dict, fold: int, share: float) -> tuple:
+    def score(data: DataFrame, kind: str, params: dict, fold: int, share: float) -> tuple:
         start, end = bounds[fold]
         # place of a row among those outside the fold
         place = F.when(F.col("position") < start, F.col("position")).otherwise(
@@ -65,15 +60,12 @@ def learning_curve(
         by_side = {r["train"]: r["r2"] for r in sides}
         return kind, float(share), size, fold, by_side.get(True), by_side.get(False)
 
-    out = run_jobs(
-        train.sparkSession,
-        [
-            partial(score, kind, params, fold, share)
+    with cached(placed) as data:
+        jobs = [
+            partial(score, data, kind, params, fold, share)
             for kind, params in kinds.items() for fold in range(k) for share in shares
-        ],
-        parallelism,
-    )
-    data.unpersist()
+        ]
+        out = run_jobs(train.sparkSession, jobs, parallelism)
     table = train.sparkSession.createDataFrame(
         out,
         "model string, share double, train_size bigint, fold bigint, "

@@ -13,13 +13,12 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from panelkit.models.folds import contiguous_folds
+from panelkit.models.folds import contiguous_folds, shuffled_folds
 from panelkit.models.regressors import Fitted, fit_regressor, metric_of
 from panelkit.operators.metrics import r_squared
 from panelkit.operators.reshape import complete_cases
-from panelkit.runtime import run_jobs
+from panelkit.runtime import cached, run_jobs
 from panelkit.spec import PanelSpec
 
 # The full default grid of each regressor.
@@ -288,27 +287,25 @@ def cross_validate(
         raise ValueError("no candidates to try")
     candidates = list(candidates)
     rows = train if "fold" in train.columns else contiguous_folds(train, spec, k)
-    data = complete_cases(rows.select(*spec.keys, spec.target, *spec.features, "fold"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    folds = sorted(r["fold"] for r in data.select("fold").distinct().collect())
-
-    if kind == "knn":
-        metrics = sorted({metric_of(c) for c in candidates})
-        tasks = [
-            partial(_knn_scores, data, spec, candidates, m, f) for m in metrics for f in folds
-        ]
-    else:
-        tasks = [
-            partial(_candidate_scores, kind, data, spec, i, c, f)
-            for i, c in enumerate(candidates) for f in folds
-        ]
-    done = run_jobs(train.sparkSession, tasks, parallelism)
-    scores = sorted(row for rows_ in done for row in rows_)
-    result = SearchResult(kind, candidates, scores, 0, None, train)
-    result.best = max(range(len(candidates)), key=lambda c: (result._mean(c, 3), -c))
-    if refit:
-        result.model = fit_regressor(kind, data.drop("fold"), spec, result.best_params)
-    data.unpersist()
+    complete = complete_cases(rows.select(*spec.keys, spec.target, *spec.features, "fold"))
+    with cached(complete) as data:
+        folds = sorted(r["fold"] for r in data.select("fold").distinct().collect())
+        if kind == "knn":
+            metrics = sorted({metric_of(c) for c in candidates})
+            tasks = [
+                partial(_knn_scores, data, spec, candidates, m, f) for m in metrics for f in folds
+            ]
+        else:
+            tasks = [
+                partial(_candidate_scores, kind, data, spec, i, c, f)
+                for i, c in enumerate(candidates) for f in folds
+            ]
+        done = run_jobs(train.sparkSession, tasks, parallelism)
+        scores = sorted(row for rows_ in done for row in rows_)
+        result = SearchResult(kind, candidates, scores, 0, None, train)
+        result.best = max(range(len(candidates)), key=lambda c: (result._mean(c, 3), -c))
+        if refit:
+            result.model = fit_regressor(kind, data.drop("fold"), spec, result.best_params)
     return result
 
 
@@ -328,7 +325,12 @@ def random_search(
     seed: int = 42,
     **options,
 ) -> SearchResult:
-    """Try ``n_trials`` seeded draws from the regressor's search space."""
+    """Try ``n_trials`` seeded draws from the regressor's search space.
+
+    The MLP is validated on shuffled folds, the others on contiguous ones.
+    """
+    if kind == "mlp" and "fold" not in train.columns:
+        train = shuffled_folds(train, spec, options.get("k", 5), seed)
     return cross_validate(kind, train, spec, draw(space or SPACES[kind], n_trials, seed), **options)
 
 

@@ -436,7 +436,9 @@ def impute_report(spark, folder):
 
 @query
 def impute_sequential(spark, folder):
-    return tidy(impute.impute_sequential(user_day(spark, folder), UD))
+    panel = user_day(spark, folder)
+    logs = panel.withColumns({e: F.log(F.lit(1.0) + F.col(e)) for e in EVENT_TYPES})
+    return tidy(impute.impute_sequential(logs, UD))
 
 
 @query

@@ -299,6 +299,34 @@ add("impute_without_bounds", USER_DAY, f"SELECT entity, period, {_IMPUTED} FROM
 add("impute_report", USER_DAY, " UNION ALL ".join(
     f"SELECT '{e}' AS \"column\", CAST(stage AS BIGINT) AS stage, count(*) AS cells "
     f"FROM (SELECT {_impute(e)[1]} AS stage FROM ud) GROUP BY stage" for e in EVENTS))
+
+
+def _window(reach: int) -> str:
+    """Median around the current place of the values observed or filled so far."""
+    near = (f"list_filter(range(1, n + 1), lambda j: abs(ps[j] - ps[i + 1]) <= {reach} "
+            "AND f[j] IS NOT NULL)")
+    values = f"list_transform({near}, lambda j: f[j])"
+    return f"CASE WHEN len({near}) >= 2 THEN list_aggregate({values}, 'median') END"
+
+
+# walks every series from its first to its last row, replacing one cell per step
+add("impute_sequential", "RECURSIVE " + USER_DAY.strip() + """,
+lo AS (""" + " UNION ALL ".join(
+    f"SELECT entity, period, '{e}' AS kind, ln(1 + {e}) AS v FROM ud" for e in EVENTS) + """),
+ar AS (SELECT entity, kind, list(period ORDER BY period) AS ps, list(v ORDER BY period) AS vs,
+  count(*) AS n FROM lo GROUP BY 1, 2),
+gm AS (SELECT kind, quantile_cont(v, 0.5) AS m FROM lo GROUP BY 1),
+st AS (
+  SELECT entity, kind, 0 AS i, vs AS f FROM ar
+  UNION ALL
+  SELECT st.entity, st.kind, i + 1, list_concat(list_concat(f[1:i],
+    [coalesce(f[i + 1], """ + ", ".join(_window(k) for k in (1, 2, 4)) + """, m)]), f[i + 2:])
+  FROM st JOIN ar USING (entity, kind) JOIN gm USING (kind) WHERE i < n),
+un AS (SELECT st.entity, st.kind, unnest(ps) AS period, unnest(f) AS v
+  FROM st JOIN ar USING (entity, kind) WHERE i = n)""",
+    "SELECT entity, period, " + ", ".join(
+        r("max(v) FILTER (WHERE kind = '" + e + "')") + f" AS {e}" for e in EVENTS)
+    + " FROM un GROUP BY 1, 2")
 add("forward_fill", USER_DAY, "SELECT entity, period, " + ", ".join(
     r(f"last_value({e} IGNORE NULLS) OVER (PARTITION BY entity ORDER BY period "
       "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)") + f" AS {e}" for e in EVENTS) + " FROM ud")

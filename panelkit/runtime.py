@@ -5,14 +5,16 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from pathlib import Path
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 #: Most rows a side may hold before it is no longer hinted as a broadcast.
 BROADCAST_ROWS = 200_000
@@ -105,3 +107,13 @@ def run_jobs(spark: SparkSession, jobs: Sequence[Callable[[], Any]], parallelism
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [job.result() for job in started]
+
+
+@contextmanager
+def cached(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` in memory, spilling to disk, while a loop of jobs reads it."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

@@ -67,10 +67,12 @@ class PanelSpec:
             raise ValueError(f"Missing required columns: {missing}")
 
     def validate(self, df: DataFrame) -> DataFrame:
-        """Check columns, that there are rows, and that the key is unique."""
+        """Check columns, that there are rows, period bounds, and that the key is unique."""
         self.require_columns(df)
         if df.isEmpty():
             raise ValueError("the panel is empty")
+        if not df.where(~F.coalesce(self.within_bounds(), F.lit(False))).isEmpty():
+            raise ValueError(f"periods must be present and lie in {self.period_bounds}")
         clash = duplicate_keys(df, self).limit(1).collect()
         if clash:
             raise ValueError(f"duplicate panel key: {clash[0].asDict()}")
