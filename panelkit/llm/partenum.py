@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import keys, mix, settled, shingle_sets, signed, text_chunks, width
+from panelkit.llm.common import keys, mix, own_name, settled, shingle_sets, signed, text_chunks, width
 from panelkit.llm.graph import components
 from panelkit.runtime import stored
 
@@ -169,12 +169,13 @@ def _described(words: int, percent: int):
                 ids = set_ids(values, at)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(start, end - start),
+                    batch.column(2).slice(start, end - start),
                     pa.array(np.diff(at)),
                     pa.array(signed(ids)),
                     pa.array(signed(set_ids(mix(values), at))),
                     pa.array(slacks(values, at, percent)),
                     pa.array([parity(values[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
-                ], ["doc", "n", "set_id", "check", "slack", "bits"])
+                ], ["doc", "mark", "n", "set_id", "check", "slack", "bits"])
 
     return run
 
@@ -312,7 +313,7 @@ def _linked(percent: int):
 
 
 def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int = 5, percent: int = 75) -> DataFrame:
-    """(id_col, n_shingles long, component_id, set_id long) for every row of ``docs``.
+    """(id_col, n_shingles long, component_id, cluster long, text_hash long) for every row of ``docs``.
 
     Words are runs without white space, with A-Z in lower case; a text's set holds
     its distinct ``words``-word shingles, or its whole sequence if it is shorter.
@@ -320,7 +321,9 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     smallest id that links reach, its own included. Null or wordless texts have
     an empty set and link with nothing. Rows with the same text link, also when
     they repeat an id; each stays a row. A null id stays null and takes part; its
-    component is named by the ids that are not null. An empty table gives no rows.
+    component is named by the ids that are not null. cluster numbers the
+    components, also those without an id; it is null for an empty set. An empty
+    table gives no rows.
     Other columns are not read and may have any names.
 
     Shingles and sets are known by 64-bit hashes; two sets with one hash raise.
@@ -330,10 +333,11 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     id_type = flat.schema["doc"].dataType
     schema = T.StructType([
-        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("n", "set_id", "check", "slack")),
+        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("mark", "n", "set_id", "check", "slack")),
         T.StructField("bits", T.BinaryType()),
     ])
-    rows = settled(flat.mapInArrow(_described(words, percent), schema))
+    marked = flat.select("doc", "text", F.xxhash64("text").alias("mark"))
+    rows = settled(marked.mapInArrow(_described(words, percent), schema))
     sets = stored(
         rows.where("n > 0").groupBy("set_id").agg(
             F.min("doc").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"),
@@ -406,26 +410,32 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
         "set_id", "first", F.coalesce("root", "set_id").alias("root")
     )
     named = cluster.join(cluster.groupBy("root").agg(F.min("first").alias("component")), "root").select(
-        F.col("set_id").alias("set_key"), "component"
+        F.col("set_id").alias("set_key"), "component", "root"
     )
     return rows.join(named, (F.col("n") > 0) & (F.col("set_id") == F.col("set_key")), "left").select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component_id"),
-        "set_id",
+        F.when(F.col("n") > 0, F.col("root")).alias("cluster"),
+        F.col("mark").alias("text_hash"),
     )
 
 
 def keep_first(docs: DataFrame, id_col: str, text_col: str, words: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that with the smallest id.
+    """``docs`` with one row of each group of near copies: that with the smallest id, then the smallest text hash.
 
-    Rows whose text has no word are kept. Of rows that repeat the smallest id of
-    their group one stays. Groups without any id keep one row.
+    Null ids come last. Rows whose text has no word are all kept.
     """
-    found = jaccard_components(docs, id_col, text_col, words, percent)
-    lone = docs.where(~F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    firsts = found.where("n_shingles > 0").select(F.col("component_id").alias("__first")).distinct()
-    kept = docs.where(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    kept = kept.join(firsts, F.col(f"`{id_col}`").eqNullSafe(F.col("__first")), "left_semi")
-    kept = kept.dropDuplicates([id_col])
-    return kept.unionByName(lone)
+    found = stored(jaccard_components(docs, id_col, text_col, words, percent).withColumnRenamed(id_col, "doc"))
+    kinds = found.groupBy("cluster", "doc", "text_hash").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc").isNull().alias("no_doc"), "doc", "text_hash", "n")
+    first = kinds.where("cluster is not null").groupBy("cluster").agg(F.min(place).alias("f")).select("f.doc", "f.text_hash", "f.n")
+    blank = kinds.where("cluster is null").select("doc", "text_hash", F.lit(1).cast("long").alias("n"))
+    names = [own_name(docs, f"first_{c}") for c in ("doc", "text_hash", "n")]
+    mark = own_name(docs, "mark")
+    doc, text_hash, n = (F.col(c) for c in names)
+    rows = docs.withColumn(mark, F.xxhash64(f"`{text_col}`")).join(
+        stored(first.unionByName(blank)).toDF(*names), (F.col(mark) == text_hash) & F.col(f"`{id_col}`").eqNullSafe(doc)
+    )
+    alike = rows.where(n > 1).dropDuplicates([id_col, mark])
+    return rows.where(n == 1).unionByName(alike).select(*[f"`{c}`" for c in docs.columns])
