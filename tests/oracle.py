@@ -62,7 +62,7 @@ def main(folder, only):
 
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
