@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import width
+from panelkit.llm.common import in_arrow, width
 
 #: Marks of turns. ``escape`` keeps them, and the escape sign itself, out of texts.
 START, MIDDLE, END = "<|turn|>", "<|says|>", "<|over|>"
@@ -442,9 +442,9 @@ def formatted(turns: DataFrame, template: str = TEMPLATE, parts: int | None = No
     rows = rows.repartition(parts or width(turns), "conv").sortWithinPartitions(
         "conv", F.col("turn").asc_nulls_last(), F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     )
-    return rows.select("conv", "role", "text").mapInArrow(_formatted(template), PIECES)
+    return rows.select("conv", "role", "text").transform(in_arrow, _formatted(template), PIECES)
 
 
 def read_back(pieces: DataFrame) -> DataFrame:
     """A row for each conversation, from the pieces that ``formatted`` yields with ``TEMPLATE``."""
-    return pieces.mapInArrow(_read, SUMMARY)
+    return pieces.transform(in_arrow, _read, SUMMARY)

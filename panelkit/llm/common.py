@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Text that is turned into arrays at once; longer texts are cut between words.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
@@ -45,6 +46,24 @@ def settled(df: DataFrame) -> DataFrame:
     return out
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """``df.mapInArrow``, after which the worker gives freed memory back to the system.
+
+    Workers are kept for later tasks, and would keep what a large batch once needed.
+    """
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return df.mapInArrow(lean, schema)
+
+
 def width(df: DataFrame) -> int:
     """Shuffle partitions of the session."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

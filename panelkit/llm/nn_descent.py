@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import release, width
+from panelkit.llm.common import in_arrow, release, width
 from panelkit.llm.graph import components
 from panelkit.runtime import stored
 
@@ -195,7 +195,7 @@ def _round(nodes: DataFrame, lists: DataFrame, size: int) -> DataFrame:
     facts = nodes.select("node", "emb").join(lists.select("node", worst.alias("worst")), "node").withColumnRenamed("node", "u")
     news = (
         members.join(facts, "u").repartition(4 * width(nodes), "g").sortWithinPartitions("g")
-        .select("g", "u", "fresh", "worst", "emb").mapInArrow(_joined, "node long, nbr long, sim double")
+        .select("g", "u", "fresh", "worst", "emb").transform(in_arrow, _joined, "node long, nbr long, sim double")
     )
     old = lists.select("node", F.inline("list")).select("node", "nbr", "sim", F.lit(0).alias("fresh"))
     return _lists(news.withColumn("fresh", F.lit(1)).unionByName(old), size)
@@ -219,7 +219,7 @@ def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int) -> t
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = ["root", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")]
     dealt = members.select(*pair, "node", "block", "copies", "emb").repartition(width(nodes), "root", "p", "q")
-    whole = dealt.sortWithinPartitions("root", "p", "q").mapInArrow(_counted(threshold), "node long, links long")
+    whole = dealt.sortWithinPartitions("root", "p", "q").transform(in_arrow, _counted(threshold), "node long, links long")
     whole = whole.groupBy("node").agg(F.sum("links").alias("links"))
     rest = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sparse = rest.join(found.join(dense, "root", "left_semi").select(F.col("node").alias("a")), "a", "left_anti")
@@ -258,7 +258,7 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AU
     rows = some.select("node", "grp", "emb").distinct().collect()
     if not rows:
         return 1.0
-    truth = nodes.select("node", "grp", "copies", "emb").mapInArrow(_audited(rows, threshold), "node long, truth long")
+    truth = nodes.select("node", "grp", "copies", "emb").transform(in_arrow, _audited(rows, threshold), "node long, truth long")
     truth = truth.groupBy("node").agg(F.sum("truth").alias("truth"))
     got = truth.join(links, "node", "left").agg(F.sum("truth"), F.sum(F.coalesce("links", F.lit(0)))).first()
     return 1.0 if not got[0] else got[1] / got[0]
@@ -294,10 +294,10 @@ def near_duplicates(
         )
     )
     dealt = (
-        nodes.select("grp", "node", "emb").mapInArrow(_coded(seed), "t long, grp long, code long, node long, emb array<float>")
+        nodes.select("grp", "node", "emb").transform(in_arrow, _coded(seed), "t long, grp long, code long, node long, emb array<float>")
         .repartitionByRange(2 * width(vectors), "t", "grp", "code", "node").sortWithinPartitions("t", "grp", "code", "node")
     )
-    lists = _lists(dealt.mapInArrow(_windows, "node long, nbr long, sim double").withColumn("fresh", F.lit(1)), size)
+    lists = _lists(dealt.transform(in_arrow, _windows, "node long, nbr long, sim double").withColumn("fresh", F.lit(1)), size)
     release(vectors.sparkSession)
     links = found = None
     for k in range(1, MOST_ROUNDS + 1):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import keys, mix, own_name, settled, shingle_sets, signed, text_chunks, width
+from panelkit.llm.common import in_arrow, keys, mix, own_name, settled, shingle_sets, signed, text_chunks
 from panelkit.llm.graph import components
 from panelkit.runtime import stored
 
@@ -41,7 +41,7 @@ SMALL = 48
 #: Spare groups, so that empty parts and common signatures can be borne.
 SPARE, SPARE_GROUPS = 1.2, 2
 #: Bytes of text for each bucket of signatures, and the fewest buckets.
-BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 512
+BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 64
 #: Parity bits for each shingle, in powers of two between these.
 LEAST_BITS, MOST_BITS = 64, 1 << 14
 
@@ -186,7 +186,7 @@ def _signed_blobs(words: int, percent: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0), 8 << 20):
+            for _, _, data, offsets in text_chunks(batch.column(0), 3 << 20):
                 values, at = shingle_sets(data, offsets, words)
                 sizes, ids, band = np.diff(at), signed(set_ids(values, at)), band_of(np.diff(at), percent)
                 fresh = [r for r in range(len(ids)) if sizes[r] and not (ids[r] in seen or seen.add(ids[r]))]
@@ -207,10 +207,13 @@ def _signed_blobs(words: int, percent: int, buckets: int):
                 edge = np.flatnonzero(np.diff(bucket, prepend=-1))
                 out: list[list] = [[], [], [], []]
                 for s, e in zip(edge, np.append(edge[1:], len(rows))):
-                    head = np.flatnonzero(np.diff(rows[s:e], prepend=-1))
+                    own = rows[s:e]
+                    start = np.flatnonzero(np.diff(own, prepend=-1))
+                    place = np.arange(e - s) - np.repeat(start, np.diff(start, append=e - s))
+                    head = np.flatnonzero(place % 255 == 0)  # a count has one byte
                     out[0].append(int(bucket[s]))
-                    out[1].append(ids[rows[s:e][head]].tobytes())
-                    out[2].append(np.diff(head, append=e - s).astype(np.uint32).tobytes())
+                    out[1].append(ids[own[head]].tobytes())
+                    out[2].append(np.diff(head, append=e - s).astype(np.uint8).tobytes())
                     out[3].append(sigs[s:e].tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
@@ -229,7 +232,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, counts, sigs in zip(*(batch.column(i) for i in (1, 2, 3))):
             ids = np.frombuffer(ids.as_py(), np.int64)
-            ids = np.repeat(ids, np.frombuffer(counts.as_py(), np.uint32))
+            ids = np.repeat(ids, np.frombuffer(counts.as_py(), np.uint8))
             parts.append((np.frombuffer(sigs.as_py(), np.int64), ids))
             held += len(ids)
             if held > 1 << 18:
@@ -337,7 +340,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
         T.StructField("bits", T.BinaryType()),
     ])
     marked = flat.select("doc", "text", F.xxhash64("text").alias("mark"))
-    rows = settled(marked.mapInArrow(_described(words, percent), schema))
+    rows = settled(marked.transform(in_arrow, _described(words, percent), schema))
     sets = stored(
         rows.where("n > 0").groupBy("set_id").agg(
             F.min("doc").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"),
@@ -351,11 +354,11 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     buckets = max(LEAST_BUCKETS, total // BUCKET_BYTES)
     shared = settled(
         flat.select("text")
-        .mapInArrow(_signed_blobs(words, percent, buckets), "bucket long, sets binary, counts binary, sigs binary")
-        .repartition(max(width(docs), buckets // 16), "bucket")
-        .mapInArrow(_unpacked, "sig long, a long")
+        .transform(in_arrow, _signed_blobs(words, percent, buckets), "bucket long, sets binary, counts binary, sigs binary")
+        .repartitionById(buckets, F.col("bucket").cast("int"))
+        .transform(in_arrow, _unpacked, "sig long, a long")
         .sortWithinPartitions("sig", "a")
-        .mapInArrow(_shared, "sig long, a long, lead long")
+        .transform(in_arrow, _shared, "sig long, a long, lead long")
     )
 
     facts = sets.select("set_id", "n", "bits")
@@ -366,21 +369,21 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
         nonlocal known
         near = stored(
             pairs.join(facts.toDF("a", "n_a", "bits_a"), "a").join(facts.toDF("b", "n_b", "bits_b"), "b")
-            .mapInArrow(_near(percent), "a long, b long")
+            .transform(in_arrow, _near(percent), "a long, b long")
         )
         need = near.select(F.col("a").alias("set_id")).unionByName(near.select(F.col("b").alias("set_id"))).distinct()
         if known is not None:
             need = need.join(known, "set_id", "left_anti")
-        where = need.join(sets.select("set_id", "first"), "set_id")
+        where = stored(need.join(sets.select("set_id", "first"), "set_id"))  # small as a rule, and Spark sees its size
         got = settled(
             flat.join(where, F.col("doc").eqNullSafe(F.col("first"))).select("set_id", "text")
-            .mapInArrow(_wanted_sets(words), "set_id long, members binary")
+            .transform(in_arrow, _wanted_sets(words), "set_id long, members binary")
             .groupBy("set_id").agg(F.first("members").alias("members"))
         )
         known = got if known is None else known.unionByName(got)
         return stored(
             near.join(known.toDF("a", "x"), "a").join(known.toDF("b", "y"), "b")
-            .mapInArrow(_linked(percent), "a long, b long")
+            .transform(in_arrow, _linked(percent), "a long, b long")
         )
 
     star = links(shared.where("a <> lead").select("a", F.col("lead").alias("b")).distinct())

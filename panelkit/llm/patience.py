@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import keys, mix, text_chunks
+from panelkit.llm.common import in_arrow, keys, mix, text_chunks
 
 #: Least coverage of a template that is reported.
 COVERAGE = 0.8
@@ -196,4 +196,4 @@ def licenses(
         T.StructField("matched_words", T.LongType()), T.StructField("coverage", T.DoubleType()),
         T.StructField("first_word", T.LongType()), T.StructField("end_word", T.LongType()),
     ])
-    return flat.mapInArrow(_scanned(tuple(templates), coverage), schema).withColumnRenamed("doc", id_col)
+    return flat.transform(in_arrow, _scanned(tuple(templates), coverage), schema).withColumnRenamed("doc", id_col)

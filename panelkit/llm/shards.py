@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import own_name, release, width
+from panelkit.llm.common import in_arrow, own_name, release, width
 from panelkit.runtime import broadcast_if_small, scratch_dir, stored
 
 #: Bytes of text that a bucket holds about, and the fewest buckets.
@@ -83,7 +83,7 @@ def shards(
     keyed = keyed.withColumn(slot, F.lit(0).cast("long"))
     dealt = keyed.repartition(parts, bucket).sortWithinPartitions(bucket)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema])
-    placed = dealt.mapInArrow(_shuffled(seed, bucket, mark, slot), schema)
+    placed = dealt.transform(in_arrow, _shuffled(seed, bucket, mark, slot), schema)
     start = starts.columns[1]
     key = own_name(docs, "bucket_key")
     placed = placed.join(broadcast_if_small(starts.withColumnRenamed(bucket, key)), F.col(bucket) == F.col(key))

@@ -20,6 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import in_arrow
 from panelkit.runtime import scratch_dir, stored
 
 #: Ids are little-endian and this wide.
@@ -94,7 +95,7 @@ def write_files(docs: DataFrame, id_col: str, text_col: str, path: str, vocabula
         system.move(draft, f"{folder}/{name}")
 
     flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    return stored(flat.mapInArrow(run, f"file string, doc_no long, doc {flat.schema['doc'].dataType.simpleString()}"))
+    return stored(flat.transform(in_arrow, run, f"file string, doc_no long, doc {flat.schema['doc'].dataType.simpleString()}"))
 
 
 def blocks(spark: SparkSession, path: str, block: int = BLOCK, width: int = WIDTH.itemsize) -> DataFrame:

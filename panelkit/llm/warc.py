@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import release, settled
+from panelkit.llm.common import in_arrow, release, settled
 from panelkit.runtime import scratch_dir
 
 END = "\r\n\r\n"
@@ -145,7 +145,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     the response that they refer to.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
-    rows = settled(files.mapInArrow(_parsed, "page long, type string, refers long, bytes long, digest string, stated string"))
+    rows = settled(files.transform(in_arrow, _parsed, "page long, type string, refers long, bytes long, digest string, stated string"))
     responses = rows.where("type = 'response'")
     revisits = rows.where("type = 'revisit'").select("page", "refers", F.col("stated").alias("want"))
     sizes = responses.select(F.col("digest").alias("have"), "bytes").distinct()
