@@ -114,7 +114,8 @@ def signatures(values: np.ndarray, sizes: np.ndarray, f: int, percent: int, sing
         weak = (slack <= 0)[number]
         numbers.append(number[weak])
         found.append(mix(mix(values[weak]) ^ mix(np.array([f + 1 << 56], np.uint64))))
-    return np.concatenate(numbers), np.concatenate(found), slack
+    # the lowest bit tells a set's two families apart
+    return np.concatenate(numbers), np.concatenate(found) & ~np.uint64(1) | np.uint64(f & 1), slack
 
 
 def families(f: int) -> list[int]:
@@ -123,13 +124,14 @@ def families(f: int) -> list[int]:
 
 
 def slacks(values: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
-    """The least slack of each set over its families; 0 for an empty set."""
+    """Slack of each set in its even and its odd family, as two rows; large where it has no such family."""
     sizes = np.diff(offsets)
-    out, band = np.zeros(len(sizes), np.int64), band_of(sizes, percent)
+    out, band = np.full((2, len(sizes)), 1 << 40, np.int64), band_of(sizes, percent)
     for b in np.unique(band[sizes > 0]):
         rows = np.flatnonzero(band == b)
         some = np.concatenate([values[offsets[r] : offsets[r + 1]] for r in rows])
-        out[rows] = np.min([signatures(some, sizes[rows], f, percent, False)[2] for f in families(int(b))], axis=0)
+        for f in families(int(b)):
+            out[f & 1, rows] = signatures(some, sizes[rows], f, percent, False)[2]
     return out
 
 
@@ -173,9 +175,9 @@ def _described(words: int, percent: int):
                     pa.array(np.diff(at)),
                     pa.array(signed(ids)),
                     pa.array(signed(set_ids(mix(values), at))),
-                    pa.array(slacks(values, at, percent)),
+                    *map(pa.array, slacks(values, at, percent)),
                     pa.array([parity(values[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
-                ], ["doc", "mark", "n", "set_id", "check", "slack", "bits"])
+                ], ["doc", "mark", "n", "set_id", "check", "slack0", "slack1", "bits"])
 
     return run
 
@@ -336,7 +338,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     id_type = flat.schema["doc"].dataType
     schema = T.StructType([
-        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("mark", "n", "set_id", "check", "slack")),
+        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("mark", "n", "set_id", "check", "slack0", "slack1")),
         T.StructField("bits", T.BinaryType()),
     ])
     marked = flat.select("doc", "text", F.xxhash64("text").alias("mark"))
@@ -344,7 +346,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     sets = stored(
         rows.where("n > 0").groupBy("set_id").agg(
             F.min("doc").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"),
-            F.first("n").alias("n"), F.first("slack").alias("slack"), F.first("bits").alias("bits"),
+            F.first("n").alias("n"), F.first("slack0").alias("slack0"), F.first("slack1").alias("slack1"), F.first("bits").alias("bits"),
         )
     )
     if not sets.where("check <> other").isEmpty():
@@ -396,14 +398,16 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     placed = stored(placed.join(meets.select("sig"), "sig", "left_semi"))
     counts = placed.select("sig", "root").distinct().groupBy("sig").agg((F.count("*") > HOT).alias("hot"))
     placed = stored(placed.join(counts, "sig"))
-    # sets that common signatures leave without slack meet there as well
-    common = placed.where("hot").groupBy("a").agg(F.count("*").alias("common"))
+    # sets that the common signatures of a family leave without slack meet there as well
+    odd = F.col("sig").bitwiseAND(F.lit(1))
+    common = placed.where("hot").groupBy("a", odd.alias("odd")).agg(F.count("*").alias("common"))
+    bare = sets.select(F.col("set_id").alias("a"), F.posexplode(F.array("slack0", "slack1")).alias("odd", "slack"))
     weak = (
-        sets.join(common, sets["set_id"] == common["a"], "left")
-        .where("slack <= coalesce(common, 0)").select(F.col("set_id").alias("a"))
+        bare.join(common.withColumn("odd", F.col("odd").cast("int")), ["a", "odd"], "left")
+        .where("slack <= coalesce(common, 0)").select(F.col("a").alias("weak"), "odd")
     )
     cool = placed.where("not hot")
-    warm = placed.where("hot").join(weak, "a", "left_semi")
+    warm = placed.where("hot").join(weak, (F.col("a") == F.col("weak")) & (odd == F.col("odd")), "left_semi")
     left = cool.unionByName(warm.select(cool.columns))
     right = left.select("sig", F.col("a").alias("b"), F.col("root").alias("root_b"))
     pairs = left.join(right, "sig").where("root <> root_b and a < b").select("a", "b").distinct()

@@ -92,7 +92,7 @@ def shards(
     shard = (scaled - scaled % whole) / whole
     placed = placed.withColumn("shard", shard.cast("int"))
     first = F.ceil(F.col("shard").cast("decimal(38,0)") * F.lit(rows) / F.lit(count)).cast("long")
-    placed = placed.withColumn("slot", at - first).drop(bucket, mark, slot, start, key)
+    placed = placed.withColumn("slot", at - first).select(*[f"`{c}`" for c in docs.columns], "shard", "slot")
     path = f"{scratch_dir(spark)}/shards-{uuid.uuid4().hex}"
     placed.write.partitionBy("shard").parquet(path)
     release(spark)
