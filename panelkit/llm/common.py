@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.runtime import stored
 
@@ -61,7 +62,14 @@ def in_arrow(df: DataFrame, run: Callable[[Iterator], Iterator], schema) -> Data
             if trim:
                 trim(0)
 
-    return df.mapInArrow(lean, schema)
+    if not any(set(".`") & set(c) for c in df.columns):
+        return df.mapInArrow(lean, schema)
+    # such names would be read as paths: they are others inside, and the old ones again outside
+    plain = [c.translate({ord("."): "\u2024", ord("`"): "\u2018"}) for c in df.columns]
+    inside = T.StructType([
+        T.StructField(f.name.translate({ord("."): "\u2024", ord("`"): "\u2018"}), f.dataType) for f in schema
+    ])
+    return df.toDF(*plain).mapInArrow(lean, inside).toDF(*[f.name for f in schema])
 
 
 def width(df: DataFrame) -> int:
