@@ -10,9 +10,9 @@ linked sets share a signature.
 
 A signature is unusable for a set if it holds no shingle, or if it is common
 (more than ``HOT`` clusters meet there). A set whose usable signatures outlast k
-differences is found through them alone. The few others also meet at the common
-ones, and, if empty parts are to blame, at every single shingle; so no link is
-lost. Inside a bucket each set first meets the smallest; only sets that are
+differences is found through them alone. The others also meet at their single
+shingles that are not common; and those that have not more than k of these, which are
+almost wholly common text, at the common signatures; so no link is lost. Inside a bucket each set first meets the smallest; only sets that are
 still in different clusters then meet each other, so that a big group of copies
 never becomes all its pairs. Candidates pass a bound on the differences (from
 parity bits) and then an exact comparison of the sets.
@@ -113,11 +113,16 @@ def signatures(values: np.ndarray, sizes: np.ndarray, f: int, percent: int, sing
     if singles and (slack <= 0).any():
         weak = (slack <= 0)[number]
         numbers.append(number[weak])
-        found.append(mix(mix(values[weak]) ^ mix(np.array([f + 1 << 56], np.uint64))))
+        found.append(single(values[weak], f))
     # the lowest bit tells a set's two families apart
     return np.concatenate(numbers), np.concatenate(found) & ~np.uint64(1) | np.uint64(f & 1), slack
 
 
+def single(values: np.ndarray, f: int) -> np.ndarray:
+    """The signature of each shingle alone, in family ``f``."""
+    return mix(mix(values) ^ mix(np.array([f + 1 << 56], np.uint64))) & ~np.uint64(1) | np.uint64(f & 1)
+
+
 def families(f: int) -> list[int]:
     """Families that a set of band ``f`` takes part in."""
     return [f, f - 1] if f else [f]
@@ -304,6 +309,27 @@ def _wanted_sets(words: int):
     return run
 
 
+def _single_shingles(words: int, percent: int):
+    """A signature for every shingle of a set, in its even or odd family, with what the set has beyond that family's k."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end, data, offsets in text_chunks(batch.column(2)):
+                values, at = shingle_sets(data, offsets, words)
+                wanted, odd = (np.asarray(batch.column(i).slice(start, end - start)) for i in (0, 1))
+                for i in np.flatnonzero(signed(set_ids(values, at)) == wanted):
+                    own = values[at[i] : at[i + 1]]
+                    band = int(band_of(np.array([len(own)]), percent)[0])
+                    f = next(f for f in families(band) if f & 1 == odd[i])
+                    room = len(own) - family(f, percent)[0]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(single(own, f))), pa.array(np.full(len(own), wanted[i])), pa.array(np.full(len(own), room))],
+                        ["sig", "a", "room"],
+                    )
+
+    return run
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,9 +432,22 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
         bare.join(common.withColumn("odd", F.col("odd").cast("int")), ["a", "odd"], "left")
         .where("slack <= coalesce(common, 0)").select(F.col("a").alias("weak"), "odd")
     )
+    weak = stored(weak)
+    # these meet at their uncommon single shingles; what has too few of them as well, at the common signatures
+    where = stored(weak.join(sets.select(F.col("set_id").alias("weak"), "first"), "weak"))
+    fine = stored(
+        flat.join(where, F.col("doc").eqNullSafe(F.col("first"))).select("weak", "odd", "text")
+        .transform(in_arrow, _single_shingles(words, percent), "sig long, a long, room long").distinct()
+        .join(found, F.col("a") == F.col("node"), "left").select("sig", "a", "room", F.coalesce("root", "a").alias("root"))
+    )
+    crowd = fine.select("sig", "root").distinct().groupBy("sig").agg(F.count("*").alias("roots")).where("roots > 1")
+    fine = stored(fine.join(crowd, "sig"))
+    bare = fine.where(F.col("roots") > HOT).groupBy(F.col("a").alias("weak"), odd.cast("int").alias("odd"))
+    bare = bare.agg((F.count("*") >= F.max("room")).alias("bare")).where("bare").select("weak", "odd")
     cool = placed.where("not hot")
-    warm = placed.where("hot").join(weak, (F.col("a") == F.col("weak")) & (odd == F.col("odd")), "left_semi")
-    left = cool.unionByName(warm.select(cool.columns))
+    warm = placed.where("hot").join(bare, (F.col("a") == F.col("weak")) & (odd == F.col("odd")), "left_semi")
+    left = cool.unionByName(warm.select(cool.columns)).select("sig", "a", "root")
+    left = left.unionByName(fine.where(F.col("roots") <= HOT).select("sig", "a", "root")).distinct()
     right = left.select("sig", F.col("a").alias("b"), F.col("root").alias("root_b"))
     pairs = left.join(right, "sig").where("root <> root_b and a < b").select("a", "b").distinct()
     found = components(star.unionByName(links(pairs)))
