@@ -32,7 +32,9 @@ def _continued_fraction(terms, limit: int = 10_000) -> float:
         step = c * d
         value *= step
         if abs(step - 1.0) < _EPS:
-            break
+            return value
+    if abs(step - 1.0) > 1e-9:
+        raise ArithmeticError(f"a continued fraction did not settle in {limit} terms")
     return value
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,8 @@ def ordered_folds(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
     """Add ``fold``: k blocks of rows in the order of a unique key.
 
     The keys where the folds begin are looked up, and every row is compared with
-    those k - 1 literals. So the rows themselves are not moved.
+    those k - 1 literals. So the rows themselves are not moved. A row with a null
+    key would be in no part and raises.
     """
 
     def starts(n: int) -> list[int]:
@@ -43,7 +46,9 @@ def ordered_folds(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:
     for border in borders:
         edge = F.struct(*[F.lit(border[c]).cast(types[c]).alias(c) for c in order])
         fold = fold + (key >= edge).cast("int")
-    return df.withColumn("fold", fold)
+    missing = reduce(or_, (F.col(c).isNull() for c in order))
+    null_key = F.raise_error(F.lit(f"a fold needs keys that are not null: {', '.join(order)}")).cast("int")
+    return df.withColumn("fold", F.when(missing, null_key).otherwise(fold))
 
 
 def contiguous_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:

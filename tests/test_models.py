@@ -162,6 +162,12 @@ def test_contiguous_folds(regression):
     assert folds.fold_bounds(7, 3) == [(0, 3), (3, 5), (5, 7)]
 
 
+def test_folds_refuse_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "entity string, period int")
+    with pytest.raises(Exception, match="not null"):
+        folds.ordered_folds(df, ["entity", "period"], 2).collect()
+
+
 def test_other_folds(regression):
     train, _, spec, _ = regression
     mixed = folds.shuffled_folds(train, spec, 4, seed=1).toPandas()
