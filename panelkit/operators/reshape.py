@@ -89,23 +89,38 @@ def recode(df: DataFrame, column: str, mapping: Mapping[str, str]) -> DataFrame:
 def fold_outer_join(frames: Sequence[DataFrame], spec: PanelSpec) -> DataFrame:
     """Full outer join of indicators on (entity, period), in one shuffle.
 
-    Each frame holds one row per key. Stacking the frames and grouping by the
-    key gives the rows of the chained outer joins, whatever their number, with
-    a single exchange. The first frame that has a column provides it; the code
-    column is no key and takes the first non-null value.
+    Each frame holds one row per key; a frame that repeats one raises when the
+    result is read (``join_chain`` takes such frames). Stacking the frames and
+    grouping by the key gives the rows of the chained outer joins, whatever
+    their number, with a single exchange. The first frame that has a column
+    provides it; the code column is no key and takes the first non-null value
+    in the order of the frames.
     """
     keys = spec.keys
     code = [spec.code] if spec.code else []
     taken: set[str] = set()
     parts = []
-    for f in frames:
+    for i, f in enumerate(frames):
         own = [c for c in f.columns if c not in keys and c not in taken or c in code]
         taken.update(own)
-        parts.append(f.select(*keys, *own))
+        parts.append(f.select(*keys, *own, F.lit(i).alias("_frame")))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.groupBy(*keys).agg(
-        *[F.max(c).alias(c) for c in stacked.columns if c not in keys]
+    frame = F.col("_frame")
+    columns = [c for c in stacked.columns if c not in keys and c != "_frame"]
+    folded = stacked.groupBy(*keys).agg(
+        *[
+            F.min_by(c, F.when(F.col(c).isNotNull(), frame)).alias(c) if c in code else F.max(c).alias(c)
+            for c in columns
+        ],
+        *[F.count_if(frame == i).alias(f"_rows_{i}") for i in range(len(parts))],
     )
+    repeated = reduce(lambda a, b: a | b, [F.col(f"_rows_{i}") > 1 for i in range(len(parts))])
+    message = F.concat(
+        F.lit("a frame of the outer join repeats the key "),
+        F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
+    )
+    single = F.when(repeated, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return folded.where(single).select(*keys, *columns)
 
 
 def join_chain(frames: Sequence[DataFrame], spec: PanelSpec) -> DataFrame:

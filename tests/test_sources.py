@@ -41,6 +41,35 @@ def test_wide_csv_without_preamble_and_long_csv(spark, tmp_path):
     assert got == {2018: 7.0, None: 8.0}
 
 
+def test_header_is_not_guessed_from_data(spark, tmp_path):
+    names = [f"C{i}" for i in range(10)]
+    long = write(tmp_path / "gdp.csv", "Country Name,Year,gdp", [f"{n},2018,{1950 + i}" for i, n in enumerate(names)], preamble=[])
+    assert {r["gdp"] for r in files.load_indicator(spark, long, "gdp").collect()} == {1950.0 + i for i in range(10)}
+    rows = [f"{n},{1950 + i},{1960 + i}" for i, n in enumerate(names)]
+    for header in ("Country,2018,2019", "Land,2018,2019"):
+        wide = write(tmp_path / "wide.csv", header, rows, preamble=[])
+        got = files.load_indicator(spark, wide, "x").collect()
+        assert {(r["entity"], r["period"]) for r in got} == {(n, p) for n in names for p in (2018, 2019)}
+    for lines in (13, 20, 100):
+        preamble = [f"Note {i},2020" for i in range(lines)]
+        far = write(tmp_path / f"far{lines}.csv", "Country Name,Country Code,2018,2019", ["France,FRA,1,2"], preamble)
+        assert files.load_indicator(spark, far, "x").count() == 2
+
+
+def test_registry_reports_unreadable_files(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="holds no table"):
+        files.load_registry(spark, str(tmp_path), {"x": "bad"})
+
+
+def test_fold_outer_join_refuses_repeated_keys(spark):
+    a = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0)], "entity string, period int, x double")
+    b = spark.createDataFrame([("a", 1, 1.0)], "entity string, period int, z double")
+    with pytest.raises(Exception, match="repeats the key a, 1"):
+        reshape.fold_outer_join([a, b], PanelSpec()).collect()
+    assert reshape.join_chain([a, b], PanelSpec()).count() == 2
+
+
 def test_unreadable_gives_none(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
     assert files.load_indicator(spark, str(tmp_path / "bad.csv"), "x") is None
