@@ -182,7 +182,9 @@ def absorb_alternating(
 ) -> DataFrame:
     """Subtract entity and period means in turn until they vanish.
 
-    Every round is written to the checkpoint folder, so the lineage stays short.
+    Raises if they have not after ``max_rounds``: slow convergence is a property
+    of the panel (entities that overlap in few periods), and a result that has
+    not settled is no estimate. Every round is written to the checkpoint folder, so the lineage stays short.
     """
     current = df
     scale = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first().asDict()
@@ -198,8 +200,10 @@ def absorb_alternating(
             *[F.max(F.abs(f"_m_{c}")).alias(c) for c in columns]
         ).first()
         if all((left[c] or 0.0) <= tolerance * max(scale[c] or 0.0, 1e-300) for c in columns):
-            break
-    return current
+            return current
+    raise RuntimeError(
+        f"the effects did not settle in {max_rounds} rounds; allow more dummies (max_dummies) or rounds"
+    )
 
 
 def fit_two_way(

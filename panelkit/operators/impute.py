@@ -115,8 +115,9 @@ def impute_sequential(
     """As ``impute_window_median``, but fills of earlier periods feed later windows.
 
     A fill can depend on all earlier ones of its entity, so an entity is handled
-    as a whole. That needs declared ``period_bounds``, which bound its rows.
-    Tasks stream over entities in order and hold one batch at a time.
+    as a whole. That needs declared ``period_bounds``, which bound its rows; a
+    row outside them raises. Tasks stream over entities in order and hold one
+    batch at a time.
     """
     if spec.period_bounds is None:
         raise ValueError("sequential imputation needs a PanelSpec with period_bounds")
@@ -158,9 +159,9 @@ def impute_sequential(
             for f in df.schema.fields
         ]
     )
-    ordered = (
-        df.where(spec.within_bounds()).repartition(entity).sortWithinPartitions(entity, time)
-    )
+    outside = F.raise_error(F.lit(f"a row lies outside the period bounds {spec.period_bounds}"))
+    inside = F.when(spec.within_bounds(), True).otherwise(outside.cast("boolean"))
+    ordered = df.where(inside).repartition(entity).sortWithinPartitions(entity, time)
     return ordered.mapInPandas(whole_entities, schema)
 
 

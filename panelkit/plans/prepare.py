@@ -71,17 +71,19 @@ def prepare_panel(
     allowed: DataFrame | None = None,
     output: str | None = None,
     sequential: bool = False,
+    fit_until: int | None = None,
 ) -> PreparedPanel:
     """Load ``folder``, clean the panel, split it and write it if asked to.
 
     ``extra`` takes further indicators, for example one read with ``read_long``.
+    With ``fit_until`` the overall medians come from periods up to it only.
     """
     spec = PanelSpec(target=target, code="code", period_bounds=(YEAR_MIN, YEAR_MAX))
     frames = [*load_registry(spark, folder, files, spec), *extra]
     if not any("code" in f.columns for f in frames):
         spec = PanelSpec(target=target, period_bounds=spec.period_bounds)
     whitelist = allowed if allowed is not None else allowed_entities(spark, spec.entity)
-    panel, spec = clean_panel(frames, spec, whitelist, sequential=sequential)
+    panel, spec = clean_panel(frames, spec, whitelist, sequential=sequential, fit_until=fit_until)
     if output is not None:
         write_splits(panel, spec, train_end, output)
         panel = spark.read.parquet(output).drop("split")

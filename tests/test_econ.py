@@ -10,7 +10,7 @@ from panelkit.econ.diagnostics import (
     ar1_table, breusch_pagan_statistics, diagnostics, diagnostics_table, hausman, random_effects,
 )
 from panelkit.econ.dynamic import DynamicPanel, persistence
-from panelkit.econ.within import fit_two_way
+from panelkit.econ.within import absorb_alternating, fit_two_way
 from panelkit.functions import dist
 from panelkit.spec import PanelSpec
 
@@ -73,6 +73,12 @@ def test_slopes_and_clustered_errors(spark, drop, limit):
     assert 0 <= table["x1"]["p_value"] <= 1
 
 
+def test_effects_that_do_not_settle_raise(spark):
+    df = to_spark(spark, make(0.5, DROPS[1]))
+    with pytest.raises(RuntimeError, match="did not settle"):
+        absorb_alternating(df, SPEC, ["y", "x1", "x2"], max_rounds=1)
+
+
 @pytest.mark.parametrize("drop", DROPS, ids=["balanced", "unbalanced"])
 def test_exact_recovery_without_noise(spark, drop):
     fit = fit_two_way(to_spark(spark, make(0.0, drop)), SPEC)
