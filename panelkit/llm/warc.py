@@ -10,6 +10,7 @@ record, so that lost tasks leave no half archives.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -96,12 +97,15 @@ def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, least
 
 
 def write(rows: DataFrame, path: str, archive_records: int = ARCHIVE_RECORDS) -> None:
-    """Write records as uncompressed archives below ``path``, ``archive_records`` to a file at most."""
-    rows.write.option("lineSep", END).option("maxRecordsPerFile", archive_records).text(path)
+    """Write records as gzipped archives below ``path``, ``archive_records`` to a file at most."""
+    sink = rows.write.option("lineSep", END).option("maxRecordsPerFile", archive_records)
+    sink.option("compression", "gzip").text(path)
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and payload of each record of an archive."""
+    """Headers (names in lower case) and payload of each record of an archive, gzipped or plain."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     at = 0
     while at < len(data):
         end = data.index(END.encode(), at)
