@@ -26,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,8 @@ SPARE, SPARE_GROUPS = 1.2, 2
 BUCKET_BYTES, LEAST_BUCKETS = 64 << 20, 64
 #: Parity bits for each shingle, in powers of two between these.
 LEAST_BITS, MOST_BITS = 64, 1 << 14
+#: Columns of 64 parity bits each that go with a set into the join of signatures.
+SKETCH = [f"s{i}" for i in range(8)]
 
 
 @cache
@@ -158,6 +160,22 @@ def parity(values: np.ndarray) -> bytes:
     return np.packbits(np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1 == 1).tobytes()
 
 
+def sketches(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Parity bits of fixed length for each set, as rows of 64-bit integers; one row for each of ``SKETCH``."""
+    bits, m = 64 * len(SKETCH), len(offsets) - 1
+    place = np.repeat(np.arange(m), np.diff(offsets)) * bits + (values & np.uint64(bits - 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=m * bits).reshape(m, bits) & 1 == 1
+    return np.packbits(odd, axis=1).view(np.int64).reshape(m, len(SKETCH)).T
+
+
+def may_link(percent: int) -> Column:
+    """Whether two sets can be similar enough, by their sizes and sketches (those of the other with ``_b``)."""
+    both = F.col("n") + F.col("n_b")
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))).cast("long") for c in SKETCH), F.lit(0).cast("long"))
+    apart = F.greatest(apart, F.abs(F.col("n") - F.col("n_b")))
+    return apart * (100 + percent) <= both * (100 - percent)
+
+
 def parity_distance(a: bytes, b: bytes) -> int:
     """A lower bound on the number of differing shingles."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -181,8 +199,9 @@ def _described(words: int, percent: int):
                     pa.array(signed(ids)),
                     pa.array(signed(set_ids(mix(values), at))),
                     *map(pa.array, slacks(values, at, percent)),
+                    *(pa.array(np.ascontiguousarray(x)) for x in sketches(values, at)),
                     pa.array([parity(values[a:b]) for a, b in zip(at, at[1:])], pa.binary()),
-                ], ["doc", "mark", "n", "set_id", "check", "slack0", "slack1", "bits"])
+                ], ["doc", "mark", "n", "set_id", "check", "slack0", "slack1", *SKETCH, "bits"])
 
     return run
 
@@ -364,7 +383,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     id_type = flat.schema["doc"].dataType
     schema = T.StructType([
-        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("mark", "n", "set_id", "check", "slack0", "slack1")),
+        T.StructField("doc", id_type), *(T.StructField(c, T.LongType()) for c in ("mark", "n", "set_id", "check", "slack0", "slack1", *SKETCH)),
         T.StructField("bits", T.BinaryType()),
     ])
     marked = flat.select("doc", "text", F.xxhash64("text").alias("mark"))
@@ -372,7 +391,7 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     sets = stored(
         rows.where("n > 0").groupBy("set_id").agg(
             F.min("doc").alias("first"), F.min("check").alias("check"), F.max("check").alias("other"),
-            F.first("n").alias("n"), F.first("slack0").alias("slack0"), F.first("slack1").alias("slack1"), F.first("bits").alias("bits"),
+            *(F.first(c).alias(c) for c in ("n", "slack0", "slack1", *SKETCH, "bits")),
         )
     )
     if not sets.where("check <> other").isEmpty():
@@ -448,8 +467,9 @@ def jaccard_components(docs: DataFrame, id_col: str, text_col: str, words: int =
     warm = placed.where("hot").join(bare, (F.col("a") == F.col("weak")) & (odd == F.col("odd")), "left_semi")
     left = cool.unionByName(warm.select(cool.columns)).select("sig", "a", "root")
     left = left.unionByName(fine.where(F.col("roots") <= HOT).select("sig", "a", "root")).distinct()
-    right = left.select("sig", F.col("a").alias("b"), F.col("root").alias("root_b"))
-    pairs = left.join(right, "sig").where("root <> root_b and a < b").select("a", "b").distinct()
+    left = left.join(sets.select(F.col("set_id").alias("a"), "n", *SKETCH), "a")
+    right = left.select("sig", F.col("a").alias("b"), *(F.col(c).alias(f"{c}_b") for c in ("root", "n", *SKETCH)))
+    pairs = left.join(right, "sig").where((F.expr("root <> root_b and a < b")) & may_link(percent)).select("a", "b").distinct()
     found = components(star.unionByName(links(pairs)))
 
     cluster = sets.join(found, F.col("set_id") == F.col("node"), "left").select(
