@@ -6,9 +6,11 @@ orders of the vectors; then rounds of joins compare, for every node, its
 neighbours and those that have it as a neighbour with each other, since the
 neighbour of a neighbour is likely a neighbour. Only pairs with something new
 are compared, and only what improves a list is sent. A list that is full of links is
-saturated: its whole cluster is then compared in blocks, so that no links are
-cut off by the length of lists. A sample of nodes is compared with all
-vectors, and rounds go on until its recall is reached.
+saturated: its whole cluster is then compared in blocks, and also with the other
+saturated clusters that a centre and a radius do not keep apart, so that no links
+are cut off by the length of lists. A sample of nodes is compared with all
+vectors, and rounds go on until its recall is reached; if the last round falls
+short of it, every cluster and single node is compared in that way.
 """
 
 from __future__ import annotations
@@ -33,8 +35,10 @@ ORDERS, BITS, WINDOW = 6, 30, 32
 ROUNDS, MOST_ROUNDS, STILL = 2, 8, 0.002
 #: Nodes of an audit and the recall of their links that is asked for.
 AUDIT, RECALL = 256, 0.97
-#: Nodes of a block of a saturated cluster.
-BLOCK = 256
+#: Nodes of a block of a saturated cluster, and clusters of a block of centres.
+BLOCK, CENTRES = 256, 2048
+#: Angle by which the bound on two clusters is widened, for rounding.
+SLACK = 1e-5
 
 log = logging.getLogger(__name__)
 
@@ -161,17 +165,59 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(threshold: float):
-    """Links (weighted by copies) of each node in a pair of blocks of a cluster."""
+    """Links (weighted by copies) of each node in a pair of blocks, of a cluster (root = far) or of two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["root", "p", "q"]):
-            nodes, block, copies = (np.asarray(group.column(c)) for c in ("node", "block", "copies"))
+        for group in _groups(batches, ["root", "far", "p", "q"]):
+            nodes, part, copies = (np.asarray(group.column(c)) for c in ("node", "part", "copies"))
+            root, far, p, q = (group.column(c)[0].as_py() for c in ("root", "far", "p", "q"))
             x = unit(group.column("emb").combine_chunks())
             linked = x @ x.T >= threshold
             np.fill_diagonal(linked, False)
+            if root != far or p != q:
+                linked &= part[:, None] != part[None, :]
+            n = len(nodes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, root)), pa.array(np.full(n, far)), pa.array(nodes), pa.array(linked @ copies)], ["root", "far", "node", "links"]
+            )
+
+    return run
+
+
+def _centred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A direction for each cluster: the mean of the vectors of its first block."""
+    for group in _groups(batches, ["root"]):
+        x = unit(group.column("emb").combine_chunks())
+        mean = x.mean(axis=0)
+        if np.linalg.norm(mean) < 1e-6:
+            mean = x[0]
+        yield pa.RecordBatch.from_arrays([group.column("root").slice(0, 1).combine_chunks(), pa.array([mean / np.linalg.norm(mean)])], ["root", "centre"])
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Angle between each row's vector and the centre of its cluster."""
+    for batch in batches:
+        size = np.diff(np.asarray(batch.column("emb").offsets))
+        for d in np.unique(size):
+            own = batch.filter(pa.array(size == d))
+            cos = np.einsum("ij,ij->i", unit(own.column("emb")), unit(own.column("centre")))
+            yield pa.RecordBatch.from_arrays([own.column("root"), pa.array(np.arccos(np.clip(cos, -1, 1)))], ["root", "angle"])
+
+
+def _close(threshold: float):
+    """Pairs of clusters of two blocks that the triangle inequality on angles does not keep apart."""
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + SLACK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["grp", "p", "q"]):
+            roots, block, radius = (np.asarray(group.column(c)) for c in ("root", "block", "radius"))
+            x = unit(group.column("centre").combine_chunks())
+            near = np.arccos(np.clip(x @ x.T, -1, 1)) <= radius[:, None] + radius[None, :] + reach
+            near &= roots[:, None] < roots[None, :]
             if group.column("p")[0] != group.column("q")[0]:
-                linked &= block[:, None] != block[None, :]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(linked @ copies)], ["node", "links"])
+                near &= block[:, None] != block[None, :]
+            i, j = np.nonzero(near)
+            yield pa.RecordBatch.from_arrays([pa.array(roots[i]), pa.array(roots[j])], ["root", "far"])
 
     return run
 
@@ -206,25 +252,63 @@ def _edges(lists: DataFrame, threshold: float) -> DataFrame:
     return rows.select(F.least("node", "nbr").alias("a"), F.greatest("node", "nbr").alias("b")).distinct()
 
 
-def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int) -> tuple[DataFrame, DataFrame]:
-    """(node, links) and (node, root), with saturated clusters compared whole."""
+def _neighbours(members: DataFrame, threshold: float) -> DataFrame:
+    """(root, far), root < far, of clusters that may hold links between them; ``members`` are (root, grp, block, node, emb)."""
+    n = width(members)
+    first = members.where("block = 0").select("root", "emb").repartition(n, "root").sortWithinPartitions("root")
+    centres = first.transform(in_arrow, _centred, "root long, centre array<double>")
+    told = members.select("root", "emb").join(centres, "root").select("root", "emb", "centre").transform(in_arrow, _spread, "root long, angle double")
+    some = members.groupBy("root").agg(F.first("grp").alias("grp")).join(told.groupBy("root").agg(F.max("angle").alias("radius")), "root").join(centres, "root")
+    some = stored(some)
+    sizes = some.groupBy("grp").agg(F.ceil(F.count("*") / CENTRES).cast("long").alias("blocks"))
+    some = some.join(sizes, "grp").withColumn("block", F.pmod(F.xxhash64("root", F.lit(5)), F.col("blocks")))
+    some = some.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = some.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "root", "block", "radius", "centre")
+    dealt = dealt.repartition(n, "grp", "p", "q").sortWithinPartitions("grp", "p", "q")
+    return stored(dealt.transform(in_arrow, _close(threshold), "root long, far long"))
+
+
+def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(node, links) and (node, root), with saturated clusters, or ``every`` one, compared whole and with each other."""
     edges = stored(_edges(lists, threshold))
     found = stored(components(edges))
-    full = lists.where((F.size("list") >= size) & (F.element_at("list", -1)["sim"] >= threshold)).select("node")
-    dense = found.join(full, "node", "left_semi").select("root").distinct()
+    if every:
+        found = stored(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        dense = found.select("root").distinct()
+    else:
+        full = lists.where((F.size("list") >= size) & (F.element_at("list", -1)["sim"] >= threshold)).select("node")
+        dense = found.join(full, "node", "left_semi").select("root").distinct()
+    dense = stored(dense)
     members = found.join(dense, "root", "left_semi")
-    sizes = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    members = members.join(sizes, "root").join(nodes.select("node", "emb", "copies"), "node")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    pair = ["root", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")]
-    dealt = members.select(*pair, "node", "block", "copies", "emb").repartition(width(nodes), "root", "p", "q")
-    whole = dealt.sortWithinPartitions("root", "p", "q").transform(in_arrow, _counted(threshold), "node long, links long")
-    whole = whole.groupBy("node").agg(F.sum("links").alias("links"))
+    sizes = stored(members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")))
+    members = members.join(sizes, "root").join(nodes.select("node", "grp", "emb", "copies"), "node")
+    members = stored(members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    # a cluster's first block may be empty by chance: its lowest one counts as the first
+    lowest = members.groupBy("root").agg(F.min("block").alias("lowest"))
+    pairs = _neighbours(members.join(lowest, "root").withColumn("block", F.col("block") - F.col("lowest")), threshold)
+
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    within = members.select("root", F.col("root").alias("far"), "node", "block", "copies", "emb", other).select(
+        "root", "far", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", F.col("block").alias("part"), "copies", "emb"
+    )
+    ends = [pairs.select("root", "far", F.col(a).alias("own"), F.col(b).alias("there"), F.lit(k).cast("long").alias("part")) for k, (a, b) in enumerate((("root", "far"), ("far", "root")))]
+    across = ends[0].unionByName(ends[1]).join(sizes.withColumnRenamed("root", "there"), "there")
+    across = across.join(members.select(F.col("root").alias("own"), "node", "block", "copies", "emb"), "own")
+    across = across.select("root", "far", "part", "node", "block", "copies", "emb", other).select(
+        "root", "far", F.when(F.col("part") == 0, F.col("block")).otherwise(F.col("other")).alias("p"),
+        F.when(F.col("part") == 0, F.col("other")).otherwise(F.col("block")).alias("q"), "node", "part", "copies", "emb",
+    )
+    dealt = within.unionByName(across).repartition(width(nodes), "root", "far", "p", "q").sortWithinPartitions("root", "far", "p", "q")
+    told = dealt.transform(in_arrow, _counted(threshold), "root long, far long, node long, links long")
+    told = stored(told.groupBy("root", "far", "node").agg(F.sum("links").alias("links")))
+    whole = told.groupBy("node").agg(F.sum("links").alias("links"))
+    bridges = told.where("root <> far and links > 0").select(F.col("root").alias("a"), F.col("far").alias("b")).distinct()
     rest = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sparse = rest.join(found.join(dense, "root", "left_semi").select(F.col("node").alias("a")), "a", "left_anti")
+    sparse = rest.join(members.select(F.col("node").alias("a")), "a", "left_anti")
     sparse = sparse.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("links"))
-    return stored(whole.unionByName(sparse)), found
+    merged = components(bridges).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    found = found.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return stored(whole.unionByName(sparse)), stored(found)
 
 
 def _audited(sample, threshold: float):
@@ -278,7 +362,8 @@ def near_duplicates(
     component, and are not kept. An empty table gives no rows.
 
     Links between equal vectors are exact; others are found by the search, whose
-    recall is audited against brute force on ``AUDIT`` nodes and logged.
+    recall is audited against brute force on ``AUDIT`` nodes and logged. Where it
+    stays below ``recall``, all clusters and single nodes are compared.
     """
     rows = vectors.select(
         F.col(f"`{id_col}`").alias("vec"), F.col(f"`{label_col}`").alias("label"),
@@ -299,7 +384,7 @@ def near_duplicates(
     )
     lists = _lists(dealt.transform(in_arrow, _windows, "node long, nbr long, sim double").withColumn("fresh", F.lit(1)), size)
     release(vectors.sparkSession)
-    links = found = None
+    links = found = got = None
     for k in range(1, MOST_ROUNDS + 1):
         lists = _round(nodes, lists, size)
         release(vectors.sparkSession)
@@ -311,8 +396,9 @@ def near_duplicates(
         log.info("round %d: %.4f of the lists new, recall %.4f", k, news, got)
         if got >= recall or news < STILL:
             break
-    if got < recall:
-        log.warning("recall of the audited nodes is %.3f, below %.3f", got, recall)
+    if got is not None and got < recall:
+        log.warning("recall of the audited nodes is %.3f, below %.3f: all clusters are compared", got, recall)
+        links, found = _links(nodes, lists, threshold, size, every=True)
     named = nodes.join(found, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
     per = named.groupBy("root").agg(F.min("first").alias("component_id"))
     facts = named.join(per, "root").join(links, "node", "left").select(

@@ -214,6 +214,26 @@ def test_vectors_against_brute_force(spark):
     assert nn_descent.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("recall", [0.97, 2.0])  # no search reaches the second: all clusters are compared
+def test_tight_clumps_of_one_family(spark, recall):
+    rng = np.random.default_rng(4)
+    middle = rng.normal(size=16)
+    clumps = [middle + 0.19 * rng.normal(size=16) for _ in range(6)]
+    x = np.concatenate([rng.normal(size=(200, 16)), *(c + 0.01 * rng.normal(size=(20, 16)) for c in clumps)]).astype(np.float32)
+    rows = [(i, [float(v) for v in e], 1) for i, e in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r for r in nn_descent.near_duplicates(df, recall=recall).collect()}
+    y = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    links = y @ y.T >= 0.93
+    np.fill_diagonal(links, False)
+    assert any(links[200 + 20 * a, 200 + 20 * b] for a in range(6) for b in range(a))
+    assert [got[i].n_links for i in range(len(x))] == links.sum(axis=1).tolist()
+    root = list(range(len(x)))
+    for _ in x:
+        root = [min([root[i], *(root[j] for j in np.flatnonzero(links[i]))]) for i in range(len(x))]
+    assert [got[i].component_id for i in range(len(x))] == root
+
+
 @given(st.text(alphabet="<|/s>[INST]\\turnoversay ", max_size=60))
 def test_escape_round_trip(text):
     safe = chat.escape(text)
