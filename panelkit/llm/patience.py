@@ -9,6 +9,7 @@ not so before. Matched words over template words is the coverage.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,6 +137,55 @@ def regions(hits: np.ndarray, length: int, least: int) -> Iterator[tuple[int, in
         yield max(start, 0), stop
 
 
+def spans(text: list[int], template: list[int], least: int, at: int) -> Iterator[tuple[int, int, int]]:
+    """(matched, first, end) of the stretches of ``text`` that match ``least`` words of the template, in order.
+
+    A window starts at a word of the template and is about as long as the template, so
+    that a second copy behind it does not hide the words that occur once; the next one
+    starts at the end of a match. Windows that hold too few of the template's words,
+    counted with their copies, cannot match and are not aligned. ``at`` is the place of
+    the text's first word.
+    """
+    have = Counter(template)
+    length = len(template)
+    widths = (length, length + length // 4 + 1, 2 * length)
+    hits = [i for i, w in enumerate(text) if w in have]
+
+    def aligned(start: int, width: int) -> tuple[int, int, int, list[tuple[int, int]]] | None:
+        """With a score first: a matched word counts 4, another one between the ends of the match -1."""
+        pairs = [(start + x, t) for x, t in align(text[start : start + width], template)]
+        if len(pairs) < least:
+            return None
+        return 5 * len(pairs) - (pairs[-1][0] + 1 - pairs[0][0]), -pairs[0][0], len(pairs), pairs
+
+    held: Counter[int] = Counter()
+    common = stop = done = 0  # ``held`` are the hits from the k-th to ``stop``
+    for k, start in enumerate(hits):
+        while stop < len(hits) and hits[stop] < start + widths[-1]:
+            word = text[hits[stop]]
+            common += held[word] < have[word]
+            held[word] += 1
+            stop += 1
+        if common >= least and start >= done:
+            best = max(filter(None, (aligned(start, w) for w in widths)), default=None)
+            tried = {start}
+            while best:
+                # most pairs are on the diagonal of the copy itself, which says where it starts
+                shift = Counter(x - t for x, t in best[3]).most_common(1)[0][0]
+                starts = {max(shift, done), best[3][0][0]} - tried
+                tried |= starts
+                better = max(filter(None, (aligned(s, w) for s in starts for w in widths)), default=None)
+                if not better or better[:3] <= best[:3]:
+                    break
+                best = better
+            if best:
+                done = best[3][-1][0] + 1
+                yield best[2], at + best[3][0][0], at + done
+        word = text[start]
+        held[word] -= 1
+        common -= held[word] < have[word]
+
+
 def _scanned(templates: tuple[tuple[str, str], ...], coverage: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = []
@@ -160,13 +210,9 @@ def _scanned(templates: tuple[tuple[str, str], ...], coverage: float):
                         if len(mine) < least:
                             continue
                         text = hashes[edges[k] : edges[k + 1]].tolist() if text is None else text
-                        best = None
                         for a, b in regions(mine - edges[k], len(template), least):
-                            pairs = align(text[a:b], template)
-                            if len(pairs) >= least and (best is None or len(pairs) > best[0]):
-                                best = (len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1)
-                        if best:
-                            rows.append((start + int(k), name, best[0], len(template), best[1], best[2]))
+                            for matched, first, end in spans(text[a:b], template, least, a):
+                                rows.append((start + int(k), name, matched, len(template), first, end))
                 if rows:
                     r, name, matched, total, first, last = map(list, zip(*rows))
                     yield pa.RecordBatch.from_arrays(
@@ -185,9 +231,9 @@ def licenses(
 
     Words are runs of letters and digits, A-Z in lower case. Only stretches of a text that
     hold as many of a template's words as the coverage asks for, within twice its
-    length, are aligned; elsewhere it could not be reached. Of several stretches
-    the one with most matches, then the first, counts. Null and empty texts and
-    templates hold nothing; rows may repeat; an empty table gives no rows; other
+    length, are aligned; elsewhere it could not be reached. Every stretch that
+    reaches the coverage is a row; stretches of a template do not overlap. Null and empty
+    texts and templates hold nothing; rows may repeat; an empty table gives no rows; other
     columns are not read. Nothing is shuffled. Templates are few: a parameter.
     """
     flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))

@@ -324,6 +324,20 @@ def test_licenses(spark, odd, none, docs, texts):
     assert patience.licenses(none, "doc_id", "text").count() == 0 and patience.licenses(odd, "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("number", [0, 4])
+def test_licenses_that_follow_each_other(spark, number):
+    name, notice = patience.TEMPLATES[number]
+    n = len(re.findall("[A-Za-z0-9]+", notice))
+    gaps = [0, 1, 3, 6, 8, 10, 30, 400]
+    say = lambda k: " ".join(f"w{i}" for i in range(k))
+    rows = [(g, f"{say(50)} {notice} {say(g)} {notice} {say(50)} the license") for g in gaps]
+    rows.append((-1, " ".join([notice] * 5)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in patience.licenses(df, "doc_id", "text", ((name, notice),)).collect()]
+    want = [(g, name, n, 1.0, a, a + n) for g in gaps for a in (50, 50 + n + g)] + [(-1, name, n, 1.0, n * i, n * i + n) for i in range(5)]
+    assert sorted(found) == sorted(want)
+
+
 def test_pipeline_against_brute_force(spark, docs, texts):
     out = corpus_pipeline.run(spark, FOLDER).toPandas()
     good = QUERIES["op7_bradley_terry"](spark, FOLDER).where("predicted = 1").toPandas().doc_id.sort_values().tolist()
