@@ -71,27 +71,43 @@ def _hits(words: Column, known: Callable[[Column], Column] | None = None) -> Col
     return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), of), 0)
 
 
-def _segment(same: Column) -> Column:
-    """The run of an array of booleans with the largest balance of +1 for true and -2 for false.
+def _segment(same: Column, least: Column, share: float) -> Column:
+    """The longest run of an array of booleans with ``least`` elements or more and a ``share`` of true ones.
 
-    As struct(balance, start, length, equal), start from 0; the first of equals.
+    As struct(start, length, equal), start from 0, the first of equals; null if there is none.
+    False elements at the ends of the run are left out as far as ``least`` elements remain.
+
+    A run has the share if true minus share x length has not fallen from its start to its
+    end; the longest run to an end begins where that balance first was as low, which
+    is one of the places where it was lower than at all places before.
     """
-    none = F.struct(*(F.lit(0).alias(c) for c in ("balance", "start", "length", "equal")))
+    tiny = 1e-9
+    balance = lambda p: p["equal"] - F.lit(share) * p["at"]
+    point = lambda at, equal: F.struct(at.alias("at"), equal.alias("equal"))
+    run = lambda start, length, equal: F.struct(start.alias("start"), length.alias("length"), equal.alias("equal"))
+    zero = point(F.lit(0), F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
-        at, now = acc["at"], acc["now"]
-        go = now["balance"] > 0
-        balance = F.when(go, now["balance"]).otherwise(F.lit(0)) + F.when(x, F.lit(1)).otherwise(F.lit(-2))
-        grown = F.struct(
-            balance.alias("balance"), F.when(go, now["start"]).otherwise(at).alias("start"),
-            (F.when(go, now["length"]).otherwise(F.lit(0)) + 1).alias("length"),
-            (F.when(go, now["equal"]).otherwise(F.lit(0)) + x.cast("int")).alias("equal"),
-        )
-        best = F.when(grown["balance"] > acc["best"]["balance"], grown).otherwise(acc["best"])
-        return F.struct((at + 1).alias("at"), grown.alias("now"), best.alias("best"))
+        now = point(acc["now"]["at"] + 1, acc["now"]["equal"] + x.cast("int"))
+        low = F.get(F.filter(acc["lows"], lambda p: balance(p) <= balance(now) + tiny), F.lit(0))
+        length = now["at"] - low["at"]
+        better = low.isNotNull() & (length >= least) & (length > acc["best"]["length"])
+        best = F.when(better, run(low["at"], length, now["equal"] - low["equal"])).otherwise(acc["best"])
+        lows = F.when(low.isNull(), F.concat(acc["lows"], F.array(now))).otherwise(acc["lows"])
+        return F.struct(now.alias("now"), lows.alias("lows"), best.alias("best"))
+
+    start = F.struct(zero.alias("now"), F.array(zero).alias("lows"), run(F.lit(0), F.lit(0), F.lit(0)).alias("best"))
+
+    def trimmed(best: Column) -> Column:
+        inner = F.slice(same, best["start"] + 1, best["length"])
+        first = F.least(F.array_position(inner, F.lit(True)).cast("int") - 1, best["length"] - least)
+        last = best["length"] - F.array_position(F.reverse(inner), F.lit(True)).cast("int") + 1
+        return run(best["start"] + first, F.greatest(last - first, least), best["equal"])
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("now"), none.alias("best"))
-    return F.aggregate(same, start, step, lambda acc: acc["best"])
+    # fewer true elements than the shortest run needs: most alignments of a chance hit end here
+    enough = (F.size(same) >= least) & (F.size(F.filter(same, lambda x: x)) >= F.lit(share) * least - tiny) & (least > 0)
+    best = F.get(F.filter(F.array(F.aggregate(same, start, step, lambda acc: acc["best"])), lambda b: b["length"] > 0), F.lit(0))
+    return F.when(enough, F.get(F.transform(F.array(best), lambda b: F.when(b.isNotNull(), trimmed(b))), F.lit(0)))
 
 
 def overlaps(
@@ -102,9 +118,9 @@ def overlaps(
 
     Words are lower-case runs of letters and digits. An alignment puts item and
     document against each other at a fixed distance; it is tried if a seed hits
-    on it. Along it the run with the largest balance (an equal word counts +1, another
-    -2) is the overlap. It counts if it has ``least_words`` words (or the whole
-    item, if that is shorter) of which ``least_share`` are equal. start is its first
+    on it. An overlap is any run along it of ``least_words`` words or more (or the whole
+    item, if that is shorter) of which ``least_share`` are equal. The longest one
+    counts, without the other words at its ends beyond ``least_words``. start is its first
     word in the document, from 0. Of several alignments of an item the one with
     most equal words, then the first, stays.
 
@@ -137,11 +153,9 @@ def overlaps(
     start = F.greatest(F.col("shift"), F.lit(0))
     skip = F.greatest(-F.col("shift"), F.lit(0))
     length = F.least(F.size("doc_words") - start, F.size("words") - skip)
-    same = F.zip_with(F.slice("doc_words", start + 1, length), F.slice("words", skip + 1, length), lambda x, y: x == y)
-    rows = rows.withColumn("s", _segment(same)).withColumn("start", start + F.col("s.start"))
-    rows = rows.where(
-        (F.col("s.length") >= F.least(F.lit(least_words), F.size("words"))) & (F.col("s.equal") >= F.lit(least_share) * F.col("s.length"))
-    )
+    rows = rows.withColumn("same", F.zip_with(F.slice("doc_words", start + 1, length), F.slice("words", skip + 1, length), lambda x, y: x == y))
+    needed = F.least(F.lit(least_words), F.size("words"))
+    rows = rows.withColumn("s", _segment(F.col("same"), needed, least_share)).where("s is not null").withColumn("start", start + F.col("s.start"))
     best = F.max_by(F.struct("start", "s.length", "s.equal"), F.struct("s.equal", -F.col("start")))
     rows = rows.groupBy("key", "doc", "item_key", "item").agg(best.alias("b"))
     return rows.select(

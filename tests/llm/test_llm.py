@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelkit.llm import (
@@ -287,6 +288,42 @@ def test_benchmark_passages(spark, odd, none, texts):
     assert decontaminate.clean(none, items, "doc_id", "text", "item_id", "text").count() == 0
 
 
+def test_any_run_with_the_share_is_an_overlap(spark):
+    def changed(n, *at):
+        return " ".join("other" if i in at else f"t{i}" for i in range(n))
+
+    gaps = [*range(13, 17), *range(26, 30)]
+    cases = {
+        "gaps": (39, gaps, (0, 38, 30)), "edge13": (13, [1], (0, 13, 12)), "edge15": (15, [13], (0, 15, 14)),
+        "two15": (15, [1, 13], (0, 15, 13)), "three20": (20, [1, 8, 18], (0, 20, 17)), "four20": (20, [1, 7, 17, 18], (0, 20, 16)),
+        "ends": (15, [0, 14], (1, 13, 13)), "five20": (20, [1, 4, 10, 16, 18], None),
+    }
+    rows = spark.createDataFrame([(k, changed(n, *at)) for k, (n, at, _) in cases.items()], "doc_id string, text string")
+    items = spark.createDataFrame([(n, changed(n)) for n in sorted({n for n, _, _ in cases.values()})], "item_id long, text string")
+    found = decontaminate.overlaps(rows, items, "doc_id", "text", "item_id", "text").collect()
+    got = {(r.doc_id, r.item_id): (r.start, r.words, r.equal_words) for r in found}
+    rng = np.random.default_rng(6)
+    for k, (n, at, want) in cases.items():
+        if k not in ("gaps", "five20"):
+            assert got[k, n] == want, k
+    # the longest run and the share, by brute force
+    for k, (n, at, _) in cases.items():
+        same = [i not in at for i in range(n)]
+        runs = [(b - a, -a) for a in range(n) for b in range(a + 13, n + 1) if sum(same[a:b]) >= 0.8 * (b - a)]
+        assert ((k, n) in got) == bool(runs), k
+    lines = [rng.random(int(n)) < p for n in rng.integers(1, 50, 150) for p in (0.7, 0.85)]
+    df = spark.createDataFrame([(i, [bool(x) for x in line]) for i, line in enumerate(lines)], "i long, same array<boolean>")
+    runs = {r.i: r.s for r in df.select("i", decontaminate._segment(F.col("same"), F.lit(13), 0.8).alias("s")).collect()}
+    for i, line in enumerate(lines):
+        n = len(line)
+        long = [(b - a, -a) for a in range(n) for b in range(a + 13, n + 1) if line[a:b].sum() >= 0.8 * (b - a) - 1e-9]
+        assert (runs[i] is not None) == bool(long)
+        if long:
+            a, s = -max(long)[1], runs[i]
+            assert a <= s.start and s.start + s.length <= a + max(long)[0] and s.length >= 13
+            assert s.equal == line[a : a + max(long)[0]].sum() == line[s.start : s.start + s.length].sum()
+
+
 def test_shards_are_equal_and_repeatable(spark, odd, none, docs):
     a = shards.shards(docs, "doc_id", "text").select("doc_id", "shard", "slot").toPandas()
     b = shards.shards(docs.repartition(5), "doc_id", "text").select("doc_id", "shard", "slot").toPandas()
