@@ -708,6 +708,13 @@ def panel_report_sink(spark, folder):
 
 
 def _split_customers(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """All rows of the customer panel, imputed before the split."""
+    panel = stored(impute.impute_window_median(stored(customer_year(spark, folder)), CY))
+    return temporal.split_at(panel, CY, TRAIN_YEAR)
+
+
+def _split_complete_customers(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """The rows that the SQL twins of the neighbour queries read."""
     panel = stored(reshape.complete_cases(customer_year(spark, folder)))
     return temporal.split_at(panel, CY, TRAIN_YEAR)
 
@@ -731,13 +738,13 @@ for _kind in ("random_forest", "xgboost", "gradient_boosting", "elastic_net", "s
 @query
 def knn_regress(spark, folder):
     spec = CY.with_features("urgent_share", "log_ticket_f", "log_ticket_o")
-    return tidy(knn_predict(*_split_customers(spark, folder), spec, 5, "distance"))
+    return tidy(knn_predict(*_split_complete_customers(spark, folder), spec, 5, "distance"))
 
 
 @query
 def knn_uniform_manhattan(spark, folder):
     spec = CY.with_features("log_ticket_f", "log_ticket_o")
-    return tidy(knn_predict(*_split_customers(spark, folder), spec, 7, "uniform", "manhattan"))
+    return tidy(knn_predict(*_split_complete_customers(spark, folder), spec, 7, "uniform", "manhattan"))
 
 
 @query
