@@ -18,7 +18,8 @@ from panelkit.llm.common import own_name
 from panelkit.runtime import stored
 
 #: Masks over eight tokens: 1 takes part in the hash, 0 is ignored. All begin with both ``ANCHOR`` positions.
-SEEDS = ("11101101", "10110111")
+#: One of them lies on equal words in any 13 words or more of which 0.8 are equal (tried for all places of the others).
+SEEDS = ("11101101", "10110111", "11100011", "11110100", "10110011")
 ANCHOR = (0, 2)
 #: An overlap counts with at least so many aligned words, of which at least this share is equal.
 LEAST_WORDS, LEAST_SHARE = 13, 0.8
@@ -71,6 +72,36 @@ def _hits(words: Column, known: Callable[[Column], Column] | None = None) -> Col
     return F.get(F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), of), 0)
 
 
+def _piece(words: Column, at: Column, length: Column) -> Column:
+    return F.struct(at.cast("int").alias("at"), F.xxhash64(length.cast("int"), F.slice(words, at + 1, length)).alias("hash"))
+
+
+def _pieces(words: Column, share: float) -> Column:
+    """Struct(at, hash) of pieces of a short item: one more than words may differ, so that one piece is equal."""
+    length = _piece_length(words, share)
+    return F.transform(F.sequence(F.lit(0), _differing(words, share)), lambda j: _piece(words, (j * length).cast("int"), length))
+
+
+def _differing(words: Column, share: float) -> Column:
+    return F.floor(F.size(words) * F.lit(1 - share) + F.lit(1e-9)).cast("int")
+
+
+def _piece_length(words: Column, share: float) -> Column:
+    return F.floor(F.size(words) / (_differing(words, share) + 1)).cast("int")
+
+
+def _map(slots: DataFrame) -> Column:
+    """The numbers of a column ``slot`` as a map of ``SLOTS`` bytes."""
+    out = bytearray(SLOTS)
+    for row in slots.where("slot is not null").distinct().collect():  # SLOTS numbers at most
+        out[row.slot] = 1
+    return F.lit(bytes(out))
+
+
+def _marked(slots: Column, slot: Column) -> Column:
+    return F.substring(slots, slot.cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+
+
 def _segment(same: Column, least: Column, share: float) -> Column:
     """The longest run of an array of booleans with ``least`` elements or more and a ``share`` of true ones.
 
@@ -124,24 +155,35 @@ def overlaps(
     word in the document, from 0. Of several alignments of an item the one with
     most equal words, then the first, stays.
 
-    Null ids take part like others; null or short texts match nothing, and so do
-    items shorter than a seed. Repeated documents or items each give the rows of
+    Items of fewer than ``least_words`` words are found by equal pieces, one more than
+    words may differ. Null ids take part like others; null texts match nothing. Repeated documents or items each give the rows of
     one. Empty tables give no rows. Other columns are not read.
     """
     key = F.xxhash64("doc", "text")
     texts = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
     bench = items.select(F.col(f"`{item_col}`").alias("item"), tokens(F.col(f"`{item_text}`")).alias("words")).distinct()
     bench = stored(bench.withColumn("item_key", F.xxhash64("item", "words")))
-    index = bench.select("item_key", F.inline(_hits(F.col("words")))).withColumnRenamed("at", "item_at").distinct()
-    index = stored(index)
-    slots = bytearray(SLOTS)
-    pairs = bench.select(F.explode(_pairs(F.col("words"))).alias("slot")).distinct()
-    for row in pairs.where("slot is not null").collect():  # SLOTS numbers at most
-        slots[row.slot] = 1
-    slots = F.lit(bytes(slots))
+    short = bench.where((F.size("words") > 0) & (F.size("words") < least_words))
+    pieces = short.select("item_key", F.inline(_pieces(F.col("words"), least_share)))
+    index = bench.select("item_key", F.inline(_hits(F.col("words")))).unionByName(pieces)
+    index = stored(index.withColumnRenamed("at", "item_at").distinct())
+    slots = _map(bench.select(F.explode(_pairs(F.col("words"))).alias("slot")))
 
     # most word pairs are in no item, and most hashes neither: both go before any shuffle
-    hits = _hits(tokens(F.col("text")), lambda slot: F.substring(slots, slot.cast("int") + 1, F.lit(1)) == F.lit(b"\x01"))
+    hits = _hits(tokens(F.col("text")), lambda slot: _marked(slots, slot))
+    lengths = [r.n for r in short.select(_piece_length(F.col("words"), least_share).alias("n")).distinct().collect()]  # below least_words
+    if lengths:
+        known = _map(pieces.select(F.pmod("hash", F.lit(SLOTS)).alias("slot")))
+
+        def of(words: Column) -> Column:
+            def at_all(n: int) -> Column:
+                places = F.sequence(F.lit(0), F.size(words) - n)
+                return F.when(F.size(words) >= n, F.transform(places, lambda p: _piece(words, p, F.lit(n))))
+
+            every = F.flatten(F.array_compact(F.array(*map(at_all, sorted(lengths)))))
+            return F.filter(every, lambda x: _marked(known, F.pmod(x["hash"], F.lit(SLOTS))))
+
+        hits = F.concat(hits, F.get(F.transform(F.array(tokens(F.col("text"))), of), 0))
     found = texts.select(key.alias("key"), F.inline(hits))
     found = found.join(F.broadcast(index) if index.count() <= BROADCAST_HASHES else index, "hash")
     found = stored(found.select("key", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct())

@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -324,6 +325,22 @@ def test_any_run_with_the_share_is_an_overlap(spark):
             assert s.equal == line[a : a + max(long)[0]].sum() == line[s.start : s.start + s.length].sum()
 
 
+def test_seeds_and_pieces_hit_every_admissible_pattern(spark):
+    for n, k in ((13, 2), (14, 2), (15, 3), (16, 3), (20, 4)):
+        spans = [frozenset(s + j for j, c in enumerate(m) if c == "1") for m in decontaminate.SEEDS for s in range(n - 7)]
+        assert all(any(x.isdisjoint(at) for x in spans) for at in itertools.combinations(range(n), k))
+    cases = {n: list(itertools.combinations(range(n), k)) for n, k in ((1, 0), (4, 0), (5, 1), (7, 0), (8, 1), (10, 2), (12, 2), (13, 2))}
+    line = lambda n, at: "before " + " ".join("other" if i in at else f"n{n}t{i}" for i in range(n)) + " behind"
+    rows = [(f"{n} {at}", line(n, at)) for n, every in cases.items() for at in every]
+    rows += [("far 8", line(8, (1, 4))), ("far 4", line(4, (2,)))]
+    items = [(n, " ".join(f"n{n}t{i}" for i in range(n))) for n in cases]
+    found = decontaminate.overlaps(
+        spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame(items, "item_id long, text string"),
+        "doc_id", "text", "item_id", "text",
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(f"{n} {at}", n) for n, every in cases.items() for at in every}
+
+
 def test_shards_are_equal_and_repeatable(spark, odd, none, docs):
     a = shards.shards(docs, "doc_id", "text").select("doc_id", "shard", "slot").toPandas()
     b = shards.shards(docs.repartition(5), "doc_id", "text").select("doc_id", "shard", "slot").toPandas()
