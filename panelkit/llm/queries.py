@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (
-    bradley_terry, chat, decontaminate, mixing, nn_descent, partenum, patience, shards, token_counts, warc,
+    bradley_terry, chat, decontaminate, mixing, nn_descent, partenum, patience, shards, token_counts, warc, whitening,
 )
 from panelkit.llm.common import table
 from panelkit.runtime import ship_package
@@ -102,6 +102,12 @@ def op10_patience_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return patience.licenses(table(spark, folder, "documents"), "doc_id", "text")
 
 
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings, whitened by the refined eigenvectors of their covariance."""
+    return whitening.components(table(spark, folder, "embeddings"), "vec_id", "embedding")
+
+
 _CONTROLS = "|".join("".join("\\" + c if c in "\\|[]<>/()" and c not in "<>/" else c for c in s) for s in (*chat.CONTROLS, chat.SIGN))
 _MARKS = len(chat.START) + len(chat.MIDDLE) + len(chat.END) + 1
 _BASE32 = " || ".join(
