@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.llm import (
-    bradley_terry, chat, decontaminate, mixing, nn_descent, partenum, patience, shards, token_counts, warc, whitening,
+    bradley_terry, chat, decontaminate, mixing, nn_descent, partenum, patience, shards, skip_chain, token_alignment,
+    token_counts, warc, whitening,
 )
 from panelkit.llm.common import table
 from panelkit.runtime import ship_package
@@ -108,6 +109,18 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.components(table(spark, folder, "embeddings"), "vec_id", "embedding")
 
 
+@query
+def op12_run_skipping(spark: SparkSession, folder: str) -> DataFrame:
+    """Token groups and links of two vocabularies in all documents."""
+    return token_alignment.alignments(table(spark, folder, "documents"), "doc_id", "text")
+
+
+@query
+def op13_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents."""
+    return skip_chain.personal_data(table(spark, folder, "documents"), "doc_id", "text")
+
+
 _CONTROLS = "|".join("".join("\\" + c if c in "\\|[]<>/()" and c not in "<>/" else c for c in s) for s in (*chat.CONTROLS, chat.SIGN))
 _MARKS = len(chat.START) + len(chat.MIDDLE) + len(chat.END) + 1
 _BASE32 = " || ".join(
