@@ -397,9 +397,13 @@ def learnt(read: DataFrame) -> Weights:
     """Weights from all base spans: one shuffle counts the documents with each pattern, the ``FIT_PATTERNS`` most frequent are fitted.
 
     A document counts once for a pattern, so that a long table of numbers does not outweigh all others.
+    A token without a span that is like one with a span is what the field has to decide, and does not teach it.
     """
     counted = read.select(F.explode(F.array_distinct("pattern")).alias("pattern")).groupBy("pattern").count()
-    rows = counted.orderBy(F.desc("count"), "pattern").limit(FIT_PATTERNS).toArrow()
+    pattern = F.col("pattern")
+    alike = [F.shiftright(pattern, 3 * k).bitwiseAND(F.lit(7)).between(1, 4) for k in (3, 4, 5, 6)]
+    open_ones = (pattern.bitwiseAND(F.lit(7)) == 0) & (alike[0] | alike[1] | alike[2] | alike[3])
+    rows = counted.where(~open_ones).orderBy(F.desc("count"), "pattern").limit(FIT_PATTERNS).toArrow()
     return fit(rows.column(0).to_numpy(), rows.column(1).to_numpy().astype(float))
 
 
