@@ -37,12 +37,3 @@ def inverse(matrix: np.ndarray) -> np.ndarray:
     if np.linalg.cond(unit) > 1e13:
         raise ValueError("the regressors are collinear")
     return np.linalg.inv(unit) / np.outer(scale, scale)
-
-
-def generalised_inverse(matrix: np.ndarray) -> np.ndarray:
-    """Pseudo-inverse of a moment matrix of deficient rank.
-
-    The cut-off lies far above rounding noise, which would otherwise count as a
-    direction of its own.
-    """
-    return np.linalg.pinv(matrix, rcond=1e-10, hermitian=True)

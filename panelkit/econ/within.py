@@ -1,32 +1,31 @@
 """Two-way fixed effects: y_it = alpha_i + lambda_t + b'x_it + e_it.
 
-The data stay distributed. Entities are demeaned, sums of products come back as
-one row per period, and only systems of the size of the regressors and periods
-are solved on the driver (Frisch-Waugh-Lovell). With very many periods both
-effects are swept out by alternating projections instead
-(Guimaraes & Portugal 2010).
+The data stay distributed. Entities are demeaned, sums come back as one row per
+period, and the slopes follow from a system of the regressors' size
+(Frisch-Waugh-Lovell). The period effects solve a system with a row for each
+period, which is never formed: conjugate gradients ask for its products with
+vectors, one aggregate over the entities a step, so that panels with hundreds of
+thousands of periods are estimated like those with ten.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.econ.algebra import generalised_inverse, inverse, moment_columns, moment_matrix
+from panelkit.econ.algebra import inverse, moment_columns, moment_matrix
 from panelkit.functions.dist import t_two_sided
 from panelkit.functions.scalars import significance_label
 from panelkit.operators.reshape import complete_cases
-from panelkit.runtime import broadcast_if_small, lookup_side, stored
+from panelkit.runtime import broadcast_if_small, durable, lookup_side, stored
 from panelkit.spec import PanelSpec
 
-#: Periods up to which time effects enter as dummies (the matrix is T x T).
-MAX_DUMMIES = 500
-
 
 @dataclass
 class PanelFit:
@@ -127,43 +126,155 @@ def entity_means(df: DataFrame, entity: str, columns: Sequence[str]) -> DataFram
     )
 
 
-def _presence_products(
-    sample: DataFrame, spec: PanelSpec, periods: list[int]
-) -> np.ndarray:
-    """Sum over entities of d d' / n, with d marking the periods an entity has.
+class PeriodSystem:
+    """The normal equations of the period effects, A v = counts * v - sum over entities of d mean(v over d).
 
-    Entities with the same set of periods are counted first. Tasks add up their
-    share as one T x T matrix each.
+    d marks the periods an entity has. A is never formed: ``times`` sends a vector over
+    the periods to all tasks and gets one back. Entities with the same periods are counted first,
+    so that a regular panel has few rows to go through. Only vectors over the periods reach the driver.
     """
-    index = {p: i for i, p in enumerate(periods)}
-    size = len(periods)
-    patterns = (
-        sample.groupBy(spec.entity)
-        .agg(F.sort_array(F.collect_set(spec.time)).alias("present"))
-        .groupBy("present")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((size, size))
-        for batch in batches:
-            marks = np.zeros((len(batch), size))
-            for row, present in enumerate(batch["present"]):
-                marks[row, [index[p] for p in present]] = 1.0
-            weight = batch["n"].to_numpy() / marks.sum(axis=1)
-            total += marks.T @ (marks * weight[:, None])
-        i, j = np.nonzero(total)
-        yield pd.DataFrame({"i": i, "j": j, "v": total[i, j]})
-
-    cells = (
-        patterns.mapInPandas(partial, "i int, j int, v double")
-        .groupBy("i", "j")
-        .agg(F.sum("v").alias("v"))
-        .toPandas()
-    )
-    out = np.zeros((size, size))
-    out[cells["i"], cells["j"]] = cells["v"]
-    return out
+    def __init__(self, sample: DataFrame, spec: PanelSpec, periods: Sequence, counts: np.ndarray):
+        self.spark, self.counts = sample.sparkSession, counts
+        place = self.spark.sparkContext.broadcast(np.asarray(periods))
+        patterns = (
+            sample.groupBy(spec.entity)
+            .agg(F.sort_array(F.collect_set(spec.time)).alias("present"))
+            .groupBy("present")
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+
+        def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lists = batch.column(0)
+                found = np.searchsorted(place.value, lists.flatten().to_numpy(zero_copy_only=False))
+                at = pa.ListArray.from_arrays(_offsets(lists), pa.array(found, pa.int32()))
+                yield pa.RecordBatch.from_arrays([at, batch.column(1)], ["at", "n"])
+
+        self.patterns = stored(patterns.mapInArrow(numbered, "at array<int>, n long"))
+
+    def _sums(self, kernel: Callable, width: int) -> np.ndarray:
+        """Sums over all entities, by period, of what ``kernel`` gives for each period of each pattern."""
+        size = len(self.counts)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((size, width))
+            for batch in batches:
+                offsets = _offsets(batch.column(0)).to_numpy()
+                at = batch.column(0).flatten().to_numpy()
+                values = kernel(at, offsets, batch.column(1).to_numpy().astype(float))
+                for j in range(width):
+                    total[:, j] += np.bincount(at, values[:, j], size)
+            found = np.flatnonzero(total.any(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.int32()), *[pa.array(total[found, j]) for j in range(width)]],
+                ["t", *[f"v_{j}" for j in range(width)]],
+            )
+
+        names = [f"v_{j}" for j in range(width)]
+        cells = self.patterns.mapInArrow(run, "t int, " + ", ".join(f"{c} double" for c in names))
+        rows = cells.groupBy("t").agg(*[F.sum(c).alias(c) for c in names]).toPandas()
+        out = np.zeros((size, width))
+        out[rows["t"]] = rows[names].to_numpy()
+        return out
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        sent = self.spark.sparkContext.broadcast(v)
+
+        def kernel(at: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> np.ndarray:
+            length = np.diff(offsets)
+            mean = np.add.reduceat(sent.value[at], offsets[:-1]) * (n / length)[:, None]
+            return np.repeat(mean, length, axis=0)
+
+        out = self.counts[:, None] * v - self._sums(kernel, v.shape[1])
+        sent.destroy()
+        return out
+
+    def solve(self, right: np.ndarray, tolerance: float = 1e-12) -> np.ndarray:
+        """A solution for each column, by conjugate gradients.
+
+        The preconditioner adds two inverses: that of the counts, for effects that change from
+        one period to the next, and that of a chain of periods, for effects that drift. An entity
+        strengthens all links of the chain between its first and last period, so much that a straight line
+        has the same energy in the chain as in A. Panels of short overlapping stretches thus
+        need few steps as well. Steps end when the preconditioned residual of every column has fallen by
+        ``tolerance``; twice as many steps as periods raise, as exact arithmetic needs one for each at most.
+        """
+
+        def links(at: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> np.ndarray:
+            first, last = offsets[:-1], offsets[1:] - 1
+            length = last - first + 1
+            mean = np.add.reduceat(at, first) / length
+            spread = np.add.reduceat((at - np.repeat(mean, length)) ** 2, first)
+            strength = n * spread / np.maximum(at[last] - at[first], 1)
+            out = np.zeros((len(at), 1))
+            out[first, 0] += strength
+            out[last, 0] -= strength
+            return out
+
+        strength = np.maximum(np.cumsum(self._sums(links, 1)[:, 0])[:-1], 0)
+        chain = np.append(strength, 0) + np.append(0, strength) + 1e-8 * self.counts
+
+        def conditioned(v: np.ndarray) -> np.ndarray:
+            return v / self.counts[:, None] + tridiagonal_solve(chain, -strength, v)
+
+        right = right - right.mean(axis=0)
+        goal = (right * conditioned(right)).sum(axis=0) * tolerance**2
+        x = right / self.counts[:, None]  # all there is to it if the panel is balanced
+        r = right - self.times(x)
+        r = r - r.mean(axis=0)
+        z = conditioned(r)
+        p, size = z, (r * z).sum(axis=0)
+        for _ in range(2 * len(right) + 10):
+            if (size <= goal).all():
+                return x
+            q = self.times(p)
+            bend = (p * q).sum(axis=0)
+            step = np.where((size > goal) & (bend > 0), size / np.where(bend > 0, bend, 1), 0)
+            x = x + step * p
+            r = r - step * q
+            r = r - r.mean(axis=0)
+            z = conditioned(r)
+            new = (r * z).sum(axis=0)
+            p = z + np.where(size > 0, new / np.where(size > 0, size, 1), 0) * p
+            size = new
+        raise RuntimeError("the period effects did not settle")
+
+
+def _offsets(lists: pa.ListArray) -> pa.Array:
+    """Where each list of a column starts in its flattened values, and the end."""
+    offsets = lists.offsets.to_numpy()
+    return pa.array(offsets - offsets[0], pa.int32())
+
+
+def tridiagonal_solve(diagonal: np.ndarray, beside: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solve a symmetric tridiagonal system for several columns, by cyclic reduction.
+
+    Every round eliminates the entries at a distance and doubles it, on whole vectors.
+    """
+    size = len(diagonal)
+    main, values = diagonal.astype(float), right.astype(float)
+    low, high = np.append(0.0, beside), np.append(beside, 0.0)
+    gap = 1
+
+    def moved(v: np.ndarray, by: int) -> np.ndarray:
+        """v[i + by], and 0 beyond the ends."""
+        out = np.zeros_like(v)
+        if by > 0:
+            out[: size - by] = v[by:]
+        else:
+            out[-by:] = v[:by]
+        return out
+
+    while gap < size:
+        before, after = moved(main, -gap), moved(main, gap)
+        up = -low / np.where(before == 0, 1, before)
+        down = -high / np.where(after == 0, 1, after)
+        main = main + up * moved(high, -gap) + down * moved(low, gap)
+        values = values + up[:, None] * moved(values, -gap) + down[:, None] * moved(values, gap)
+        low, high = up * moved(low, -gap), down * moved(high, gap)
+        gap *= 2
+    return values / main[:, None]
 
 
 def _deviations(sample: DataFrame, means: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
@@ -173,50 +284,16 @@ def _deviations(sample: DataFrame, means: DataFrame, entity: str, columns: Seque
     )
 
 
-def absorb_alternating(
-    df: DataFrame,
-    spec: PanelSpec,
-    columns: Sequence[str],
-    tolerance: float = 1e-10,
-    max_rounds: int = 200,
-) -> DataFrame:
-    """Subtract entity and period means in turn until they vanish.
-
-    Raises if they have not after ``max_rounds``: slow convergence is a property
-    of the panel (entities that overlap in few periods), and a result that has
-    not settled is no estimate. Every round is written to the checkpoint folder, so the lineage stays short.
-    """
-    current = df
-    scale = df.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first().asDict()
-    for _ in range(max_rounds):
-        for key in (spec.time, spec.entity):
-            means = lookup_side(entity_means(current, key, columns))
-            current = current.join(means, key).select(
-                *[c for c in df.columns if c not in columns],
-                *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in columns],
-            )
-        current = stored(current)
-        left = entity_means(current, spec.time, columns).agg(
-            *[F.max(F.abs(f"_m_{c}")).alias(c) for c in columns]
-        ).first()
-        if all((left[c] or 0.0) <= tolerance * max(scale[c] or 0.0, 1e-300) for c in columns):
-            return current
-    raise RuntimeError(
-        f"the effects did not settle in {max_rounds} rounds; allow more dummies (max_dummies) or rounds"
-    )
-
-
 def fit_two_way(
     df: DataFrame,
     spec: PanelSpec,
     regressors: Sequence[str] | None = None,
     clustered: bool = True,
     debias: bool = True,
-    max_dummies: int = MAX_DUMMIES,
 ) -> PanelFit:
-    """Estimate slopes with entity and time effects.
+    """Estimate slopes with entity and time effects, for any number of periods.
 
-    The covariance is clustered by entity, or the classical one. With
+    The driver holds vectors over the periods. The covariance is clustered by entity, or the classical one. With
     ``debias`` both are scaled by n / (n - k - N - T + 1).
     """
     terms = list(regressors or spec.features)
@@ -230,7 +307,7 @@ def fit_two_way(
     d_names = [f"_d_{c}" for c in columns]
     k = len(columns)
 
-    per_period = (
+    per_period = durable(
         deviations.groupBy(time)
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -238,6 +315,8 @@ def fit_two_way(
             *moment_columns(d_names),
         )
     )
+    sums_of = [f"m_{i}_{j}" for i in range(k) for j in range(i, k)]
+    within = moment_matrix(per_period.agg(*[F.sum(m).alias(m) for m in sums_of]).first().asDict(), k)
     m_names = [f"_m_{c}" for c in columns]
     between = means.agg(
         F.count(F.lit(1)).alias("n"),
@@ -249,46 +328,22 @@ def fit_two_way(
     if not n_obs:
         raise ValueError("no complete rows to estimate on")
     between_moments = moment_matrix(between["plain"].asDict(), k)
-    rows = sorted(per_period.limit(max_dummies + 1).collect(), key=lambda r: r[time])
+    rows = per_period.select(time, "n", *[f"s_{i}" for i in range(k)]).toPandas().sort_values(time)
     n_periods = len(rows)
-
-    if n_periods <= max_dummies:
-        periods = [r[time] for r in rows]
-        within = sum(moment_matrix(r.asDict(), k) for r in rows)
-        by_period = np.array([[r[f"s_{i}"] for i in range(k)] for r in rows])
-        counts = np.array([r["n"] for r in rows], dtype=float)
-        if n_obs == n_entities * n_periods:  # balanced
-            presence = np.full((n_periods, n_periods), n_entities / n_periods)
-        else:
-            presence = _presence_products(sample, spec, periods)
-        dummies = np.diag(counts) - presence
-        gamma = generalised_inverse(dummies) @ by_period  # effect of each period per column
-        partial = within - by_period.T @ gamma
-        m_inv = inverse(partial[1:, 1:])
-        beta = m_inv @ partial[1:, 0]
-        time_effect = gamma[:, 0] - gamma[:, 1:] @ beta
-        effects = sample.sparkSession.createDataFrame(
-            [
-                (p, float(time_effect[i]), *[float(g) for g in gamma[i, 1:]])
-                for i, p in enumerate(periods)
-            ],
-            f"`{time}` {dict(sample.dtypes)[time]}, _lambda double, "
-            + ", ".join(f"_g_{j} double" for j in range(len(terms))),
-        )
-        base = deviations.join(F.broadcast(effects), time)  # at most max_dummies rows
-        z = [F.col(f"_d_{t}") - F.col(f"_g_{j}") for j, t in enumerate(terms)]
-        fitted = sum((F.col(f"_d_{t}") * F.lit(float(b)) for t, b in zip(terms, beta)), F.lit(0.0))
-        e1 = F.col(f"_d_{y}") - fitted - F.col("_lambda")
-    else:
-        n_periods = sample.select(time).distinct().count()
-        within = moment_matrix(deviations.agg(*moment_columns(d_names)).first().asDict(), k)
-        base = absorb_alternating(deviations.select(*spec.keys, *d_names), spec, d_names)
-        partial = moment_matrix(base.agg(*moment_columns(d_names)).first().asDict(), k)
-        m_inv = inverse(partial[1:, 1:])
-        beta = m_inv @ partial[1:, 0]
-        z = [F.col(f"_d_{t}") for t in terms]
-        fitted = sum((F.col(f"_d_{t}") * F.lit(float(b)) for t, b in zip(terms, beta)), F.lit(0.0))
-        e1 = F.col(f"_d_{y}") - fitted
+    by_period = rows[[f"s_{i}" for i in range(k)]].to_numpy(float)
+    periods, counts = rows[time].to_numpy(), rows["n"].to_numpy(float)
+    gamma = PeriodSystem(sample, spec, periods, counts).solve(by_period)  # effect of each period per column
+    partial = within - by_period.T @ gamma
+    m_inv = inverse(partial[1:, 1:])
+    beta = m_inv @ partial[1:, 0]
+    effects = pd.DataFrame({time: periods, "_lambda": gamma[:, 0] - gamma[:, 1:] @ beta})
+    for j in range(len(terms)):
+        effects[f"_g_{j}"] = gamma[:, 1 + j]
+    effects = sample.sparkSession.createDataFrame(effects).withColumn(time, F.col(time).cast(dict(sample.dtypes)[time]))
+    base = deviations.join(broadcast_if_small(effects), time)
+    z = [F.col(f"_d_{t}") - F.col(f"_g_{j}") for j, t in enumerate(terms)]
+    fitted = sum((F.col(f"_d_{t}") * F.lit(float(b)) for t, b in zip(terms, beta)), F.lit(0.0))
+    e1 = F.col(f"_d_{y}") - fitted - F.col("_lambda")
 
     scored = base.select(
         *spec.keys, *[c.alias(f"z_{j}") for j, c in enumerate(z)], e1.alias("e1")

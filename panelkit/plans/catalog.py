@@ -28,8 +28,8 @@ from panelkit.operators.ordered import add_previous
 from panelkit.runtime import scratch_dir, ship_package, stored
 from panelkit.sources import files, sinks
 from panelkit.sources.panels import (
-    CUSTOMER_YEAR, EVENT_TYPES, NATION_MONTH, USER_DAY, customer_year, nation_month, sales_wide,
-    table, user_day,
+    CUSTOMER_DAY, CUSTOMER_YEAR, EVENT_TYPES, NATION_MONTH, USER_DAY, customer_day, customer_year, nation_month,
+    sales_wide, table, user_day,
 )
 from panelkit.spec import PanelSpec, duplicate_keys, panel_profile
 
@@ -857,6 +857,13 @@ def fe_cluster_se(spark, folder):
     return tidy(_fit(spark, folder).coefficients().select("term", "std_error", "t_stat"))
 
 
+@query
+def fe_many_periods(spark, folder):
+    """Two-way effects of customers and of thousands of days."""
+    fit = fit_two_way(customer_day(spark, folder), CUSTOMER_DAY)
+    return tidy(fit.coefficients().select("term", "coefficient", "std_error", "t_stat"))
+
+
 @query
 def fe_r2(spark, folder):
     return tidy(_fit(spark, folder).statistics())

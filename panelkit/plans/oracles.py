@@ -624,6 +624,17 @@ p AS (SELECT sum(x * y) / sum(x * x) AS rho, sum(x * x) AS sxx, count(*) AS n,
   count(DISTINCT entity) AS ne, count(DISTINCT period) AS nt FROM dm)"""
 
 
+add("fe_many_periods", """
+cd AS (SELECT o_custkey AS entity, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS period,
+  ln(CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE)) AS y,
+  avg(CASE WHEN o_orderpriority = '1-URGENT' THEN 1.0 ELSE 0.0 END) AS x FROM orders GROUP BY 1, 2),
+""" + _demeaned("cd", "dm") + f""",
+p AS (SELECT sum(x * y) / sum(x * x) AS beta, sum(x * x) AS sxx, count(*) AS n,
+  count(DISTINCT entity) AS ne, count(DISTINCT period) AS nt FROM dm),
+ds AS (SELECT entity, sum(x * (y - beta * x)) AS s FROM dm CROSS JOIN p GROUP BY 1),
+v AS (SELECT beta, sqrt(n / CAST({SPARE} AS DOUBLE) * (SELECT sum(s * s) FROM ds)) / sxx AS se FROM p)""",
+    f"""SELECT 'urgent_share' AS term, {r('beta')} AS coefficient, {r('se')} AS std_error,
+  {r('beta / se')} AS t_stat FROM v""")
 add("shock_persistence", _dynamic(NATION_MONTH, "nm"), f"""
 SELECT {r('rho')} AS rho,
   {r('CASE WHEN rho > 0 AND rho < 1 THEN -ln(2) / ln(abs(rho)) END')} AS half_life,

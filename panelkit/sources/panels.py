@@ -26,6 +26,7 @@ CUSTOMER_YEAR = PanelSpec(
     features=("n_orders", "urgent_share", "log_ticket_f", "log_ticket_o"),
     period_bounds=(YEAR_MIN, YEAR_MAX),
 )
+CUSTOMER_DAY = PanelSpec(target="log_sales", features=("urgent_share",), period_bounds=DAYS)
 USER_DAY = PanelSpec(features=EVENT_TYPES, period_bounds=DAYS)
 
 
@@ -115,6 +116,23 @@ def customer_year(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def customer_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales per customer and day: few rows for each of very many periods."""
+    orders = table(spark, folder, "orders")
+    day = F.datediff(F.to_date("o_orderdate"), F.lit("1970-01-01").cast("date"))
+    return (
+        orders.select(
+            F.col("o_custkey").alias("entity"), day.cast("int").alias("period"), "o_totalprice", "o_orderpriority"
+        )
+        .where(CUSTOMER_DAY.within_bounds())
+        .groupBy("entity", "period")
+        .agg(
+            _log_sum(_money("o_totalprice")).alias("log_sales"),
+            _share(F.col("o_orderpriority") == "1-URGENT").alias("urgent_share"),
+        )
+    )
+
+
 def user_day(spark: SparkSession, folder: str) -> DataFrame:
     """Event value per user and day, a column per event type; null if none occurred."""
     events = table(spark, folder, "events")

@@ -1,6 +1,7 @@
 """Two-way fixed effects and diagnostics against dense numpy least squares."""
 
 import math
+import time
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from panelkit.econ.diagnostics import (
     ar1_table, breusch_pagan_statistics, diagnostics, diagnostics_table, hausman, random_effects,
 )
 from panelkit.econ.dynamic import DynamicPanel, persistence
-from panelkit.econ.within import absorb_alternating, fit_two_way
+from panelkit.econ.within import PeriodSystem, fit_two_way, tridiagonal_solve
 from panelkit.functions import dist
 from panelkit.spec import PanelSpec
 
@@ -57,10 +58,9 @@ def dense(pdf, k=2):
 
 
 @pytest.mark.parametrize("drop", DROPS, ids=["balanced", "unbalanced"])
-@pytest.mark.parametrize("limit", [500, 1], ids=["dummies", "alternating"])
-def test_slopes_and_clustered_errors(spark, drop, limit):
+def test_slopes_and_clustered_errors(spark, drop):
     pdf = make(0.5, drop)
-    fit = fit_two_way(to_spark(spark, pdf), SPEC, max_dummies=limit)
+    fit = fit_two_way(to_spark(spark, pdf), SPEC)
     b, cov, resid, plain, df = dense(pdf)
     assert np.allclose(fit.beta, b, rtol=1e-6)
     assert np.allclose(fit.cov, cov, rtol=1e-5)
@@ -73,10 +73,64 @@ def test_slopes_and_clustered_errors(spark, drop, limit):
     assert 0 <= table["x1"]["p_value"] <= 1
 
 
-def test_effects_that_do_not_settle_raise(spark):
-    df = to_spark(spark, make(0.5, DROPS[1]))
-    with pytest.raises(RuntimeError, match="did not settle"):
-        absorb_alternating(df, SPEC, ["y", "x1", "x2"], max_rounds=1)
+def chained(places, seed=8):
+    """A row for each (entity, period), y from both effects and two regressors."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for e, t in places:
+        x1, x2 = rng.normal() + 0.01 * t, 10 * rng.normal()
+        rows.append((f"e{e}", int(t), 2.0 * x1 - 0.3 * x2 + math.sin(e) + 0.1 * t + 0.2 * rng.normal(), x1, x2))
+    return pd.DataFrame(rows, columns=["entity", "period", "y", "x1", "x2"])
+
+
+def absorbed(pdf):
+    """Slopes with both effects as dummies, by least squares of small norm."""
+    e, t = (pd.get_dummies(pdf[c]).to_numpy(float) for c in ("entity", "period"))
+    a = np.hstack([pdf[["x1", "x2"]].to_numpy(), e, t])
+    return np.linalg.lstsq(a, pdf["y"].to_numpy(), rcond=1e-12)[0][:2]
+
+
+def test_chain_of_entities(spark):
+    """Entities that overlap with the next one only: sweeping means out in turn would take a hundred thousand rounds."""
+    pdf = chained([(i, i + d) for i in range(600) for d in (0, 1, 2)])
+    start = time.perf_counter()
+    fit = fit_two_way(to_spark(spark, pdf), SPEC)
+    assert time.perf_counter() - start < 30
+    assert np.allclose(fit.beta, absorbed(pdf), atol=1e-8)
+    assert fit.n_periods == 602
+
+
+@pytest.mark.parametrize("places", [
+    [(i, t) for i, (a, b) in enumerate(zip(np.random.default_rng(1).permutation(60), np.random.default_rng(2).permutation(60))) for t in {a, b, (a + 7) % 60}],
+    [(i, t) for i in range(12) for t in (range(0, 5) if i < 6 else range(20, 26))],
+    [(i, t) for i in range(40) for t in np.random.default_rng(i).choice(300, 12, replace=False)],
+], ids=["shuffled", "two parts", "random"])
+def test_sparse_panels(spark, places):
+    pdf = chained(places)
+    fit = fit_two_way(to_spark(spark, pdf), SPEC)
+    assert np.allclose(fit.beta, absorbed(pdf), atol=1e-8)
+
+
+def test_steps_are_few(spark, monkeypatch):
+    """A panel of many periods takes tens of products, not one for each period."""
+    calls = []
+    plain = PeriodSystem.times
+    monkeypatch.setattr(PeriodSystem, "times", lambda self, v: calls.append(len(v)) or plain(self, v))
+    places = [(i, t) for i in range(400) for t in np.random.default_rng(i).choice(1500, 15, replace=False)]
+    pdf = chained(places)
+    fit = fit_two_way(to_spark(spark, pdf), SPEC)
+    assert np.allclose(fit.beta, absorbed(pdf), atol=1e-8)
+    assert 0 < len(calls) < 80 and calls[0] > 1400
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 17, 64, 1000])
+def test_tridiagonal_systems(size):
+    rng = np.random.default_rng(size)
+    beside = -rng.uniform(0, 1, max(size - 1, 0)) * (rng.uniform(size=max(size - 1, 0)) > 0.1)
+    diagonal = 0.01 + np.append(-beside, 0) + np.append(0, -beside)
+    right = rng.normal(size=(size, 3))
+    full = np.diag(diagonal) + np.diag(beside, 1) + np.diag(beside, -1)
+    assert np.allclose(tridiagonal_solve(diagonal, beside, right), np.linalg.solve(full, right), rtol=1e-8)
 
 
 @pytest.mark.parametrize("drop", DROPS, ids=["balanced", "unbalanced"])
