@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.models import linear
 from panelkit.models.folds import fold_bounds, fold_of, shuffled_positions
 from panelkit.models.regressors import fit_regressor
 from panelkit.models.search import SearchResult, cross_validate
@@ -33,7 +34,7 @@ def learning_curve(
 
     ``kinds`` maps a regressor to its parameters. Rows are put in a seeded order
     once; the training set of a fold grows along it, so smaller sets are
-    contained in larger ones.
+    contained in larger ones. The elastic net takes one scan for all of them.
     """
     rows = complete_cases(train.select(*spec.keys, spec.target, *spec.features))
     n = rows.count()
@@ -60,12 +61,41 @@ def learning_curve(
         by_side = {r["train"]: r["r2"] for r in sides}
         return kind, float(share), size, fold, by_side.get(True), by_side.get(False)
 
-    with cached(placed) as data:
-        jobs = [
-            partial(score, data, kind, params, fold, share)
-            for kind, params in kinds.items() for fold in range(k) for share in shares
-        ]
-        out = run_jobs(train.sparkSession, jobs, parallelism)
+    def prefix(fold: int, share: float) -> tuple[int, int]:
+        """Size of a training set, and the position before which it lies."""
+        start, end = bounds[fold]
+        size = max(1, int(share * (n - (end - start))))
+        return size, size if size <= start else size + end - start
+
+    def linear_scores(kind: str, params: dict) -> list[tuple]:
+        """All sizes and folds from one scan: moments of the stretches between all borders."""
+        borders = sorted({b for pair in bounds for b in pair} | {prefix(f, s)[1] for f in range(k) for s in shares})
+        stretch = sum(((F.col("position") >= b).cast("int") for b in borders), F.lit(0))
+        parts = linear.moments_by(placed, [*spec.features, spec.target], stretch)
+        lows = [0, *borders]
+
+        def rows_of(chosen) -> linear.Moments:
+            return linear.total((m for i, m in sorted(parts.items()) if chosen(lows[i])), len(spec.features) + 1)
+
+        found = []
+        for fold, (start, end) in enumerate(bounds):
+            held = rows_of(lambda low: start <= low < end)
+            for share in shares:
+                size, stop = prefix(fold, share)
+                seen = rows_of(lambda low: low < stop and not start <= low < end)
+                fit = linear.fit_paths(spec.features, seen, [params])[0]
+                found.append((kind, float(share), size, fold, fit.r2(seen), fit.r2(held)))
+        return found
+
+    out = [row for kind, params in kinds.items() if kind == "elastic_net" for row in linear_scores(kind, params)]
+    others = {kind: params for kind, params in kinds.items() if kind != "elastic_net"}
+    if others:
+        with cached(placed) as data:
+            jobs = [
+                partial(score, data, kind, params, fold, share)
+                for kind, params in others.items() for fold in range(k) for share in shares
+            ]
+            out += run_jobs(train.sparkSession, jobs, parallelism)
     table = train.sparkSession.createDataFrame(
         out,
         "model string, share double, train_size bigint, fold bigint, "

@@ -56,15 +56,21 @@ def contiguous_folds(df: DataFrame, spec: PanelSpec, k: int = 5) -> DataFrame:
     return ordered_folds(df, spec.keys, k)
 
 
+def mixed_key(spec: PanelSpec, seed: int) -> Column:
+    """A digest of seed and keys, which any engine computes alike; null where a key is."""
+    text = F.concat(F.lit(str(seed)), *[part for c in spec.keys for part in (F.lit("|"), F.col(c).cast("string"))])
+    return F.md5(text.cast("binary"))
+
+
 def shuffled_folds(df: DataFrame, spec: PanelSpec, k: int = 5, seed: int = 42) -> DataFrame:
-    """Equal folds in a seeded pseudo-random order."""
-    mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *spec.keys))
+    """Equal folds in a seeded pseudo-random order: that of the digests of the keys."""
+    mixed = df.withColumn("_mix", mixed_key(spec, seed))
     return ordered_folds(mixed, ["_mix", *spec.keys], k).drop("_mix")
 
 
 def shuffled_positions(df: DataFrame, spec: PanelSpec, seed: int = 42) -> DataFrame:
     """Add the 0-based ``position`` in a seeded pseudo-random order of the keys."""
-    mixed = df.withColumn("_mix", F.xxhash64(F.lit(seed), *spec.keys))
+    mixed = df.withColumn("_mix", mixed_key(spec, seed))
     return running_total(mixed, ["_mix", *spec.keys], F.lit(1), "position").drop("_mix")
 
 

@@ -1,8 +1,8 @@
 """The seven regressors behind one interface.
 
 ``fit_regressor`` returns a ``Fitted`` whose ``predict`` adds ``y_pred`` to any
-frame with the features. Tree ensembles and the elastic net are Spark ML
-pipelines; neighbours and networks are jobs of their own.
+frame with the features. Tree ensembles are Spark ML pipelines, the elastic net comes
+from moments; neighbours and networks are jobs of their own.
 
 Where Spark ML lacks a parameter of the grids:
 
@@ -19,12 +19,12 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.models import net
+from panelkit.models import linear, net
 from panelkit.models.knn import nearest_neighbours, neighbour_average
 from panelkit.models.scaling import ZScores
 from panelkit.operators.reshape import complete_cases
@@ -84,23 +84,6 @@ def _boosted(params: Mapping) -> GBTRegressor:
     )
 
 
-def elastic_net_estimator(alpha: float, l1_ratio: float, target_std: float, max_iter: int):
-    """Linear regression with the penalty a*l*|b| + a*(1-l)/2*b^2 on z-scores.
-
-    Spark divides the L2 part by the deviation of the target, which the
-    penalty is multiplied by here.
-    """
-    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio) * target_std
-    reg = l1 + l2
-    return LinearRegression(
-        regParam=reg,
-        elasticNetParam=l1 / reg if reg else 0.0,
-        standardization=False,
-        maxIter=max_iter,
-        tol=1e-9,
-    )
-
-
 @dataclass
 class Fitted:
     """A fitted regressor of any kind."""
@@ -113,6 +96,7 @@ class Fitted:
     pipeline: PipelineModel | None = None
     neighbours: DataFrame | None = None
     scores: ZScores | None = None
+    line: linear.LinearFit | None = None
     network: net.NetFit | None = None
     details: dict = field(default_factory=dict)
 
@@ -122,12 +106,14 @@ class Fitted:
             return self._predict_knn(df)
         if self.network is not None:
             return self.network.predict(df)
+        if self.line is not None:
+            return df.withColumn("y_pred", self.line.column())
         if self.pipeline is None:
-            raise ValueError("Model not fitted yet. Call fit() first.")
+            raise ValueError(f"there is no fitted {self.kind} to predict with")
         known = F.lit(True)
         for c in self.features:
             known = known & F.col(c).isNotNull()
-        added = ["prediction", "_features", *[f"_z_{c}" for c in self.features]]
+        added = ["prediction", "_features"]
         scored = self.pipeline.transform(df)
         return scored.withColumn("y_pred", F.when(known, F.col("prediction"))).drop(*added)
 
@@ -157,10 +143,9 @@ class Fitted:
 
     def coefficients(self, spark: SparkSession) -> DataFrame:
         """(feature, coefficient) on z-scores, largest magnitude first."""
-        if self.kind != "elastic_net":
+        if self.line is None:
             raise ValueError(f"{self.kind} has no coefficients")
-        values = self.pipeline.stages[-1].coefficients.toArray()
-        rows = [(f, float(v)) for f, v in zip(self.features, values)]
+        rows = list(zip(self.features, self.line.coefficients))
         return spark.createDataFrame(rows, "feature string, coefficient double").orderBy(
             F.abs("coefficient").desc(), "feature"
         )
@@ -172,6 +157,8 @@ class Fitted:
             "keys": self.keys, "params": self.params,
             "scores": asdict(self.scores) if self.scores else None,
         }
+        if self.line is not None:
+            about["line"] = {"coefficients": self.line.coefficients, "intercept": self.line.intercept}
         if self.network is not None:
             n = self.network
             about["network"] = {
@@ -209,6 +196,8 @@ def load_regressor(spark: SparkSession, path: str) -> Fitted:
         about["kind"], tuple(about["features"]), about["target"], tuple(about["keys"]),
         about["params"], scores=scores_of(about["scores"]) if about["scores"] else None,
     )
+    if about.get("line"):
+        fitted.line = linear.LinearFit(fitted.scores, tuple(about["line"]["coefficients"]), about["line"]["intercept"])
     if about.get("network"):
         n = about["network"]
         config = dict(n["config"])
@@ -238,16 +227,12 @@ def fit_regressor(
         learner = _forest(params) if kind == "random_forest" else _boosted(params)
         fitted.pipeline = _fit_pipeline(rows, learner, list(features), target)
     elif kind == "elastic_net":
-        fitted.scores = ZScores.of(rows, features)
-        spread = rows.agg(F.stddev_pop(target)).first()[0] or 1.0
-        learner = elastic_net_estimator(
-            float(params.get("alpha", 1.0)), float(params.get("l1_ratio", 0.5)), spread,
-            int(params.get("max_iter", 10_000)),
-        )
-        scale = SQLTransformer(statement=fitted.scores.statement())
-        fitted.pipeline = _fit_pipeline(
-            rows, learner, [f"_z_{c}" for c in features], target, scale
-        )
+        columns = [*features, target]
+        seen = linear.moments_by(rows, columns).get(0, linear.Moments.none(len(columns)))
+        if not seen.n:
+            raise ValueError("no complete rows to fit on")
+        fitted.line = linear.fit_paths(features, seen, [params])[0]
+        fitted.scores = fitted.line.scores
     elif kind == "knn":
         fitted.scores = ZScores.of(rows, features)
         fitted.neighbours = stored(fitted.scores.apply(rows))
@@ -261,13 +246,9 @@ def fit_regressor(
     return fitted
 
 
-def _fit_pipeline(rows, learner, inputs: Sequence[str], target: str, *before) -> PipelineModel:
+def _fit_pipeline(rows, learner, inputs: Sequence[str], target: str) -> PipelineModel:
     assembler = VectorAssembler(
         inputCols=list(inputs), outputCol="_features", handleInvalid="keep"
     )
-    stages = [*before, assembler]
-    data = rows
-    for stage in stages:
-        data = stage.transform(data)
     learner.setFeaturesCol("_features").setLabelCol(target).setPredictionCol("prediction")
-    return PipelineModel([*stages, learner.fit(data)])
+    return PipelineModel([assembler, learner.fit(assembler.transform(rows))])

@@ -41,11 +41,3 @@ class ZScores:
     def apply(self, df: DataFrame) -> DataFrame:
         """Replace the features by their z-scores."""
         return df.withColumns({c: self.column(c) for c in self.features})
-
-    def statement(self, prefix: str = "_z_") -> str:
-        """The same as SQL for a ``SQLTransformer``, so that it is saved with a model."""
-        terms = [
-            f"(`{c}` - CAST('{m!r}' AS DOUBLE)) / CAST('{s!r}' AS DOUBLE) AS `{prefix}{c}`"
-            for c, m, s in zip(self.features, self.means, self.stds)
-        ]
-        return f"SELECT *, {', '.join(terms)} FROM __THIS__"

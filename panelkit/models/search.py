@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.models import linear
 from panelkit.models.folds import contiguous_folds, shuffled_folds
 from panelkit.models.regressors import Fitted, fit_regressor, metric_of
 from panelkit.operators.metrics import r_squared
@@ -268,6 +269,23 @@ def _knn_scores(
     return [(i, fold, by_side[False][f"r{i}"], by_side[True][f"r{i}"]) for i in mine]
 
 
+def _linear_search(
+    train: DataFrame, complete: DataFrame, spec: PanelSpec, candidates: list[dict], refit: bool
+) -> SearchResult:
+    """All candidates and folds from one scan of the rows, and the refit as well."""
+    columns = [*spec.features, spec.target]
+    parts = linear.moments_by(complete, columns, F.col("fold"))
+    result = SearchResult("elastic_net", candidates, linear.fold_scores(spec.features, parts, candidates), 0, None, train)
+    result.best = max(range(len(candidates)), key=lambda c: (result._mean(c, 3), -c))
+    if refit:
+        line = linear.fit_paths(spec.features, linear.total(parts.values(), len(columns)), [result.best_params])[0]
+        result.model = Fitted(
+            "elastic_net", tuple(spec.features), spec.target, tuple(spec.keys), dict(result.best_params),
+            scores=line.scores, line=line,
+        )
+    return result
+
+
 def cross_validate(
     kind: str,
     train: DataFrame,
@@ -280,14 +298,16 @@ def cross_validate(
     """Score every candidate on every fold; refit the best on all rows.
 
     ``train`` may bring a ``fold`` column; without one it gets contiguous folds
-    in key order. Fits are Spark jobs; ``parallelism`` of them are in flight so
-    that the tail of one overlaps with the next.
+    in key order. The elastic net takes one scan for all candidates and folds. Other fits are
+    Spark jobs; ``parallelism`` of them are in flight so that the tail of one overlaps with the next.
     """
     if not candidates:
         raise ValueError("no candidates to try")
     candidates = list(candidates)
     rows = train if "fold" in train.columns else contiguous_folds(train, spec, k)
     complete = complete_cases(rows.select(*spec.keys, spec.target, *spec.features, "fold"))
+    if kind == "elastic_net":
+        return _linear_search(train, complete, spec, candidates, refit)
     with cached(complete) as data:
         folds = sorted(r["fold"] for r in data.select("fold").distinct().collect())
         if kind == "knn":

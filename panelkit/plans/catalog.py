@@ -725,7 +725,7 @@ def _evaluated(kind: str) -> Query:
         model = PanelRegressor(kind, CY)
         grid = QUICK_GRIDS[kind]
         model.model = fit_regressor(kind, train, CY, {k: v[0] for k, v in grid.items()})
-        return model.predictions(test)
+        return tidy(model.predictions(test))
 
     run.__name__ = kind
     return run
@@ -778,7 +778,7 @@ def model_round_trip(spark, folder):
 def elastic_net_coefficients(spark, folder):
     train, _ = _split_customers(spark, folder)
     fitted = fit_regressor("elastic_net", train, CY, {"alpha": 0.01, "l1_ratio": 0.5})
-    return metrics.by_magnitude(fitted.coefficients(spark))
+    return tidy(metrics.by_magnitude(fitted.coefficients(spark)))
 
 
 def _ols_folds(spark, folder) -> SearchResult:
@@ -805,16 +805,24 @@ def overfitting(spark, folder):
 
 @query
 def search_grid(spark, folder):
-    grid = QUICK_GRIDS["elastic_net"]
-    return tidy(grid_search("elastic_net", nation_month(spark, folder), NM1, grid).table())
+    """The full grid on all folds, from one scan."""
+    return tidy(grid_search("elastic_net", nation_month(spark, folder), NM1).table())
 
 
 @query
 def search_random(spark, folder):
-    found = random_search("elastic_net", nation_month(spark, folder), NM1, n_trials=3, k=5)
+    """A hundred draws on all folds, from one scan."""
+    found = random_search("elastic_net", nation_month(spark, folder), NM1, n_trials=100, k=5)
     return tidy(found.table().drop("params"))
 
 
+@query
+def search_grid_features(spark, folder):
+    """The full grid with four features, on every imputed customer and year."""
+    train, _ = _split_customers(spark, folder)
+    return tidy(grid_search("elastic_net", train, CY).table())
+
+
 @query
 def search_neighbours(spark, folder):
     return grid_search("knn", nation_month(spark, folder), NM, QUICK_GRIDS["knn"], k=3).table()
@@ -830,7 +838,7 @@ def feature_importance(spark, folder):
 @query
 def learning_curve(spark, folder):
     panel = nation_month(spark, folder)
-    return curves.learning_curve({"elastic_net": {"alpha": 0.001}}, panel, NM)
+    return tidy(curves.learning_curve({"elastic_net": {"alpha": 0.001}}, panel, NM))
 
 
 @query

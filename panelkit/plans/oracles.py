@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from panelkit.models.search import QUICK_GRIDS, SPACES, draw, expand_grid
+from panelkit.models.search import GRIDS, QUICK_GRIDS, SPACES, draw, expand_grid
 from panelkit.plans.catalog import TRAIN_MONTH, TRAIN_YEAR
 
 ORACLES: dict[str, str] = {}
@@ -280,13 +280,13 @@ SELECT entity, period AS latest_period, {r('log_sales')} AS latest, {r('before')
   WHEN log_sales < before THEN 'Declining' ELSE 'Stable' END AS trend FROM l WHERE k = 1""")
 
 
-def _impute(c: str) -> tuple[str, str]:
+def _impute(c: str, panel: str = "ud") -> tuple[str, str]:
     frames = {
         k: f"OVER (PARTITION BY entity ORDER BY period RANGE BETWEEN {k} PRECEDING AND {k} FOLLOWING)"
         for k in (1, 2, 4)
     }
     tries = [f"CASE WHEN count({c}) {w} >= 2 THEN quantile_cont({c}, 0.5) {w} END" for w in frames.values()]
-    overall = f"(SELECT quantile_cont({c}, 0.5) FROM ud)"
+    overall = f"(SELECT quantile_cont({c}, 0.5) FROM {panel})"
     value = f"coalesce({c}, {', '.join(tries)}, {overall})"
     counts = [f"WHEN count({c}) {w} >= 2 THEN {i}" for i, w in enumerate(frames.values(), start=1)]
     stage = f"CASE WHEN {c} IS NOT NULL THEN 0 {' '.join(counts)} ELSE 4 END"
@@ -571,13 +571,96 @@ ps AS (SELECT candidate, fold, held, 1 - sum((y - p) * (y - p)) / (var_pop(y) *
 
 _MEANS = f"""{r('avg(r2) FILTER (WHERE NOT held)')} AS train_score,
   {r('avg(r2) FILTER (WHERE held)')} AS cv_score, {r('stddev_pop(r2) FILTER (WHERE held)')} AS cv_std"""
-_GRID = expand_grid(QUICK_GRIDS["elastic_net"])
+_GRID = expand_grid(GRIDS["elastic_net"])
 _PARAMS = " ".join(f"WHEN {i} THEN '{json.dumps(c, sort_keys=True)}'" for i, c in enumerate(_GRID))
 add("search_grid", _penalised(_GRID), f"""
 SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate,
   CASE candidate {_PARAMS} END AS params, {_MEANS} FROM ps GROUP BY candidate""")
-add("search_random", _penalised(draw(SPACES["elastic_net"], 3)), f"""
+add("search_random", _penalised(draw(SPACES["elastic_net"], 100)), f"""
 SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate, {_MEANS} FROM ps GROUP BY candidate""")
+
+
+def _descent(source: str, features: tuple[str, ...], penalties: str, rounds: int = 250) -> str:
+    """CTEs of the elastic net with several features by cyclic descent on moments.
+
+    ``source`` has a group g, the features and y; ``penalties`` has g and the two penalties l1, l2. The result co
+    has a row for each group: means m<i>, deviations s<i>, coefficients b<i> on z-scores, my.
+    """
+    p = range(len(features))
+    moments = [f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}, covar_pop({c}, y) / stddev_pop({c}) AS c{i}" for i, c in enumerate(features)]
+    moments += [
+        f"covar_pop({features[i]}, {features[j]}) / (stddev_pop({features[i]}) * stddev_pop({features[j]})) AS g{i}_{j}"
+        for i in p for j in p if i < j
+    ]
+    steps = []
+    for i in p:
+        others = " - ".join(f"g{min(i, j)}_{max(i, j)} * {'n' if j < i else ''}b{j}" for j in p if j != i)
+        steps.append(f"c{i} - {others} AS r{i}, sign(r{i}) * greatest(abs(r{i}) - l1, 0) / (1 + l2) AS nb{i}")
+    return f"""
+mo AS MATERIALIZED (SELECT *, {", ".join(f"CAST(0 AS DOUBLE) AS z{i}" for i in p)} FROM (
+  SELECT g, avg(y) AS my, {", ".join(moments)} FROM {source} GROUP BY g) JOIN {penalties} USING (g)),
+it AS (SELECT g, 0 AS step, {", ".join(f"z{i} AS b{i}" for i in p)} FROM mo
+  UNION ALL SELECT g, step + 1, {", ".join(f"nb{i}" for i in p)} FROM (
+    SELECT it.g, step, {", ".join(steps)} FROM it JOIN mo USING (g) WHERE step < {rounds})),
+co AS MATERIALIZED (SELECT mo.*, {", ".join(f"b{i}" for i in p)} FROM it JOIN mo USING (g) WHERE step = {rounds})"""
+
+
+def _line(features: tuple[str, ...]) -> str:
+    return "my + " + " + ".join(f"b{i} * ({c} - m{i}) / s{i}" for i, c in enumerate(features))
+
+
+CY_FEATURES = ("n_orders", "urgent_share", "log_ticket_f", "log_ticket_o")
+IMPUTED = CUSTOMER_YEAR + f""",
+ci AS MATERIALIZED (SELECT entity, period, log_sales, {", ".join(f"{_impute(c, 'cy')[0]} AS {c}" for c in CY_FEATURES)} FROM cy),
+tr AS (SELECT * FROM ci WHERE period <= {TRAIN_YEAR}),
+te AS (SELECT * FROM ci WHERE period > {TRAIN_YEAR})"""
+
+
+def _customers(alpha: float, share: float) -> str:
+    return "WITH RECURSIVE " + IMPUTED + f""",
+so AS (SELECT 0 AS g, *, log_sales AS y FROM tr),
+pn AS (SELECT 0 AS g, CAST({alpha * share!r} AS DOUBLE) AS l1, CAST({alpha * (1 - share)!r} AS DOUBLE) AS l2),
+""" + _descent("so", CY_FEATURES, "pn")
+
+
+ORACLES["elastic_net_coefficients"] = _customers(0.01, 0.5) + " " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r(f'b{i}')} AS coefficient FROM co" for i, c in enumerate(CY_FEATURES))
+ORACLES["elastic_net"] = _customers(0.001, 0.5) + f"""
+SELECT 'Elastic Net' AS model, entity, period, {r('log_sales')} AS y_true, {r(_line(CY_FEATURES))} AS y_pred FROM te CROSS JOIN co"""
+_WHOLE = ", ".join(
+    f"({i}, CAST({c['alpha']!r} AS DOUBLE), CAST({c['l1_ratio']!r} AS DOUBLE))" for i, c in enumerate(_GRID))
+ORACLES["search_grid_features"] = "WITH RECURSIVE " + IMPUTED + f""",
+f AS MATERIALIZED (SELECT *, log_sales AS y, CAST(ntile(5) OVER (ORDER BY entity, period) - 1 AS BIGINT) AS fold FROM tr),
+k AS (SELECT DISTINCT fold FROM f),
+pc(candidate, alpha, ratio) AS (VALUES {_WHOLE}),
+so AS (SELECT k.fold AS g, f.* EXCLUDE (fold) FROM k JOIN f ON f.fold <> k.fold),
+pn AS (SELECT fold * 100 + candidate AS g, fold, candidate, alpha * ratio AS l1, alpha * (1 - ratio) AS l2 FROM pc CROSS JOIN k),
+sg AS (SELECT pn.g, so.* EXCLUDE (g) FROM so JOIN pn ON pn.fold = so.g),
+""" + _descent("sg", CY_FEATURES, "pn") + f""",
+pe AS (SELECT candidate, f.fold = co.fold AS held, co.fold, y, {_line(CY_FEATURES)} AS p FROM co CROSS JOIN f),
+ps AS (SELECT candidate, fold, held, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM pe GROUP BY 1, 2, 3)
+SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate, CASE candidate {_PARAMS} END AS params, {_MEANS}
+FROM ps GROUP BY candidate"""
+NM_FEATURES = ("log_orders", "urgent_share", "open_share")
+ORACLES["learning_curve"] = "WITH RECURSIVE " + NATION_MONTH + f""",
+o AS MATERIALIZED (SELECT *, log_sales AS y, row_number() OVER w AS place, ntile(3) OVER w - 1 AS fold FROM nm
+  WINDOW w AS (ORDER BY md5('42|' || entity || '|' || period), entity, period)),
+fo AS (SELECT fold, (SELECT count(*) FROM o) - count(*) AS n FROM o GROUP BY 1),
+sh AS (SELECT fold * 10 + i AS g, fold, share, greatest(1, CAST(floor(share * n) AS BIGINT)) AS size
+  FROM fo CROSS JOIN (VALUES (0, CAST(0.2 AS DOUBLE)), (1, CAST(0.4 AS DOUBLE)), (2, CAST(0.6 AS DOUBLE)),
+    (3, CAST(0.8 AS DOUBLE)), (4, CAST(1.0 AS DOUBLE))) v(i, share)),
+ou AS (SELECT fo.fold AS outside, o.*, row_number() OVER (PARTITION BY fo.fold ORDER BY place) AS nth FROM fo JOIN o ON o.fold <> fo.fold),
+so AS MATERIALIZED (SELECT sh.g, ou.* FROM ou JOIN sh ON sh.fold = ou.outside AND nth <= sh.size),
+pn AS (SELECT g, CAST(0.0005 AS DOUBLE) AS l1, CAST(0.0005 AS DOUBLE) AS l2 FROM sh),
+""" + _descent("so", NM_FEATURES, "pn") + f""",
+sc AS (SELECT g, 1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)) AS train FROM (
+  SELECT g, y, {_line(NM_FEATURES)} AS p FROM so JOIN co USING (g)) GROUP BY 1),
+cv AS (SELECT g, 1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)) AS held FROM (
+  SELECT sh.g, y, {_line(NM_FEATURES)} AS p FROM sh JOIN o USING (fold) JOIN co ON co.g = sh.g) GROUP BY 1)
+SELECT 'elastic_net' AS model, share, min(size) AS train_size, {r('avg(train)')} AS train_mean, {r('stddev_pop(train)')} AS train_std,
+  {r('avg(held)')} AS cv_mean, {r('stddev_pop(held)')} AS cv_std FROM sh JOIN sc USING (g) JOIN cv USING (g) GROUP BY share"""
+add("shuffled_folds", CUSTOMER_YEAR, """
+SELECT entity, period, CAST(ntile(5) OVER (ORDER BY md5('42|' || entity || '|' || period), entity, period) - 1 AS BIGINT) AS fold FROM cy""")
 add("model_round_trip", NATION_MONTH + f""",
 co AS (SELECT regr_slope(log_sales, log_orders) AS b, regr_intercept(log_sales, log_orders) AS a
   FROM nm WHERE period <= {TRAIN_MONTH})""", f"""
