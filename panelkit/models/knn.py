@@ -1,20 +1,22 @@
 """Exact k-nearest-neighbour join and regression.
 
-The points are grouped around pivots and cut into blocks of bounded size. The
-triangle inequality gives every query a distance within which its neighbours
-must lie, and with it the blocks it has to visit (cf. Lu et al. 2012, kNN joins
-with MapReduce). A query only meets points of those blocks, block pairs are
-bounded on both sides, and only k rows per query leave a block. What cannot be
-pruned is visited, so the result is exact.
+An index holds the points in shards of bounded size with a box around each, cut by the
+medians of a sample. One shard is sent to all tasks and searched there, without any
+shuffle. With more of them a query first meets the shard its box lies next to, and the
+distance of the k-th point found there bounds the other shards that it has to meet.
+Inside a shard the same is done once more with leaves of a few hundred points. Ties
+go by the points' keys, nothing is left out, so the result is exact. The index is
+built once for a set of points and serves any number of queries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,15 +26,12 @@ from panelkit.operators.reshape import complete_cases
 from panelkit.runtime import lookup_side, stored
 from panelkit.spec import PanelSpec
 
-#: Points per pivot, most pivots, and the least size of a block.
-POINTS_PER_PIVOT, MAX_PIVOTS, MIN_BLOCK = 2_000, 256, 4_096
-#: Most rings per cell, and about how many blocks there may be; a table of them
-#: is kept on the driver.
-MAX_RINGS, MAX_BLOCKS = 64, 20_000
-#: Queries that meet a block in one task, and rows of one distance matrix.
-QUERY_CHUNK, SLICE = 20_000, 512
-#: Cells of the query x block matrix that is held at a time.
-ROUTE_CELLS = 4_000_000
+#: Most points of a shard, and points in a leaf of it.
+SHARD, LEAF = 200_000, 256
+#: Points from which the cuts between shards are taken.
+SAMPLE = 20_000
+#: Queries that meet a shard in one task, and rows of one distance matrix.
+QUERY_CHUNK, SLICE = 8_192, 512
 #: Distances are compared after rounding, so float noise cannot reorder ties.
 DECIMALS = 9
 SLACK = 1e-6
@@ -47,164 +46,269 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return out if metric == "manhattan" else np.sqrt(out)
 
 
-@dataclass(frozen=True)
-class _Layout:
-    """What the driver knows about the blocks."""
-
-    pivots: np.ndarray  # one row per cell
-    near: np.ndarray  # per cell its k smallest pivot distances (inf-padded)
-    cell: np.ndarray  # per block: cell, lowest and highest pivot distance
-    low: np.ndarray
-    high: np.ndarray
-
-
-def _choose_pivots(points: DataFrame, dims: list[str], count: int) -> np.ndarray:
-    keys = [c for c in points.columns if c.startswith("p_")]
-    picked = (
-        points.select(*keys, *dims)
-        .orderBy(F.xxhash64(*keys), *keys)
-        .limit(count)
-        .select(*dims)
-        .toPandas()
-    )
-    return picked.to_numpy(dtype="float64")
-
+def box_distances(a: np.ndarray, low: np.ndarray, high: np.ndarray, metric: str) -> np.ndarray:
+    """Least distance of every row of ``a`` to any place in every box."""
+    out = np.zeros((len(a), len(low)))
+    for j in range(a.shape[1]):
+        at = a[:, j, None]
+        gap = np.maximum(np.maximum(low[None, :, j] - at, at - high[None, :, j]), 0)
+        out += gap if metric == "manhattan" else gap * gap
+    return out if metric == "manhattan" else np.sqrt(out)
 
-def _assign_cells(points: DataFrame, dims: list[str], pivots: np.ndarray, metric: str) -> DataFrame:
-    schema = T.StructType(
-        [*points.schema.fields, T.StructField("cell", T.IntegerType()),
-         T.StructField("to_pivot", T.DoubleType())]
-    )
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            d = distances(batch[dims].to_numpy(dtype="float64"), pivots, metric)
-            cell = d.argmin(axis=1)
-            yield batch.assign(cell=cell.astype("int32"), to_pivot=d[np.arange(len(d)), cell])
-
-    return points.mapInPandas(assign, schema)
-
-
-def _cut_blocks(assigned: DataFrame, n: int) -> DataFrame:
-    """Add ``block``: rings of similar pivot distance, oversized rings split by hash."""
-    target = max(MIN_BLOCK, -(-n // MAX_BLOCKS))
-    per_cell = F.least(F.ceil(F.count(F.lit(1)) / F.lit(target)), F.lit(MAX_RINGS)).cast("int")
-    sizes = lookup_side(assigned.groupBy("cell").agg(per_cell.alias("_rings")))
-    most = sizes.agg(F.max("_rings")).first()[0]
-    if most == 1:  # no cell is larger than a block
-        return assigned.withColumn(
-            "block", F.struct("cell", F.lit(0).alias("ring"), F.lit(0).alias("part"))
+def median_cuts(x: np.ndarray, most: int) -> list[np.ndarray]:
+    """Row numbers of ``x`` in parts of at most ``most``, halved along the widest side."""
+    open_parts, done = [np.arange(len(x))], []
+    while open_parts:
+        part = open_parts.pop()
+        if len(part) <= most:
+            done.append(part)
+            continue
+        side = int(np.argmax(x[part].max(axis=0) - x[part].min(axis=0)))
+        half = len(part) // 2
+        order = np.argpartition(x[part, side], half)
+        open_parts += [part[order[:half]], part[order[half:]]]
+    return done
+
+
+class Leaves:
+    """The points of a shard, in leaves with a box around each."""
+
+    def __init__(self, x: np.ndarray, k: int):
+        self.x = x
+        self.parts = [np.sort(p) for p in median_cuts(x, max(LEAF, 4 * k))] if len(x) else []
+        self.low = np.array([x[p].min(axis=0) for p in self.parts])
+        self.high = np.array([x[p].max(axis=0) for p in self.parts])
+
+    def nearest(self, q: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, point, rounded distance) of the k nearest points of every query, nearest first; ties by point number."""
+        found = []
+        order = np.arange(len(q))
+        if len(q) > SLICE:  # neighbours in one slice visit the same leaves
+            order = np.concatenate(median_cuts(q, SLICE))
+        for start in range(0, len(q), SLICE):
+            rows = order[start : start + SLICE]
+            row, point, value = self._slice(q[rows], k, metric)
+            found.append((rows[row], point, value))
+        row, point, value = (np.concatenate(c) if found else np.zeros(0) for c in zip(*found))
+        by_row = np.argsort(row, kind="stable")
+        return row[by_row], point[by_row], value[by_row]
+
+    def _slice(self, q: np.ndarray, k: int, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        away = box_distances(q, self.low, self.high, metric)
+        home = away.argmin(axis=1)
+        reach = np.empty(len(q))
+        for leaf in np.unique(home):
+            rows = np.flatnonzero(home == leaf)
+            d = distances(q[rows], self.x[self.parts[leaf]], metric)
+            reach[rows] = np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.inf
+        reach = reach * (1 + SLACK) + SLACK
+        out = []
+        visits = away <= reach[:, None]
+        for leaf in np.flatnonzero(visits.any(axis=0)):
+            rows = np.flatnonzero(visits[:, leaf])
+            d = distances(q[rows], self.x[self.parts[leaf]], metric)
+            row, place = np.nonzero(d <= reach[rows, None])
+            out.append(_first(rows[row], self.parts[leaf][place], np.round(d[row, place], DECIMALS), k))
+        return _first(*(np.concatenate(c) for c in zip(*out)), k)
+
+
+def _first(row: np.ndarray, point: np.ndarray, value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k first of every row by value, then by point."""
+    order = np.lexsort((point, value, row))
+    row, point, value = row[order], point[order], value[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], point[keep], value[keep]
+
+
+@dataclass
+class NeighbourIndex:
+    """Points in shards. ``most`` is the largest k that it answers."""
+
+    points: DataFrame  # p_<key>..., dims..., y, shard
+    keys: list[str]
+    dims: list[str]
+    most: int
+    n: int
+    low: np.ndarray = field(repr=False)
+    high: np.ndarray = field(repr=False)
+    counts: np.ndarray = field(repr=False)
+    sent: Broadcast | None = field(default=None, repr=False)
+
+    @classmethod
+    def build(
+        cls, points: DataFrame, keys: Sequence[str], dims: Sequence[str], label: str, most: int, shard: int | None = None
+    ) -> "NeighbourIndex":
+        """Index ``points`` by ``dims``; ``label`` is returned as y, ``keys`` tell points apart.
+
+        Of equal points only the first ``most`` keys can ever be among the nearest, and only
+        these are kept, so that many equal points do not fill shards.
+        """
+        keys, dims, shard = list(keys), list(dims), shard or SHARD
+        cast = [F.col(c).cast("double").alias(c) for c in dims]
+        p_keys = [f"p_{c}" for c in keys]
+        p = points.select(*[F.col(c).alias(f"p_{c}") for c in keys], *cast, F.col(label).cast("double").alias("y"))
+        twins = Window.partitionBy(*dims).orderBy(*p_keys)
+        p = stored(p.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= most).drop("_twin"))
+        n = p.count()
+        if n == 0:
+            raise ValueError("no points to search")
+        if n <= shard:
+            return cls(p.withColumn("shard", F.lit(0)), keys, dims, most, n, np.zeros((1, len(dims))), np.zeros((1, len(dims))), np.array([n]))
+        sharded = stored(_sharded(p, dims, p_keys, n, shard))
+        sides = sharded.groupBy("shard").agg(
+            F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"low_{i}") for i, c in enumerate(dims)],
+            *[F.max(c).alias(f"high_{i}") for i, c in enumerate(dims)],
+        ).orderBy("shard").toPandas()
+        numbers = {int(s): i for i, s in enumerate(sides["shard"])}
+        if list(numbers) != list(range(len(numbers))):  # a cut may have caught no point
+            names = p.sparkSession.createDataFrame(list(numbers.items()), "shard int, _place int")
+            sharded = sharded.join(F.broadcast(names), "shard").drop("shard").withColumnRenamed("_place", "shard")
+        return cls(
+            sharded, keys, dims, most, n, sides[[f"low_{i}" for i in range(len(dims))]].to_numpy(float),
+            sides[[f"high_{i}" for i in range(len(dims))]].to_numpy(float), sides["n"].to_numpy(),
         )
-    cuts = lookup_side(
-        assigned.groupBy("cell").agg(
-            F.percentile_approx(
-                "to_pivot", [(i + 1) / most for i in range(most - 1)], 10 * most
-            ).alias("_cuts")
-        ).join(sizes, "cell")
-    )
-    fine = F.size(F.filter("_cuts", lambda c: c < F.col("to_pivot")))
-    ringed = assigned.join(cuts, "cell").withColumn(
-        "ring", F.floor(fine * F.col("_rings") / F.lit(most)).cast("int")
-    )
-    return _split_large(ringed.drop("_cuts", "_rings"), target)
-
 
-def _split_large(ringed: DataFrame, target: int) -> DataFrame:
-    """Add ``block``, splitting rings of more than two targets by hash of the key."""
-    ring_sizes = lookup_side(
-        ringed.groupBy("cell", "ring").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(2 * target)).cast("int").alias("_parts")
+    def _named(self, df: DataFrame) -> DataFrame:
+        cast = [F.col(c).cast("double").alias(c) for c in self.dims]
+        return df.select(*[F.col(c).alias(f"q_{c}") for c in self.keys], *cast)
+
+    def _schema(self, q: DataFrame) -> T.StructType:
+        return T.StructType([
+            *[q.schema[f"q_{c}"] for c in self.keys], T.StructField("distance", T.DoubleType()),
+            *[self.points.schema[f"p_{c}"] for c in self.keys], T.StructField("y", T.DoubleType()),
+            T.StructField("rank", T.IntegerType()),
+        ])
+
+    def nearest(self, queries: DataFrame, k: int, metric: str = "euclidean") -> DataFrame:
+        """The k nearest points of every query: q_<key>..., distance, p_<key>..., y, rank.
+
+        ``queries`` has the keys and dims, none of them null.
+        """
+        if k > self.most:
+            raise ValueError(f"the index answers {self.most} neighbours at most")
+        q = self._named(queries)
+        if len(self.counts) == 1:
+            return self._in_one_shard(q, k, metric)
+        homes = self._routed(q, k, metric)
+        first = stored(self._met(homes, k, metric))
+        q_keys = [f"q_{c}" for c in self.keys]
+        reach = first.groupBy(*q_keys).agg(
+            F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("_reach")
+        )
+        more = self._met(self._routed(q.join(reach, q_keys), k, metric), k, metric)
+        best = Window.partitionBy(*q_keys).orderBy("distance", *[f"p_{c}" for c in self.keys])
+        both = first.unionByName(more).drop("rank")
+        return both.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+    def _in_one_shard(self, q: DataFrame, k: int, metric: str) -> DataFrame:
+        """Search the only shard in the tasks that have the queries; it has ``SHARD`` rows at most."""
+        if self.sent is None:
+            local = self.points.drop("shard").toPandas().sort_values([f"p_{c}" for c in self.keys], kind="stable")
+            self.sent = q.sparkSession.sparkContext.broadcast(local.reset_index(drop=True))
+        sent, search = self.sent, self._search(k, metric)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            points, leaves = sent.value, None
+            for batch in batches:
+                if leaves is None:
+                    leaves = search.leaves(points)
+                yield search(batch, points, leaves)
+
+        return q.mapInPandas(run, self._schema(q))
+
+    def _search(self, k: int, metric: str) -> "_Search":
+        return _Search(tuple(self.keys), tuple(self.dims), k, metric)
+
+    def _routed(self, q: DataFrame, k: int, metric: str) -> DataFrame:
+        """A row per query and shard to meet: the home shard, or with ``_reach`` all others within it."""
+        dims, low, high = self.dims, self.low, self.high
+        short = np.where(self.counts >= min(k, self.counts.max()), 0.0, np.inf)
+        rest = "_reach" in q.columns
+        schema = T.StructType([*[f for f in q.schema.fields if f.name != "_reach"], T.StructField("shard", T.IntegerType())])
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for start in range(0, len(batch), SLICE):
+                    part = batch.iloc[start : start + SLICE]
+                    away = box_distances(part[dims].to_numpy(float), low, high, metric)
+                    home = (away + short).argmin(axis=1)
+                    if rest:
+                        visits = away <= (part["_reach"].to_numpy(float) * (1 + SLACK) + SLACK)[:, None]
+                        visits[np.arange(len(part)), home] = False
+                        row, shard = np.nonzero(visits)
+                        yield part.drop(columns="_reach").iloc[row].assign(shard=shard.astype("int32"))
+                    else:
+                        yield part.assign(shard=home.astype("int32"))
+
+        return q.mapInPandas(run, schema)
+
+    def _met(self, routed: DataFrame, k: int, metric: str) -> DataFrame:
+        """The k nearest points of each query in each shard it is routed to; a shard with many queries meets them in chunks."""
+        q_keys = [f"q_{c}" for c in self.keys]
+        chunks = lookup_side(routed.groupBy("shard").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(QUERY_CHUNK)).cast("int").alias("_chunks")
+        ))
+        asked = routed.join(chunks, "shard").withColumn("_chunk", F.pmod(F.xxhash64(*q_keys), F.col("_chunks")).cast("int"))
+        offered = self.points.join(chunks, "shard").withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+        schema, search = self._schema(routed), self._search(k, metric)
+
+        def run(ask: pd.DataFrame, offer: pd.DataFrame) -> pd.DataFrame:
+            if ask.empty or offer.empty:
+                return pd.DataFrame(columns=schema.names)
+            points = offer.sort_values([f"p_{c}" for c in search.keys], kind="stable").reset_index(drop=True)
+            return search(ask, points, search.leaves(points))
+
+        return (
+            asked.drop("_chunks").groupBy("shard", "_chunk")
+            .cogroup(offered.drop("_chunks").groupBy("shard", "_chunk"))
+            .applyInPandas(run, schema)
         )
-    )
-    keys = [c for c in ringed.columns if c.startswith("p_")]
-    return (
-        ringed.join(ring_sizes, ["cell", "ring"])
-        .withColumn("part", F.pmod(F.xxhash64(*keys), F.col("_parts")).cast("int"))
-        .withColumn("block", F.struct("cell", "ring", "part"))
-        .drop("ring", "part", "_parts")
-    )
-
-
-def _number_blocks(cut: DataFrame, pivots: np.ndarray, k: int) -> tuple[DataFrame, _Layout]:
-    stats = (
-        cut.groupBy("block")
-        .agg(F.min("to_pivot").alias("low"), F.max("to_pivot").alias("high"))
-        .orderBy("block")
-        .toPandas()
-    )
-    spark = cut.sparkSession
-    numbers = spark.createDataFrame(
-        [(tuple(b), i) for i, b in enumerate(stats["block"])],
-        "block struct<cell:int,ring:int,part:int>, block_id int",
-    )
-    first = Window.partitionBy("cell").orderBy("to_pivot")
-    nearest = (
-        cut.select("cell", "to_pivot")
-        .withColumn("_r", F.row_number().over(first))
-        .where(F.col("_r") <= k)
-        .toPandas()
-    )
-    near = np.full((len(pivots), k), np.inf)
-    near[nearest["cell"], nearest["_r"] - 1] = nearest["to_pivot"]
-    layout = _Layout(
-        pivots, near,
-        np.array([b["cell"] for b in stats["block"]], dtype=int),
-        stats["low"].to_numpy(), stats["high"].to_numpy(),
-    )
-    return cut.join(F.broadcast(numbers), "block").drop("block", "cell", "to_pivot"), layout
-
 
-def _route_queries(
-    queries: DataFrame, dims: list[str], layout: _Layout, k: int, metric: str
-) -> DataFrame:
-    """One row per query and block that may hold one of its k nearest points."""
-    schema = T.StructType([*queries.schema.fields, T.StructField("block_id", T.IntegerType())])
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = max(1, min(SLICE, ROUTE_CELLS // len(layout.cell)))
+@dataclass(frozen=True)
+class _Search:
+    """Search of a pandas frame of points, sorted by their keys."""
+
+    keys: tuple[str, ...]
+    dims: tuple[str, ...]
+    k: int
+    metric: str
+
+    def leaves(self, points: pd.DataFrame) -> Leaves:
+        return Leaves(points[list(self.dims)].to_numpy(float), self.k)
+
+    def __call__(self, queries: pd.DataFrame, points: pd.DataFrame, leaves: Leaves) -> pd.DataFrame:
+        row, at, value = leaves.nearest(queries[list(self.dims)].to_numpy(float), self.k, self.metric)
+        row, at = row.astype(int), at.astype(int)
+        out = {f"q_{c}": queries[f"q_{c}"].to_numpy()[row] for c in self.keys}
+        out["distance"] = value
+        out |= {f"p_{c}": points[f"p_{c}"].to_numpy()[at] for c in self.keys}
+        out["y"] = points["y"].to_numpy()[at]
+        out["rank"] = (np.arange(len(row)) - np.searchsorted(row, row) + 1).astype("int32")
+        return pd.DataFrame(out)
+
+
+def _sharded(p: DataFrame, dims: list[str], p_keys: list[str], n: int, shard: int) -> DataFrame:
+    """Add ``shard``: cuts at the medians of a sample, and by hash of the key where a part is still too large."""
+    sample = p.select(*p_keys, *dims).orderBy(F.xxhash64(*p_keys), *p_keys).limit(SAMPLE).select(*dims).toPandas().to_numpy(float)
+    parts = median_cuts(sample, max(1, int(len(sample) * shard / n / 2)))
+    low = np.array([sample[i].min(axis=0) for i in parts])
+    high = np.array([sample[i].max(axis=0) for i in parts])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), rows):
-                part = batch.iloc[start : start + rows]
-                to_pivot = distances(part[dims].to_numpy(dtype="float64"), layout.pivots, metric)
-                upper = (to_pivot[:, :, None] + layout.near[None]).reshape(len(part), -1)
-                reach = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else None
-                mine = to_pivot[:, layout.cell]
-                lower = np.maximum(layout.low - mine, mine - layout.high)
-                if reach is None:
-                    visit = np.ones_like(lower, dtype=bool)
-                else:
-                    visit = lower <= (reach * (1 + SLACK) + SLACK)[:, None]
-                row, block = np.nonzero(visit)
-                yield part.iloc[row].assign(block_id=block.astype("int32"))
-
-    return queries.mapInPandas(route, schema)
-
-
-def _search_block(
-    queries: pd.DataFrame, points: pd.DataFrame, dims, q_keys, p_keys, k: int, metric: str
-) -> pd.DataFrame:
-    """The k nearest points of one block for each query; ties by point key."""
-    points = points.sort_values(p_keys, kind="stable").reset_index(drop=True)
-    coords = points[dims].to_numpy(dtype="float64")
-    out = []
-    for start in range(0, len(queries), SLICE):
-        part = queries.iloc[start : start + SLICE]
-        d = np.round(distances(part[dims].to_numpy(dtype="float64"), coords, metric), DECIMALS)
-        take = min(k, d.shape[1])
-        limit = np.partition(d, take - 1, axis=1)[:, take - 1]
-        row, col = np.nonzero(d <= limit[:, None])
-        value = d[row, col]
-        order = np.lexsort((col, value, row))
-        row, col, value = row[order], col[order], value[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        keep = place < take
-        row, col, value = row[keep], col[keep], value[keep]
-        found = part[q_keys].iloc[row].reset_index(drop=True)
-        found["distance"] = value
-        for c in [*p_keys, "y"]:
-            found[c] = points[c].to_numpy()[col]
-        out.append(found)
-    return pd.concat(out, ignore_index=True)
+            for start in range(0, len(batch), SLICE):
+                part = batch.iloc[start : start + SLICE]
+                away = box_distances(part[dims].to_numpy(float), low, high, "euclidean")
+                yield part.assign(_cell=away.argmin(axis=1).astype("int32"))
+
+    placed = stored(p.mapInPandas(run, T.StructType([*p.schema.fields, T.StructField("_cell", T.IntegerType())])))
+    sizes = placed.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard)).cast("int").alias("_parts"))
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)  # a row per cell
+    sizes = lookup_side(sizes.withColumn("_first", F.coalesce(F.sum("_parts").over(before), F.lit(0)).cast("int")))
+    split = F.pmod(F.xxhash64(*p_keys), F.col("_parts")).cast("int")
+    return placed.join(sizes, "_cell").withColumn("shard", F.col("_first") + split).drop("_cell", "_parts", "_first")
 
 
 def nearest_neighbours(
@@ -215,66 +319,14 @@ def nearest_neighbours(
     label: str,
     k: int,
     metric: str = "euclidean",
-    pivots: int | None = None,
+    shard: int | None = None,
 ) -> DataFrame:
-    """The k nearest points of every query.
+    """The k nearest points of every query, by an index that is made for this call.
 
-    Columns: q_<key>..., p_<key>..., distance, y, rank. ``keys`` identify rows in
+    Columns: q_<key>..., distance, p_<key>..., y, rank. ``keys`` identify rows in
     both frames, ``dims`` are compared, ``label`` of the points is returned as y.
     """
-    dims = list(dims)
-    q_keys, p_keys = [f"q_{c}" for c in keys], [f"p_{c}" for c in keys]
-    cast = [F.col(c).cast("double").alias(c) for c in dims]
-    q = queries.select(*[F.col(c).alias(f"q_{c}") for c in keys], *cast)
-    p = points.select(
-        *[F.col(c).alias(f"p_{c}") for c in keys], *cast, F.col(label).cast("double").alias("y")
-    )
-    # of equal points only the first k keys can ever be among the nearest
-    twins = Window.partitionBy(*dims).orderBy(*p_keys)
-    p = stored(
-        p.withColumn("_twin", F.row_number().over(twins)).where(F.col("_twin") <= k).drop("_twin")
-    )
-    n = p.count()
-    if n == 0:
-        raise ValueError("no points to search")
-    count = pivots or max(1, min(MAX_PIVOTS, n // POINTS_PER_PIVOT))
-    centres = _choose_pivots(p, dims, count)
-    assigned = stored(_assign_cells(p, dims, centres, metric))
-    cut = stored(_cut_blocks(assigned, n))
-    blocks, layout = _number_blocks(cut, centres, k)
-    routed = stored(_route_queries(q, dims, layout, k, metric))
-
-    chunks = routed.groupBy("block_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(QUERY_CHUNK)).cast("int").alias("_chunks")
-    )
-    chunks = lookup_side(chunks)  # at most one row per block
-    asked = routed.join(chunks, "block_id").withColumn(
-        "_chunk", F.pmod(F.xxhash64(*q_keys), F.col("_chunks")).cast("int")
-    )
-    offered = blocks.join(chunks, "block_id").withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    )
-    found_schema = T.StructType(
-        [
-            *[q.schema[c] for c in q_keys],
-            T.StructField("distance", T.DoubleType()),
-            *[p.schema[c] for c in p_keys],
-            T.StructField("y", T.DoubleType()),
-        ]
-    )
-
-    def search(ask: pd.DataFrame, offer: pd.DataFrame) -> pd.DataFrame:
-        if ask.empty or offer.empty:
-            return pd.DataFrame(columns=found_schema.names)
-        return _search_block(ask, offer, dims, q_keys, p_keys, k, metric)
-
-    found = (
-        asked.drop("_chunks").groupBy("block_id", "_chunk")
-        .cogroup(offered.drop("_chunks").groupBy("block_id", "_chunk"))
-        .applyInPandas(search, found_schema)
-    )
-    best = Window.partitionBy(*q_keys).orderBy("distance", *p_keys)
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return NeighbourIndex.build(points, keys, dims, label, k, shard).nearest(queries, k, metric)
 
 
 def neighbour_average(weights: str = "uniform") -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.models import linear, net
-from panelkit.models.knn import nearest_neighbours, neighbour_average
+from panelkit.models.knn import NeighbourIndex, neighbour_average
 from panelkit.models.scaling import ZScores
 from panelkit.operators.reshape import complete_cases
 from panelkit.runtime import stored
@@ -95,6 +95,7 @@ class Fitted:
     params: dict
     pipeline: PipelineModel | None = None
     neighbours: DataFrame | None = None
+    index: NeighbourIndex | None = None
     scores: ZScores | None = None
     line: linear.LinearFit | None = None
     network: net.NetFit | None = None
@@ -120,10 +121,10 @@ class Fitted:
     def neighbour_table(self, df: DataFrame, k: int | None = None) -> DataFrame:
         """The k nearest training rows of every complete row."""
         asked = complete_cases(df.select(*self.keys, *self.features))
-        return nearest_neighbours(
-            self.scores.apply(asked), self.neighbours, self.keys, self.features, self.target,
-            int(k or self.params.get("n_neighbors", 5)), metric_of(self.params),
-        )
+        k = int(k or self.params.get("n_neighbors", 5))
+        if self.index is None or self.index.most < k:
+            self.index = NeighbourIndex.build(self.neighbours, self.keys, self.features, self.target, k)
+        return self.index.nearest(self.scores.apply(asked), k, metric_of(self.params))
 
     def _predict_knn(self, df: DataFrame) -> DataFrame:
         means = self.neighbour_table(df).groupBy(

@@ -713,12 +713,6 @@ def _split_customers(spark, folder) -> tuple[DataFrame, DataFrame]:
     return temporal.split_at(panel, CY, TRAIN_YEAR)
 
 
-def _split_complete_customers(spark, folder) -> tuple[DataFrame, DataFrame]:
-    """The rows that the SQL twins of the neighbour queries read."""
-    panel = stored(reshape.complete_cases(customer_year(spark, folder)))
-    return temporal.split_at(panel, CY, TRAIN_YEAR)
-
-
 def _evaluated(kind: str) -> Query:
     def run(spark, folder):
         train, test = _split_customers(spark, folder)
@@ -738,13 +732,13 @@ for _kind in ("random_forest", "xgboost", "gradient_boosting", "elastic_net", "s
 @query
 def knn_regress(spark, folder):
     spec = CY.with_features("urgent_share", "log_ticket_f", "log_ticket_o")
-    return tidy(knn_predict(*_split_complete_customers(spark, folder), spec, 5, "distance"))
+    return tidy(knn_predict(*_split_customers(spark, folder), spec, 5, "distance"))
 
 
 @query
 def knn_uniform_manhattan(spark, folder):
     spec = CY.with_features("log_ticket_f", "log_ticket_o")
-    return tidy(knn_predict(*_split_complete_customers(spark, folder), spec, 7, "uniform", "manhattan"))
+    return tidy(knn_predict(*_split_customers(spark, folder), spec, 7, "uniform", "manhattan"))
 
 
 @query
@@ -825,7 +819,8 @@ def search_grid_features(spark, folder):
 
 @query
 def search_neighbours(spark, folder):
-    return grid_search("knn", nation_month(spark, folder), NM, QUICK_GRIDS["knn"], k=3).table()
+    """The full grid of neighbour counts, weights and metrics on five folds."""
+    return tidy(grid_search("knn", nation_month(spark, folder), NM).table())
 
 
 @query

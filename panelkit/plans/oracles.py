@@ -493,6 +493,12 @@ FROM score {TEST}""")
 
 # -- regressors
 
+CY_FEATURES = ("n_orders", "urgent_share", "log_ticket_f", "log_ticket_o")
+IMPUTED = CUSTOMER_YEAR + f""",
+ci AS MATERIALIZED (SELECT entity, period, log_sales, {", ".join(f"{_impute(c, 'cy')[0]} AS {c}" for c in CY_FEATURES)} FROM cy),
+tr AS (SELECT * FROM ci WHERE period <= {TRAIN_YEAR}),
+te AS (SELECT * FROM ci WHERE period > {TRAIN_YEAR})"""
+
 
 def _knn(features: tuple[str, ...], k: int, metric: str, weighted: bool) -> tuple[str, str]:
     z = ", ".join(
@@ -508,11 +514,9 @@ def _knn(features: tuple[str, ...], k: int, metric: str, weighted: bool) -> tupl
     if weighted:
         average = ("coalesce(avg(y) FILTER (WHERE d = 0), "
                    "sum(y / nullif(d, 0)) / sum(1 / nullif(d, 0)))")
-    ctes = CUSTOMER_YEAR + f""",
-cc AS (SELECT * FROM cy WHERE log_ticket_f IS NOT NULL AND log_ticket_o IS NOT NULL),
-tr AS (SELECT * FROM cc WHERE period <= {TRAIN_YEAR}),
+    ctes = IMPUTED + f""",
 pt AS (SELECT entity, period, log_sales AS y, {z} FROM tr),
-qu AS (SELECT entity, period, log_sales AS y_true, {z} FROM cc WHERE period > {TRAIN_YEAR}),
+qu AS (SELECT entity, period, log_sales AS y_true, {z} FROM te),
 nb AS (SELECT q.entity, q.period, q.y_true, p.y, round({distance}, 9) AS d,
   row_number() OVER (PARTITION BY q.entity, q.period
     ORDER BY round({distance}, 9), p.entity, p.period) AS k FROM qu q CROSS JOIN pt p)"""
@@ -576,6 +580,42 @@ _PARAMS = " ".join(f"WHEN {i} THEN '{json.dumps(c, sort_keys=True)}'" for i, c i
 add("search_grid", _penalised(_GRID), f"""
 SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate,
   CASE candidate {_PARAMS} END AS params, {_MEANS} FROM ps GROUP BY candidate""")
+_NEAR = expand_grid(GRIDS["knn"])
+_NEAR_PARAMS = " ".join(f"WHEN {i} THEN '{json.dumps(c, sort_keys=True)}'" for i, c in enumerate(_NEAR))
+
+
+def _neighbour_grid() -> tuple[str, str]:
+    """Every row's nearest training rows per fold and metric, as one sorted list each."""
+    features = ("log_orders", "urgent_share", "open_share")
+    z = ", ".join(f"({c} - m{i}) / s{i} AS z{i}" for i, c in enumerate(features))
+    lists = []
+    for metric in ("euclidean", "manhattan"):
+        gaps = [f"(q.z{i} - p.z{i})" for i in range(len(features))]
+        d = " + ".join(f"abs{g}" for g in gaps) if metric == "manhattan" else f"sqrt({' + '.join(f'{g} * {g}' for g in gaps)})"
+        lists.append(f"""SELECT '{metric}' AS metric, q.fold, q.held, q.entity, q.period, any_value(q.y) AS y_true,
+  min(struct_pack(d := round({d}, 9), e := p.entity, t := p.period, y := p.y), 15) AS near
+FROM zf q JOIN zf p ON p.fold = q.fold AND NOT p.held GROUP BY ALL""")
+    averages = []
+    for i, c in enumerate(_NEAR):
+        few = f"list_slice(near, 1, {c['n_neighbors']})"
+        mean = f"list_avg(list_transform({few}, lambda x: x.y))"
+        if c["weights"] == "distance":
+            same = f"list_avg(list_transform(list_filter({few}, lambda x: x.d = 0), lambda x: x.y))"
+            far = f"list_filter({few}, lambda x: x.d > 0)"
+            mean = f"coalesce({same}, list_sum(list_transform({far}, lambda x: x.y / x.d)) / list_sum(list_transform({far}, lambda x: 1 / x.d)))"
+        averages.append(f"SELECT {i} AS candidate, fold, held, y_true AS y, {mean} AS p FROM nb WHERE metric = '{c['metric']}'")
+    moments = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(features))
+    return FOLDS + f""",
+zm AS (SELECT k.fold, {moments} FROM k JOIN f ON f.fold <> k.fold GROUP BY 1),
+zf AS MATERIALIZED (SELECT zm.fold, f.fold = zm.fold AS held, entity, period, log_sales AS y, {z} FROM zm CROSS JOIN f),
+nb AS MATERIALIZED ({" UNION ALL ".join(lists)}),
+pe AS ({" UNION ALL ".join(averages)}),
+ps AS (SELECT candidate, fold, held, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2 FROM pe GROUP BY 1, 2, 3)""", f"""
+SELECT 'knn' AS model, CAST(candidate AS BIGINT) AS candidate, CASE candidate {_NEAR_PARAMS} END AS params, {_MEANS}
+FROM ps GROUP BY candidate"""
+
+
+add("search_neighbours", *_neighbour_grid())
 add("search_random", _penalised(draw(SPACES["elastic_net"], 100)), f"""
 SELECT 'elastic_net' AS model, CAST(candidate AS BIGINT) AS candidate, {_MEANS} FROM ps GROUP BY candidate""")
 
@@ -609,13 +649,6 @@ def _line(features: tuple[str, ...]) -> str:
     return "my + " + " + ".join(f"b{i} * ({c} - m{i}) / s{i}" for i, c in enumerate(features))
 
 
-CY_FEATURES = ("n_orders", "urgent_share", "log_ticket_f", "log_ticket_o")
-IMPUTED = CUSTOMER_YEAR + f""",
-ci AS MATERIALIZED (SELECT entity, period, log_sales, {", ".join(f"{_impute(c, 'cy')[0]} AS {c}" for c in CY_FEATURES)} FROM cy),
-tr AS (SELECT * FROM ci WHERE period <= {TRAIN_YEAR}),
-te AS (SELECT * FROM ci WHERE period > {TRAIN_YEAR})"""
-
-
 def _customers(alpha: float, share: float) -> str:
     return "WITH RECURSIVE " + IMPUTED + f""",
 so AS (SELECT 0 AS g, *, log_sales AS y FROM tr),

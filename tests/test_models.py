@@ -5,13 +5,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from panelkit.models import folds, net
+from panelkit.models import folds, linear, net
 from panelkit.models.curves import cv_comparison, cv_scores, learning_curve
 from panelkit.models.knn import knn_predict, nearest_neighbours
 from panelkit.models.regressors import NAMES, fit_regressor
 from panelkit.models.scaling import ZScores
 from panelkit.models.search import GRIDS, QUICK_GRIDS, SPACES, draw, expand_grid, grid_search, random_search
 from panelkit.models.training import PanelRegressor, train_all
+from panelkit.spec import PanelSpec
 
 
 def test_grid_sizes():
@@ -83,7 +84,7 @@ def test_elastic_net_objective(regression, alpha, ratio):
     """Coordinate descent on the usual objective gives the same coefficients."""
     train, _, spec, _ = regression
     fitted = fit_regressor("elastic_net", train, spec, {"alpha": alpha, "l1_ratio": ratio})
-    got = fitted.pipeline.stages[-1].coefficients.toArray()
+    got = np.array(fitted.line.coefficients)
     pdf = train.toPandas()
     x = pdf[list(spec.features)].to_numpy()
     z = (x - x.mean(0)) / x.std(0)
@@ -110,11 +111,11 @@ def brute_neighbours(q, p, dims, k, metric):
 
 
 @pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
-@pytest.mark.parametrize("pivots", [1, 12])
-def test_neighbours_are_exact(spark, monkeypatch, metric, pivots):
+@pytest.mark.parametrize("shard", [None, 12])
+def test_neighbours_are_exact(spark, monkeypatch, metric, shard):
     from panelkit.models import knn
 
-    monkeypatch.setattr(knn, "MIN_BLOCK", 20)
+    monkeypatch.setattr(knn, "LEAF", 20)
     monkeypatch.setattr(knn, "QUERY_CHUNK", 30)
     rng = np.random.default_rng(5)
     n = 600
@@ -125,7 +126,7 @@ def test_neighbours_are_exact(spark, monkeypatch, metric, pivots):
     pdf.loc[pdf.index % 3 == 0, ["a", "b"]] = [0.5, -0.5]  # a third of the points coincide
     df = spark.createDataFrame(pdf)
     points, queries = df.where("period < 12"), df.where("period >= 10")
-    got = nearest_neighbours(queries, points, ["entity", "period"], ["a", "b"], "y", 7, metric, pivots)
+    got = nearest_neighbours(queries, points, ["entity", "period"], ["a", "b"], "y", 7, metric, shard)
     found = {}
     for r in got.orderBy("q_entity", "q_period", "rank").collect():
         found.setdefault((r["q_entity"], r["q_period"]), []).append(
@@ -223,6 +224,103 @@ def test_grid_and_random_search(regression):
     assert len(drawn.candidates) == 3 and drawn.model is not None
 
 
+def clustered(spark, n=4000, d=10):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(40, d))[rng.integers(0, 40, n)] * 8 + rng.normal(size=(n, d)) * 0.3
+    pdf = pd.DataFrame(x, columns=[f"f{i}" for i in range(d)])
+    pdf.insert(0, "entity", np.arange(n) % 50)
+    pdf.insert(1, "period", np.arange(n) // 50)
+    pdf["y"] = rng.normal(size=n)
+    return pdf, spark.createDataFrame(pdf)
+
+
+def test_ten_features_meet_few_shards(spark):
+    """The distance found in the home shard spares queries most other shards."""
+    from panelkit.models.knn import NeighbourIndex
+
+    pdf, df = clustered(spark)
+    dims = [f"f{i}" for i in range(10)]
+    index = NeighbourIndex.build(df, ["entity", "period"], dims, "y", 5, shard=400)
+    assert len(index.counts) >= 10 and index.counts.sum() == 4000 and index.counts.max() <= 400
+    queries = df.where("period % 4 = 0")
+    q = index._named(queries)
+    homes = index._routed(q, 5, "euclidean")
+    assert homes.count() == q.count()
+    first = index._met(homes, 5, "euclidean")
+    reach = first.groupBy("q_entity", "q_period").agg(F.max("distance").alias("_reach"))
+    assert index._routed(q.join(reach, ["q_entity", "q_period"]), 5, "euclidean").count() < 4 * q.count()
+    want = brute_neighbours(queries.toPandas(), pdf, dims, 5, "euclidean")
+    got = {}
+    for r in index.nearest(queries, 5).orderBy("q_entity", "q_period", "rank").collect():
+        got.setdefault((r.q_entity, r.q_period), []).append((r.p_entity, r.p_period, r.distance))
+    assert got == want
+
+
+def test_an_index_serves_many_queries(spark):
+    from panelkit.models.knn import NeighbourIndex
+
+    _, df = clustered(spark, 500, 3)
+    index = NeighbourIndex.build(df, ["entity", "period"], ["f0", "f1", "f2"], "y", 6)
+    plain = lambda rows: sorted(map(tuple, rows.collect()))
+    one = plain(index.nearest(df, 4))
+    sent = index.sent
+    assert plain(index.nearest(df, 4)) == one and index.sent is sent
+    assert plain(index.nearest(df.repartition(7), 4)) == one
+    assert len(plain(index.nearest(df.where("entity < 3"), 6, "manhattan"))) == 6 * 30
+    with pytest.raises(ValueError):
+        index.nearest(df, 7)
+
+
+def test_moments_merge_and_score():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(90, 3)) * [1, 50, 1e-3] + [0, 1e6, 5]
+    y = x @ [1.0, 0.02, 300.0] + rng.normal(size=90)
+    data = np.column_stack([x, y])
+
+    def of(rows):
+        return linear.Moments(len(rows), rows.mean(axis=0), np.cov(rows.T, bias=True)) if len(rows) else linear.Moments.none(4)
+
+    parts = {f: of(data[f::3]) for f in range(3)}
+    whole = linear.total([*parts.values(), of(data[:0])], 4)
+    assert whole.n == 90 and np.allclose(whole.cov, of(data).cov, rtol=1e-9) and np.allclose(whole.mean, data.mean(axis=0))
+    candidates = [{"alpha": a, "l1_ratio": s} for a in (0.5, 0.01, 0.0) for s in (0.2, 1.0)]
+    for candidate, fold, train, held in linear.fold_scores(("a", "b", "c"), parts, candidates):
+        rest = np.concatenate([data[f::3] for f in range(3) if f != fold])
+        fit = linear.fit_paths(("a", "b", "c"), of(rest), [candidates[candidate]])[0]
+        z = (rest[:, :3] - rest[:, :3].mean(axis=0)) / rest[:, :3].std(axis=0)
+        b, alpha, share = np.zeros(3), candidates[candidate]["alpha"], candidates[candidate]["l1_ratio"]
+        for _ in range(2000):
+            for j in range(3):
+                rho = z[:, j] @ (rest[:, 3] - rest[:, 3].mean() - z @ b + z[:, j] * b[j]) / len(z)
+                b[j] = np.sign(rho) * max(abs(rho) - alpha * share, 0) / (1 + alpha * (1 - share))
+        assert np.allclose(fit.coefficients, b, atol=1e-7)
+        for rows, got in ((rest, train), (data[fold::3], held)):
+            p = rest[:, 3].mean() + (rows[:, :3] - rest[:, :3].mean(axis=0)) / rest[:, :3].std(axis=0) @ b
+            assert got == pytest.approx(1 - ((rows[:, 3] - p) ** 2).sum() / (rows[:, 3].var() * len(rows)), abs=1e-9)
+
+
+def test_linear_search_scans_once(regression, monkeypatch):
+    train, _, spec, _ = regression
+    calls = []
+    plain = linear.moments_by
+    monkeypatch.setattr(linear, "moments_by", lambda *a: calls.append(1) or plain(*a))
+    found = random_search("elastic_net", train, spec, n_trials=100, k=5)
+    assert len(found.scores) == 500 and calls == [1] and found.model is not None
+
+
+def test_linear_odd_columns(spark):
+    """A constant feature keeps the coefficient 0, a missing one gives no prediction."""
+    spec = PanelSpec(target="y", features=("a", "b"))
+    rows = [("e", t, float(t), 7.0, 2.0 * t + 1) for t in range(20)] + [("e", 99, None, 7.0, 1.0)]
+    df = spark.createDataFrame(rows, "entity string, period int, a double, b double, y double")
+    fitted = fit_regressor("elastic_net", df, spec, {"alpha": 1e-9, "l1_ratio": 0.5})
+    assert fitted.line.coefficients[1] == 0
+    got = {r.period: r.y_pred for r in fitted.predict(df).collect()}
+    assert got[99] is None and got[3] == pytest.approx(7.0)
+    with pytest.raises(ValueError):
+        fit_regressor("elastic_net", df.limit(0), spec, {})
+
+
 def test_curves(regression):
     train, _, spec, _ = regression
     curve = learning_curve({"elastic_net": {"alpha": 0.01}}, train, spec, k=3).toPandas()
