@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.functions.scalars import median_of
-from panelkit.operators.ordered import CHUNK, add_last_observed, add_neighbours, exact_quantiles
+from panelkit.operators.ordered import CHUNK, add_last_observed, add_neighbours
+from panelkit.operators.quantiles import column_quantiles
 from panelkit.spec import PanelSpec
 
 #: Half-widths of the windows, tried in this order.
@@ -24,9 +25,7 @@ MIN_VALUES = 2
 
 def global_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Exact median of the observed values of each column; one scalar per column."""
-    long = df.select(*columns).unpivot([], list(columns), "column", "value")
-    rows = exact_quantiles(long, ["column"], "value", [0.5]).collect()
-    return {r["column"]: r["quantile"] for r in rows}
+    return {c: q[0.5] for c, q in column_quantiles(df, columns, [0.5]).items()}
 
 
 def _window_median(near: Mapping[int, str], time: Column, column: str, radius: int) -> Column:

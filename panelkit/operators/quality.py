@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import ratio
-from panelkit.operators.ordered import exact_quantiles
+from panelkit.operators.quantiles import column_quantiles
 from panelkit.runtime import broadcast_if_small, stored
 from panelkit.spec import PanelSpec
 
@@ -71,12 +71,8 @@ def null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def iqr_filter(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
     """Drop rows with a value beyond ``factor`` interquartile ranges of the quartiles."""
-    long = df.select(*columns).unpivot([], list(columns), "column", "value")
-    quartiles: dict[str, dict[float, float]] = {}
-    for r in exact_quantiles(long, ["column"], "value", [0.25, 0.75]).collect():
-        quartiles.setdefault(r["column"], {})[r["prob"]] = r["quantile"]
     keep = F.lit(True)
-    for c, q in quartiles.items():
+    for c, q in column_quantiles(df, columns, [0.25, 0.75]).items():
         reach = factor * (q[0.75] - q[0.25])
         inside = F.col(c).between(q[0.25] - reach, q[0.75] + reach)
         keep = keep & (F.col(c).isNull() | inside)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.ordered import quantile_columns
+from panelkit.operators.quantiles import column_quantiles
 from panelkit.runtime import lookup_side
 
 
@@ -30,12 +31,12 @@ def _stack(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, quartiles and max; one row per column."""
-    long = _stack(df, columns)
-    quartiles = quantile_columns(
-        long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = column_quantiles(df, columns, [0.25, 0.5, 0.75])
+    rows = df.sparkSession.createDataFrame(
+        [(c, q[0.25], q[0.5], q[0.75]) for c, q in quartiles.items()], "column string, p25 double, p50 double, p75 double"
     )
-    basics = long.groupBy("column").agg(*_moments("value"))
-    return basics.join(quartiles, "column", "left").select(
+    basics = _stack(df, columns).groupBy("column").agg(*_moments("value"))
+    return basics.join(F.broadcast(rows), "column", "left").select(  # a row for each column
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )
 

@@ -207,7 +207,7 @@ def test_result_sinks(spark, tmp_path):
 
 
 def test_streaming_aggregate_matches_batch(spark, panel, tmp_path):
-    from panelkit.streaming import period_evolution
+    from panelkit.operators.evolution import period_evolution
 
     df, spec, _ = panel
     df.repartition(3).write.parquet(str(tmp_path / "in"))
