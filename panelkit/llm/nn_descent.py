@@ -1,16 +1,21 @@
 """Near-duplicate vectors by NN-descent.
 
 Equal vectors of a label are one node. Every node keeps a list of its nearest
-known neighbours. Lists start from windows over several random-projection
-orders of the vectors; then rounds of joins compare, for every node, its
+known neighbours. Lists start from windows over several orders of the vectors by
+random hashes; then rounds of joins compare, for every node, its
 neighbours and those that have it as a neighbour with each other, since the
 neighbour of a neighbour is likely a neighbour. Only pairs with something new
 are compared, and only what improves a list is sent. A list that is full of links is
-saturated: its whole cluster is then compared in blocks, and also with the other
-saturated clusters that a centre and a radius do not keep apart, so that no links
-are cut off by the length of lists. A sample of nodes is compared with all
-vectors, and rounds go on until its recall is reached; if the last round falls
-short of it, every cluster and single node is compared in that way.
+saturated and may be twice as long in the next round. Where it is still full at its longest, its
+whole cluster is compared in blocks, and also with the other saturated clusters that a
+centre and a radius do not keep apart, so that no links are cut off by the length of
+lists. A uniform sample of nodes is compared with all vectors; while the mean recall of those
+with links falls short, lists get new starts from further orders and another round. If the last
+round falls short of it, every cluster and single node is compared in blocks.
+
+The hashes are cross-polytopes: the direction among a random set, and its opposites, that is
+nearest to a vector from which the mean of its label was taken. What all vectors of a label
+share thus does not blur the orders.
 """
 
 from __future__ import annotations
@@ -20,21 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.common import in_arrow, release, width
 from panelkit.llm.graph import components
 from panelkit.runtime import stored
 
-#: Length of a list, and most nodes that have a node as a neighbour which join at it.
-NEIGHBOURS = 12
-#: Random-projection orders, bits of each, and nodes of a window of one.
-ORDERS, BITS, WINDOW = 6, 30, 32
-#: Rounds before the first audit and at most; a round that changes a smaller share of lists is the last.
-ROUNDS, MOST_ROUNDS, STILL = 2, 8, 0.002
-#: Nodes of an audit and the recall of their links that is asked for.
-AUDIT, RECALL = 256, 0.97
+#: Length of a list at first and at most, and most nodes that have a node as a neighbour which join at it.
+NEIGHBOURS, LONGEST = 12, 96
+#: Orders of a start, hashes of each, most directions of a hash, and nodes of a window.
+ORDERS, HASHES, DIRECTIONS, WINDOW = 8, 4, 64, 32
+#: Rounds before the first audit and at most; a round that changes a smaller share of lists ends the wait for it.
+ROUNDS, MOST_ROUNDS, STILL = 2, 6, 0.002
+#: Nodes of an audit and the mean recall of those with links that is asked for.
+AUDIT, RECALL = 4096, 0.97
 #: Nodes of a block of a saturated cluster, and clusters of a block of centres.
 BLOCK, CENTRES = 256, 2048
 #: Angle by which the bound on two clusters is widened, for rounding.
@@ -50,16 +55,45 @@ def unit(column: pa.Array, rows: slice | np.ndarray | None = None) -> np.ndarray
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the unit vectors of each label and length, as far as a batch has them."""
+    for batch in batches:
+        size = np.diff(np.asarray(batch.column("emb").offsets))
+        for d in np.unique(size):
+            own = batch.filter(pa.array(size == d))
+            grp, place = np.unique(np.asarray(own.column("grp")), return_inverse=True)
+            total = np.zeros((len(grp), int(d)))
+            np.add.at(total, place, unit(own.column("emb")))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grp), pa.array(list(total), pa.list_(pa.float64())), pa.array(np.bincount(place))], ["grp", "total", "n"]
+            )
+
+
+def _means(nodes: DataFrame) -> DataFrame:
+    """(grp, mean): the mean unit vector of each label and length."""
+    parts = nodes.select("grp", "emb").transform(in_arrow, _summed, "grp long, total array<double>, n long")
+    parts = parts.select("grp", "n", F.posexplode("total").alias("at", "x"))
+    sums = parts.groupBy("grp", "at").agg((F.sum("x") / F.sum("n")).alias("x"))
+    return sums.groupBy("grp").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("mean"))
+
+
 def _coded(seed: int):
+    """The place of every vector in each order: its nearest directions under some hashes, one after the other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = np.diff(np.asarray(batch.column("emb").offsets))
             for d in np.unique(size):
                 own = batch.filter(pa.array(size == d))
-                x = unit(own.column("emb"))
+                mean = np.asarray(own.column("mean").flatten()).reshape(own.num_rows, -1)
+                x = unit(own.column("emb")) - mean
+                m = min(int(d), DIRECTIONS)
                 for t in range(ORDERS):
-                    planes = np.random.default_rng([seed, t, int(d)]).standard_normal((int(d), BITS))
-                    code = (x @ planes > 0) @ (1 << np.arange(BITS, dtype=np.int64)[::-1])
+                    code = np.zeros(own.num_rows, np.int64)
+                    for h in range(HASHES):
+                        at = x @ np.random.default_rng([seed, t, h, int(d)]).standard_normal((int(d), m))
+                        best = np.abs(at).argmax(axis=1)
+                        code = code * (2 * DIRECTIONS) + 2 * best + (at[np.arange(len(at)), best] < 0)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(own.num_rows, t)), own.column("grp"), pa.array(code), own.column("node"), own.column("emb")],
                         ["t", "grp", "code", "node", "emb"],
@@ -68,7 +102,7 @@ def _coded(seed: int):
     return run
 
 
-def _top(nodes: np.ndarray, sims: np.ndarray, k: int, links: float) -> list[np.ndarray]:
+def _top(nodes: np.ndarray, sims: np.ndarray, k: int) -> list[np.ndarray]:
     """The ``k`` nearest others of each row of a square of similarities."""
     np.fill_diagonal(sims, -2)
     k = min(k, len(nodes) - 1)
@@ -84,7 +118,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if rows.num_rows > 1:
             nodes = np.asarray(rows.column("node"))
             x = unit(rows.column("emb").combine_chunks())
-            parts = _top(nodes, x @ x.T, NEIGHBOURS, 0)
+            parts = _top(nodes, x @ x.T, NEIGHBOURS)
             yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["node", "nbr", "sim"])
 
     held: pa.Table | None = None
@@ -222,29 +256,52 @@ def _close(threshold: float):
     return run
 
 
-def _lists(found: DataFrame, size: int) -> DataFrame:
-    """(node, list array of (sim, nbr, fresh)) from (node, nbr, sim, fresh) rows, the best ``size`` first."""
+def _lists(found: DataFrame, size: int, lengths: DataFrame | None = None) -> DataFrame:
+    """(node, most, list array of (sim, nbr, fresh)) from (node, nbr, sim, fresh) rows, the best ``most`` first.
+
+    ``lengths`` says how long a node's list may be, where it is not ``size``.
+    """
     one = found.groupBy("node", "nbr").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("sim", "nbr", "fresh")), asc=False), 1, size)
-    return stored(one.groupBy("node").agg(best.alias("list")))
+    every = one.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("sim", "nbr", "fresh")), asc=False).alias("list"))
+    every = every.join(lengths, "node", "left") if lengths is not None else every.withColumn("most", F.lit(None).cast("int"))
+    most = F.coalesce("most", F.lit(size))
+    return stored(every.select("node", most.alias("most"), F.slice("list", F.lit(1), most).alias("list")))
+
+
+def _full(threshold: float) -> Column:
+    """True for lists without room that hold nothing but links."""
+    return (F.size("list") >= F.col("most")) & (F.element_at("list", -1)["sim"] >= threshold)
+
+
+def _started(nodes: DataFrame, seed: int) -> DataFrame:
+    """(node, nbr, sim) of neighbours within windows over orders by random hashes."""
+    n = 2 * width(nodes)
+    kind = nodes.schema["emb"].dataType.simpleString()
+    return (
+        nodes.select("grp", "node", "emb").join(_means(nodes), "grp")
+        .transform(in_arrow, _coded(seed), f"t long, grp long, code long, node long, emb {kind}")
+        .repartitionByRange(n, "t", "grp", "code", "node").sortWithinPartitions("t", "grp", "code", "node")
+        .transform(in_arrow, _windows, "node long, nbr long, sim double")
+    )
 
 
-def _round(nodes: DataFrame, lists: DataFrame, size: int) -> DataFrame:
-    """Lists after a neighbours-of-neighbours join."""
+def _round(nodes: DataFrame, lists: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Lists after a neighbours-of-neighbours join; saturated ones may be twice as long."""
     edges = lists.select(F.col("node").alias("g"), F.inline("list")).select("g", F.col("nbr").alias("u"), "sim", "fresh")
     place = F.row_number().over(Window.partitionBy("u").orderBy(F.col("sim").desc(), "g"))
     back = edges.withColumn("place", place).where(F.col("place") <= size).select(F.col("u").alias("g"), F.col("g").alias("u"), "fresh")
     members = edges.select("g", "u", "fresh").unionByName(back).unionByName(
         lists.select(F.col("node").alias("g"), F.col("node").alias("u"), F.lit(0).alias("fresh"))
     )
-    worst = F.when(F.size("list") >= size, F.element_at("list", -1)["sim"]).otherwise(F.lit(-1.5))
+    most = F.when(_full(threshold), F.least(F.col("most") * 2, F.lit(max(size, LONGEST)))).otherwise(F.col("most"))
+    worst = F.when(F.size("list") >= most, F.element_at("list", -1)["sim"]).otherwise(F.lit(-1.5))
     facts = nodes.select("node", "emb").join(lists.select("node", worst.alias("worst")), "node").withColumnRenamed("node", "u")
     news = (
         members.join(facts, "u").repartition(4 * width(nodes), "g").sortWithinPartitions("g")
         .select("g", "u", "fresh", "worst", "emb").transform(in_arrow, _joined, "node long, nbr long, sim double")
     )
     old = lists.select("node", F.inline("list")).select("node", "nbr", "sim", F.lit(0).alias("fresh"))
-    return _lists(news.withColumn("fresh", F.lit(1)).unionByName(old), size)
+    return _lists(news.withColumn("fresh", F.lit(1)).unionByName(old), size, lists.select("node", most.alias("most")))
 
 
 def _edges(lists: DataFrame, threshold: float) -> DataFrame:
@@ -268,7 +325,7 @@ def _neighbours(members: DataFrame, threshold: float) -> DataFrame:
     return stored(dealt.transform(in_arrow, _close(threshold), "root long, far long"))
 
 
-def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int, every: bool = False) -> tuple[DataFrame, DataFrame]:
+def _links(nodes: DataFrame, lists: DataFrame, threshold: float, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(node, links) and (node, root), with saturated clusters, or ``every`` one, compared whole and with each other."""
     edges = stored(_edges(lists, threshold))
     found = stored(components(edges))
@@ -276,7 +333,7 @@ def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int, ever
         found = stored(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
         dense = found.select("root").distinct()
     else:
-        full = lists.where((F.size("list") >= size) & (F.element_at("list", -1)["sim"] >= threshold)).select("node")
+        full = lists.where(_full(threshold)).select("node")
         dense = found.join(full, "node", "left_semi").select("root").distinct()
     dense = stored(dense)
     members = found.join(dense, "root", "left_semi")
@@ -312,7 +369,7 @@ def _links(nodes: DataFrame, lists: DataFrame, threshold: float, size: int, ever
 
 
 def _audited(sample, threshold: float):
-    """Links of each node of the sample, by comparing it with a batch of all nodes."""
+    """Links of each node of the sample, by comparing it with all nodes, some hundreds at a time."""
     keys = [(r.node, r.grp) for r in sample]
     sizes = np.array([len(r.emb) for r in sample])
     rows = [np.array(r.emb, np.float64) / np.linalg.norm(np.array(r.emb, np.float64)) for r in sample]
@@ -325,27 +382,32 @@ def _audited(sample, threshold: float):
                 asked = np.flatnonzero(sizes == d)
                 if not len(asked):
                     continue
-                sims = unit(own.column("emb")) @ np.stack([rows[i] for i in asked]).T
-                grp, node, copies = (np.asarray(own.column(c)) for c in ("grp", "node", "copies"))
+                there = np.stack([rows[i] for i in asked]).T
                 want = np.array([keys[i] for i in asked], np.int64)
-                hit = (sims >= threshold) & (grp[:, None] == want[:, 1]) & (node[:, None] != want[:, 0])
-                yield pa.RecordBatch.from_arrays([pa.array(want[:, 0]), pa.array(copies @ hit)], ["node", "truth"])
+                found = np.zeros(len(asked), np.int64)
+                for at in range(0, own.num_rows, BLOCK):
+                    some = own.slice(at, BLOCK)
+                    grp, node, copies = (np.asarray(some.column(c)) for c in ("grp", "node", "copies"))
+                    hit = (unit(some.column("emb")) @ there >= threshold) & (grp[:, None] == want[:, 1]) & (node[:, None] != want[:, 0])
+                    found += copies @ hit
+                yield pa.RecordBatch.from_arrays([pa.array(want[:, 0]), pa.array(found)], ["node", "truth"])
 
     return run
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT, near: DataFrame | None = None) -> float:
-    """Share of the true links of a bounded sample of nodes that were found; 1.0 if they have none."""
-    some = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample)
-    if near is not None:  # nodes with links say more: half of the sample
-        some = some.limit(sample // 2).unionByName(nodes.join(near, "node", "left_semi").orderBy(F.xxhash64("node", F.lit(4)), "node").limit(sample // 2))
-    rows = some.select("node", "grp", "emb").distinct().collect()
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> tuple[float, float]:
+    """Mean share of their true links that nodes have, and its standard error, from a uniform sample of nodes.
+
+    Every node that has links counts alike, however many they are. Without any the mean is 1.
+    """
+    rows = nodes.orderBy(F.xxhash64("node", F.lit(3)), "node").limit(sample).select("node", "grp", "emb").collect()
     if not rows:
-        return 1.0
+        return 1.0, 0.0
     truth = nodes.select("node", "grp", "copies", "emb").transform(in_arrow, _audited(rows, threshold), "node long, truth long")
-    truth = truth.groupBy("node").agg(F.sum("truth").alias("truth"))
-    got = truth.join(links, "node", "left").agg(F.sum("truth"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+    truth = truth.groupBy("node").agg(F.sum("truth").alias("truth")).where("truth > 0")
+    share = F.coalesce("links", F.lit(0)) / F.col("truth")
+    got = truth.join(links, "node", "left").agg(F.count("*"), F.avg(share), F.stddev_pop(share)).first()
+    return (1.0, 0.0) if not got[0] else (float(got[1]), float(got[2]) / got[0] ** 0.5)
 
 
 def near_duplicates(
@@ -362,43 +424,49 @@ def near_duplicates(
     component, and are not kept. An empty table gives no rows.
 
     Links between equal vectors are exact; others are found by the search, whose
-    recall is audited against brute force on ``AUDIT`` nodes and logged. Where it
-    stays below ``recall``, all clusters and single nodes are compared.
+    recall is audited against brute force on ``AUDIT`` nodes and logged: the mean over the nodes with
+    links, each counting alike. Where it stays below ``recall``, all clusters and single nodes are
+    compared. Vectors are known by two hashes; two that share the first and not the second raise.
     """
+    kind = "float" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "double"
     rows = vectors.select(
         F.col(f"`{id_col}`").alias("vec"), F.col(f"`{label_col}`").alias("label"),
-        F.transform(F.col(f"`{vector_col}`").cast("array<float>"), lambda x: x + F.lit(0).cast("float")).alias("emb"),
+        F.transform(F.col(f"`{vector_col}`").cast(f"array<{kind}>"), lambda x: x + F.lit(0).cast(kind)).alias("emb"),
     )
     bad = F.exists("emb", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     valid = F.col("label").isNotNull() & F.col("emb").isNotNull() & ~bad & F.exists("emb", lambda x: x != 0)
     rows = rows.withColumn("node", F.when(valid, F.xxhash64("label", "emb")))
-    grp = F.xxhash64("label", F.size("emb"))
+    grp, second = F.xxhash64("label", F.size("emb")), F.xxhash64(F.lit(11), "emb", "label")
+    clash = F.raise_error(F.lit("two vectors share a hash")).cast("long")
     nodes = stored(
         rows.where("node is not null").groupBy("node").agg(
-            F.min("vec").alias("first"), F.count("*").alias("copies"), F.first("emb").alias("emb"), F.first(grp).alias("grp")
+            F.min("vec").alias("first"), F.count("*").alias("copies"), F.first("emb").alias("emb"), F.first(grp).alias("grp"),
+            F.min(second).alias("least"), F.max(second).alias("largest"),
         )
+        .withColumn("copies", F.when(F.col("least") == F.col("largest"), F.col("copies")).otherwise(clash)).drop("least", "largest")
     )
-    dealt = (
-        nodes.select("grp", "node", "emb").transform(in_arrow, _coded(seed), "t long, grp long, code long, node long, emb array<float>")
-        .repartitionByRange(2 * width(vectors), "t", "grp", "code", "node").sortWithinPartitions("t", "grp", "code", "node")
-    )
-    lists = _lists(dealt.transform(in_arrow, _windows, "node long, nbr long, sim double").withColumn("fresh", F.lit(1)), size)
+    lists = _lists(_started(nodes, seed).withColumn("fresh", F.lit(1)), size)
     release(vectors.sparkSession)
-    links = found = got = None
+    links = found = None
+    got = 0.0
     for k in range(1, MOST_ROUNDS + 1):
-        lists = _round(nodes, lists, size)
+        lists = _round(nodes, lists, size, threshold)
         release(vectors.sparkSession)
         news = lists.select(F.avg(F.aggregate("list", F.lit(0), lambda s, x: s + x["fresh"]) / F.size("list"))).first()[0] or 0.0
         if k < ROUNDS and news >= STILL:
             continue
-        links, found = _links(nodes, lists, threshold, size)
-        got = audit(nodes, links, threshold, near=links.select("node"))
-        log.info("round %d: %.4f of the lists new, recall %.4f", k, news, got)
-        if got >= recall or news < STILL:
+        links, found = _links(nodes, lists, threshold)
+        got, error = audit(nodes, links, threshold)
+        log.info("round %d: %.4f of the lists new, mean recall %.4f, standard error %.4f", k, news, got, error)
+        if got >= recall:
             break
-    if got is not None and got < recall:
-        log.warning("recall of the audited nodes is %.3f, below %.3f: all clusters are compared", got, recall)
-        links, found = _links(nodes, lists, threshold, size, every=True)
+        if k < MOST_ROUNDS:
+            more = _started(nodes, seed + 1000 * k).withColumn("fresh", F.lit(1))
+            old = lists.select("node", F.inline("list")).select("node", "nbr", "sim", F.lit(0).alias("fresh"))
+            lists = _lists(more.unionByName(old), size, lists.select("node", "most"))
+    if got < recall:
+        log.warning("mean recall of the audited nodes is %.3f, below %.3f: all clusters are compared", got, recall)
+        links, found = _links(nodes, lists, threshold, every=True)
     named = nodes.join(found, "node", "left").select("node", "first", "copies", F.coalesce("root", "node").alias("root"))
     per = named.groupBy("root").agg(F.min("first").alias("component_id"))
     facts = named.join(per, "root").join(links, "node", "left").select(
