@@ -378,6 +378,47 @@ def test_licenses(spark, odd, none, docs, texts):
     assert patience.licenses(none, "doc_id", "text").count() == 0 and patience.licenses(odd, "doc_id", "text").count() == 0
 
 
+def test_right_license_or_none(spark):
+    say = {name: text for name, text in patience.TEMPLATES}
+    one_word_apart = {
+        "Released under the BSD License.": ["BSD notice"], "Released under the Apache License.": ["Apache notice"],
+        "Released under the Artistic License.": [], "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0 notice"],
+        "Licensed under CC BY-NC 3.0.": ["CC-BY-NC-3.0 notice"], "Licensed under CC BY 4.0.": ["CC-BY-4.0 notice"],
+        "Licensed under CC BY-NC-SA 4.0.": ["CC-BY-NC-SA-4.0 notice"], "Licensed under CC BY-NC 2.0.": [],
+        "This work is licensed under the GNU General Public License, version 2.": ["GPL-2.0 notice"],
+        "This work is licensed under the GNU General Public License, version 1.": [],
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": ["LGPL-2.1 notice"],
+        "This work is licensed under the GNU Library General Public License, version 2.": [],
+        "Licensed under the Apache License, Version 1.1.": [],
+    }
+    cases = [(t, want) for t, want in one_word_apart.items()] + [(t, [name]) for name, t in patience.TEMPLATES]
+    cases.append((" aa bb ".join(say["Apache-2.0 notice"].split()), ["Apache-2.0 notice"]))
+    cases.append((say["MIT"] + " word " * 9 + say["BSD-3-Clause"], ["MIT", "BSD-3-Clause"]))
+    rows = [(i, f"lorem ipsum dolor {t} sit amet elit") for i, (t, _) in enumerate(cases)]
+    got = {}
+    for r in patience.licenses(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").orderBy("doc_id", "first_word").collect():
+        got.setdefault(r.doc_id, []).append(r.license)
+    assert {rows[i][1]: got.get(i, []) for i in range(len(cases))} == {rows[i][1]: want for i, (_, want) in enumerate(cases)}
+
+
+def test_license_query_both_ways(spark, texts):
+    """Every notice that stands in a text is found, and every row's license stands there word by word, but for a fifth of its words."""
+    got = QUERIES["op10_patience_licenses"](spark, FOLDER).toPandas()
+    found = set(zip(got.doc_id, got.license))
+    plain = {(i, name) for i, t in texts.items() for name, text in patience.TEMPLATES[:4] if text in (t or "")}
+    assert plain <= found
+    split = lambda t: re.findall(r"[0-9a-zA-Z\x80-\U0010ffff]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+    say = {name: split(text) for name, text in patience.TEMPLATES}
+    for r in got.itertuples():
+        inside = split(texts[r.doc_id])[r.first_word : r.end_word]
+        places, at = 0, 0
+        for w in say[r.license]:
+            if w in inside[at:]:
+                places, at = places + 1, at + inside[at:].index(w) + 1
+        assert places >= r.matched_words >= 0.8 * len(say[r.license])
+        assert set(split(patience.TELLING[r.license][0])) <= set(inside)
+
+
 @pytest.mark.parametrize("number", [0, 4])
 def test_licenses_that_follow_each_other(spark, number):
     name, notice = patience.TEMPLATES[number]
