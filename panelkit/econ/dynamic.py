@@ -90,7 +90,7 @@ class DynamicPanel:
 
     def _fitted(self) -> PanelFit:
         if self.fit_ is None:
-            raise RuntimeError("Must fit dynamic panel model first")
+            raise RuntimeError("the dynamic panel has not been fitted")
         return self.fit_
 
     def persistence(self) -> DataFrame:

@@ -41,15 +41,15 @@ def clean_panel(
 ) -> tuple[DataFrame, PanelSpec]:
     """Join, recode, filter and impute indicators.
 
-    Names are recoded before the join, so spellings of one entity meet. With
-    ``fit_until`` the overall medians come from periods up to it only.
+    Names are recoded before the join, so spellings of one entity meet. A period outside
+    the spec's bounds raises. With ``fit_until`` the overall medians come from periods up to it only.
     """
     recoded = [recode(f, spec.entity, recodes) for f in frames]
     panel = fold_outer_join(recoded, spec)
     if spec.target not in panel.columns:
-        raise ValueError(f"Target column '{spec.target}' not found in data")
+        raise ValueError(f"no indicator gives the target {spec.target}")
     panel = drop_null_rows(panel, [spec.entity, spec.time, spec.target])
-    panel = panel.where(spec.within_bounds())
+    panel = panel.withColumn(spec.time, spec.checked_time())
     if not spec.features:
         spec = spec.infer_features(panel)
     if allowed is not None:

@@ -1,7 +1,8 @@
 """Panels derived from the order and event tables.
 
 Money is summed as decimals: the result then does not depend on the order in
-which tasks finish, so a rerun after a lost executor gives the same panel.
+which tasks finish, so a rerun after a lost executor gives the same panel. Rows without a date
+are in no period; a period outside a panel's bounds raises.
 """
 
 from __future__ import annotations
@@ -66,7 +67,8 @@ def nation_month(spark: SparkSession, folder: str) -> DataFrame:
             "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus",
             month.cast("int").alias("period"),
         )
-        .where(NATION_MONTH.within_bounds())
+        .where("period is not null")
+        .withColumn("period", NATION_MONTH.checked_time())
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", "period")
         .agg(
@@ -104,7 +106,8 @@ def customer_year(spark: SparkSession, folder: str) -> DataFrame:
             "o_orderpriority",
             "o_orderstatus",
         )
-        .where(CUSTOMER_YEAR.within_bounds())
+        .where("period is not null")
+        .withColumn("period", CUSTOMER_YEAR.checked_time())
         .groupBy("entity", "period")
         .agg(
             _log_sum(_money("o_totalprice")).alias("log_sales"),
@@ -124,7 +127,8 @@ def customer_day(spark: SparkSession, folder: str) -> DataFrame:
         orders.select(
             F.col("o_custkey").alias("entity"), day.cast("int").alias("period"), "o_totalprice", "o_orderpriority"
         )
-        .where(CUSTOMER_DAY.within_bounds())
+        .where("period is not null")
+        .withColumn("period", CUSTOMER_DAY.checked_time())
         .groupBy("entity", "period")
         .agg(
             _log_sum(_money("o_totalprice")).alias("log_sales"),
@@ -141,7 +145,8 @@ def user_day(spark: SparkSession, folder: str) -> DataFrame:
         events.select(
             F.col("user_id").alias("entity"), day.cast("int").alias("period"), "event_type", "value"
         )
-        .where(USER_DAY.within_bounds())
+        .where("period is not null")
+        .withColumn("period", USER_DAY.checked_time())
         .groupBy("entity", "period")
         .agg(
             *[

@@ -61,10 +61,18 @@ class PanelSpec:
             return F.col(self.time).isNotNull()
         return F.col(self.time).between(*self.period_bounds)
 
+    def checked_time(self) -> Column:
+        """The period: one outside the declared range raises, a missing one stays null."""
+        time = F.col(self.time)
+        if self.period_bounds is None:
+            return time
+        message = F.concat(F.lit(f"{self.time} outside {self.period_bounds}: "), time.cast("string"))
+        return F.when(time.isNull() | self.within_bounds(), time).otherwise(F.raise_error(message).cast("int"))
+
     def require_columns(self, df: DataFrame) -> None:
         missing = [c for c in self.columns if c not in df.columns]
         if missing:
-            raise ValueError(f"Missing required columns: {missing}")
+            raise ValueError(f"the table lacks {missing}")
 
     def validate(self, df: DataFrame) -> DataFrame:
         """Check columns, that there are rows, period bounds, and that the key is unique."""

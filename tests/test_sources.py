@@ -161,7 +161,7 @@ def test_lookups(spark):
 def test_spec_checks(spark, tmp_path, panel):
     df, spec, pdf = panel
     assert spec.validate(df) is df
-    with pytest.raises(ValueError, match="Missing required"):
+    with pytest.raises(ValueError, match="the table lacks"):
         spec.validate(df.drop("gdp"))
     with pytest.raises(ValueError, match="empty"):
         spec.validate(df.limit(0))
@@ -223,3 +223,32 @@ def test_streaming_aggregate_matches_batch(spark, panel, tmp_path):
         r["period"]: (r["n"], round(r["average"], 9)) for r in period_evolution(df, spec, "y").collect()
     }
     assert got == want
+
+
+def test_periods_outside_the_bounds_raise(spark):
+    from panelkit.plans.prepare import clean_panel
+
+    spec = PanelSpec(target="y", features=("x",), period_bounds=(1900, 2100))
+    schema = "entity string, period int, y double, x double"
+    inside = spark.createDataFrame([("a", 2000, 1.0, 2.0), ("a", 2001, 1.0, 3.0), ("a", None, 1.0, 2.0)], schema)
+    panel, _ = clean_panel([inside], spec, None)
+    assert sorted(r.period for r in panel.collect()) == [2000, 2001]
+    with pytest.raises(Exception, match="period outside"):
+        clean_panel([inside.unionByName(spark.createDataFrame([("a", 3000, 1.0, 2.0)], schema))], spec, None)
+
+
+def test_orders_outside_the_bounds_raise(spark, tmp_path):
+    import datetime
+
+    from panelkit.sources.panels import customer_day, customer_year
+
+    rows = [(1, 7, "F", 10.0, datetime.datetime(1999, 5, 1), "1-URGENT"), (2, 7, "F", 10.0, None, "1-URGENT")]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/one/orders.parquet")
+    assert [r.period for r in customer_year(spark, f"{tmp_path}/one").collect()] == [1999]
+    assert customer_day(spark, f"{tmp_path}/one").count() == 1
+    late = [(3, 7, "F", 10.0, datetime.datetime(2500, 1, 1), "1-URGENT")]
+    spark.createDataFrame(rows + late, schema).write.parquet(f"{tmp_path}/two/orders.parquet")
+    for panel in (customer_year, customer_day):
+        with pytest.raises(Exception, match="period outside"):
+            panel(spark, f"{tmp_path}/two").collect()
