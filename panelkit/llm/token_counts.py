@@ -166,4 +166,5 @@ def document_counts(docs: DataFrame, id_col: str, text_col: str, vocabulary: str
     path = f"{scratch_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     placed = write_files(docs, id_col, text_col, path, vocabulary)
     found = counts(docs.sparkSession, path, block=block)
-    return placed.join(found, ["file", "doc_no"]).select(F.col("doc").alias(id_col), "n_tokens", "file", "doc_no")
+    # both sides have a row for each document: neither is broadcast
+    return placed.join(found.hint("merge"), ["file", "doc_no"]).select(F.col("doc").alias(id_col), "n_tokens", "file", "doc_no")
