@@ -56,6 +56,45 @@ def test_header_is_not_guessed_from_data(spark, tmp_path):
         assert files.load_indicator(spark, far, "x").count() == 2
 
 
+def test_header_anywhere_by_its_place(spark, tmp_path):
+    note = "France,FRA,1,2"
+    preamble = [note, "", '"a ""quoted"" note, with a comma",', note]
+    path = write(tmp_path / "a.csv", "Country Name,Country Code,2018,2019", [note, "Chad,TCD,3,4", note], preamble)
+    got = files.read_indicator_csv(spark, path).collect()
+    assert [tuple(r) for r in got] == [("France", "FRA", "1", "2"), ("Chad", "TCD", "3", "4"), ("France", "FRA", "1", "2")]
+    for header in ("Land,Code,2018,2019", "Country,Code,2018,2019"):
+        for lines in (3, 64, 65, 700):
+            path = write(tmp_path / f"n{lines}.csv", header, [note, "Chad,TCD,3,4"], [f"Note {i},x" for i in range(lines)])
+            got = {(r["entity"], r["period"], r["x"]) for r in files.load_indicator(spark, path, "x").collect()}
+            assert got == {("France", 2018, 1.0), ("France", 2019, 2.0), ("Chad", 2018, 3.0), ("Chad", 2019, 4.0)}
+    assert files.load_indicator(spark, write(tmp_path / "none.csv", "a,b", ["1,2"] * 100, []), "x") is None
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    header = '"Country Name","Country Code",2018,2019'
+    rows = ['"Korea,\nRep. ""South""",KOR,1,2', "", "France,FRA,3,", '"Chad",TCD,"4",5', header.replace("2019", "9")]
+    for preamble in ([], ['"a note\nof two lines",', "", "  ", "x"], ["n,1"] * 100):
+        path = write(tmp_path / f"m{len(preamble)}.csv", header, rows, preamble)
+        got = [tuple(r) for r in files.read_indicator_csv(spark, path).collect()]
+        assert got == [
+            ('Korea,\nRep. "South"', "KOR", "1", "2"), ("France", "FRA", "3", None), ("Chad", "TCD", "4", "5"),
+            ("Country Name", "Country Code", "2018", "9"),
+        ]
+
+
+def test_folder_of_files(spark, tmp_path):
+    folder = tmp_path / "gdp.csv"
+    folder.mkdir()
+    write(folder / "part-0.csv", "Country Name,2018", ["France,1"], preamble=["a", "b"])
+    write(folder / "part-1.csv", "Country Name,2019", ["France,2"], preamble=[])
+    (folder / "_SUCCESS").write_text("")
+    got = {(r["entity"], r["period"], r["gdp"]) for r in files.load_indicator(spark, str(folder), "gdp").collect()}
+    assert got == {("France", 2018, 1.0), ("France", 2019, None), ("France", 2018, None), ("France", 2019, 2.0)}
+    (folder / "part-2.csv").write_text("x\n")
+    with pytest.raises(ValueError, match="has no header"):
+        files.read_indicator_csv(spark, str(folder))
+
+
 def test_registry_reports_unreadable_files(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("a,b\n1,2\n")
     with pytest.raises(ValueError, match="holds no table"):
