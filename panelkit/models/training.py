@@ -88,9 +88,20 @@ class PanelRegressor:
     def predict(self, df: DataFrame) -> DataFrame:
         return self._fitted().predict(df)
 
-    def predictions(self, test: DataFrame) -> DataFrame:
-        """(model, entity, period, y_true, y_pred) on the complete test rows."""
-        rows = complete_cases(test.select(*self.spec.keys, self.spec.target, *self.spec.features))
+    def predictions(self, test: DataFrame, incomplete: str = "raise") -> DataFrame:
+        """(model, entity, period, y_true, y_pred) of the test rows.
+
+        A row without its target or a feature raises when the result is read; with
+        ``incomplete="drop"`` such rows are left out.
+        """
+        needed = [self.spec.target, *self.spec.features]
+        rows = test.select(*self.spec.keys, *needed)
+        if incomplete == "drop":
+            rows = complete_cases(rows, needed)
+        else:
+            gap = F.raise_error(F.lit(f"a test row lacks one of {needed}: impute it, or drop incomplete rows"))
+            whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
+            rows = rows.where(F.when(whole, True).otherwise(gap.cast("boolean")))
         return self.predict(rows).select(
             F.lit(self.name).alias("model"), *self.spec.keys,
             F.col(self.spec.target).alias("y_true"), "y_pred",

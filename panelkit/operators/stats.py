@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,9 @@ from panelkit.operators.ordered import quantile_columns
 from panelkit.operators.quantiles import column_quantiles
 from panelkit.runtime import lookup_side
 
+#: Bins of the density estimate to a bandwidth.
+KDE_BINS = 16
+
 
 def _moments(value: str) -> list[Column]:
     return [
@@ -171,8 +175,11 @@ def kde(
 ) -> DataFrame:
     """Gaussian density estimate with Scott's bandwidth on an even grid.
 
-    Every row adds its kernel to the fixed number of grid points; the sums are
-    combined map-side, so only groups x points rows are shuffled. Groups whose
+    Rows are binned, a sixteenth of a bandwidth to a bin, and a bin keeps the sums of the
+    powers 0 to 6 of its rows' distances from its middle. The kernels of its rows
+    around a grid point are then a series in Hermite polynomials, whose rest is at most
+    5e-13 of a kernel's peak for every row. So one pass over the rows, combined
+    map-side, leaves bins, and only these meet the grid points. Groups whose
     variance is at most ``min_variance`` are left out.
     """
     rows, keys, _ = _keyed(df.select(*by, value), by)
@@ -191,11 +198,22 @@ def kde(
     )
     shape = lookup_side(shape)
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
-    grid = rows.join(shape, keys).withColumn(
-        "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+    place = (F.col(value) - F.col("_lo")) / F.col("_h")
+    binned = rows.join(shape, keys).select(*keys, place.alias("_at"), F.floor(place * KDE_BINS).alias("_bin"))
+    middle = (F.col("_bin") + 0.5) / KDE_BINS
+    away = F.col("_at") - middle
+    powers = [F.sum(F.pow(away, F.lit(float(k))) if k else F.lit(1.0)).alias(f"_m{k}") for k in range(7)]
+    grid = (
+        binned.groupBy(*keys, "_bin").agg(*powers).join(shape, keys)
+        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .withColumn("_u", step * F.col("point") / F.col("_h") - middle)
     )
-    u = (F.col("_lo") + step * F.col("point") - F.col(value)) / F.col("_h")
-    sums = grid.groupBy(*keys, "point").agg(F.sum(F.exp(u * u * -0.5)).alias("_sum"))
+    u, u2 = F.col("_u"), F.col("_u") * F.col("_u")
+    hermite = [
+        F.lit(1.0), u, u2 - 1, u * (u2 - 3), (u2 - 6) * u2 + 3, u * ((u2 - 10) * u2 + 15), ((u2 - 15) * u2 + 45) * u2 - 15,
+    ]
+    series = reduce(lambda x, y: x + y, [h * F.col(f"_m{k}") / math.factorial(k) for k, h in enumerate(hermite)])
+    sums = grid.groupBy(*keys, "point").agg(F.sum(F.exp(u2 * -0.5) * series).alias("_sum"))
     scale = F.col("_n") * F.col("_h") * math.sqrt(2.0 * math.pi)
     return sums.join(shape, keys).select(
         *by,

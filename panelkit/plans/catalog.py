@@ -25,6 +25,7 @@ from panelkit.models.search import QUICK_GRIDS, SearchResult, cross_validate, gr
 from panelkit.models.training import PanelRegressor, train_all
 from panelkit.operators import evolution, impute, metrics, quality, reshape, stats, temporal
 from panelkit.operators.ordered import add_previous
+from panelkit.plans.prepare import prepare_panel
 from panelkit.runtime import scratch_dir, ship_package, stored
 from panelkit.sources import files, sinks
 from panelkit.sources.panels import (
@@ -139,6 +140,40 @@ def registry_scan(spark, folder):
     return tidy(reshape.fold_outer_join(files.load_registry(spark, root, names), PanelSpec()))
 
 
+@query
+def prepared_panel(spark, folder):
+    """Raw files of four shapes, made from the orders: read, joined, filtered, imputed, split, written, read back."""
+    root = scratch(spark, "raw")
+    panel = stored(
+        customer_year(spark, folder)
+        .withColumnRenamed("period", "Year").withColumn("Country Name", F.col("entity").cast("string")).drop("entity")
+    )
+    keys = ["Country Name", "Year"]
+    panel.select(*keys, "log_sales").write.option("header", True).csv(f"{root}/sales.csv")
+    years = sorted(r[0] for r in panel.select("Year").distinct().collect())
+    panel.groupBy("Country Name").pivot("Year", years).agg(F.first("n_orders")).write.parquet(f"{root}/orders.parquet")
+    panel.select(*keys, "urgent_share").write.parquet(f"{root}/urgent.parquet")
+    tickets = panel.unpivot(keys, ["log_ticket_f", "log_ticket_o"], "status", "amount")
+    tickets.write.option("header", True).csv(f"{root}/tickets.csv")
+    prepared = prepare_panel(
+        spark, root, CY.target, TRAIN_YEAR, {"log_sales": "sales", "n_orders": "orders", "urgent_share": "urgent", "absent": "absent"},
+        allowed=_builders(spark, folder).select(F.col("entity").cast("string").alias("entity")), output=scratch(spark, "prepared"),
+        long_files={c: files.LongFile("tickets", "status", c, *keys, "amount") for c in ("log_ticket_f", "log_ticket_o")},
+    )
+    names = ["entity", "period", *prepared.spec.columns[2:]]
+    parts = {"train": prepared.train, "test": prepared.test}
+    return tidy(metrics.union_results({k: v.select(*names) for k, v in parts.items()}).withColumnRenamed("source", "split"))
+
+
+@query
+def infer_features(spark, folder):
+    """The features found in the schema of the order panel, with their values counted."""
+    panel = nation_month(spark, folder)
+    spec = PanelSpec(target="log_sales").infer_features(panel)
+    counts = panel.agg(*[F.count(c).alias(c) for c in spec.features])
+    return counts.unpivot([], list(spec.features), "feature", "n_values")
+
+
 @query
 def split_sink(spark, folder):
     """Write the panel partitioned by split, read only the test part."""

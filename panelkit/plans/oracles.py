@@ -301,6 +301,18 @@ add("impute_report", USER_DAY, " UNION ALL ".join(
     f"FROM (SELECT {_impute(e)[1]} AS stage FROM ud) GROUP BY stage" for e in EVENTS))
 
 
+_PREPARED = ["n_orders", "urgent_share", "log_ticket_f", "log_ticket_o"]
+add("prepared_panel", CUSTOMER_YEAR + f""",
+al AS (SELECT * FROM cy WHERE entity IN ({BUILDERS})),
+ok AS (SELECT * FROM al WHERE entity IN (SELECT entity FROM al GROUP BY 1
+  HAVING CAST(sum((log_ticket_f IS NULL)::INT + (log_ticket_o IS NULL)::INT) AS DOUBLE) / (count(*) * 4) <= 0.30))""",
+    f"""SELECT CAST(entity AS VARCHAR) AS entity, period, {r('log_sales')} AS log_sales,
+  {', '.join(r(_impute(c, 'ok')[0]) + f' AS {c}' for c in _PREPARED)},
+  CASE WHEN period <= 1999 THEN 'train' ELSE 'test' END AS split FROM ok""")
+add("infer_features", NATION_MONTH, " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count({c}) AS n_values FROM nm" for c in ("log_orders", "urgent_share", "open_share")))
+
+
 def _window(reach: int) -> str:
     """Median around the current place of the values observed or filled so far."""
     near = (f"list_filter(range(1, n + 1), lambda j: abs(ps[j] - ps[i + 1]) <= {reach} "

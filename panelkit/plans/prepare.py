@@ -12,7 +12,7 @@ from panelkit.operators.quality import coverage_filter, whitelist_entities
 from panelkit.operators.reshape import drop_null_rows, fold_outer_join, recode
 from panelkit.operators.temporal import recombine, split_at
 from panelkit.runtime import stored
-from panelkit.sources.files import load_registry
+from panelkit.sources.files import LongFile, load_long, load_registry
 from panelkit.sources.lookups import INDICATOR_FILES, NAME_RECODES, allowed_entities
 from panelkit.sources.sinks import write_splits
 from panelkit.spec import YEAR_MAX, YEAR_MIN, PanelSpec
@@ -72,14 +72,17 @@ def prepare_panel(
     output: str | None = None,
     sequential: bool = False,
     fit_until: int | None = None,
+    long_files: Mapping[str, LongFile] | None = None,
 ) -> PreparedPanel:
     """Load ``folder``, clean the panel, split it and write it if asked to.
 
-    ``extra`` takes further indicators, for example one read with ``read_long``.
+    ``long_files`` names indicators that are series of long files in the folder; one that is
+    not there is skipped. ``extra`` takes further indicators, as tables.
     With ``fit_until`` the overall medians come from periods up to it only.
     """
     spec = PanelSpec(target=target, code="code", period_bounds=(YEAR_MIN, YEAR_MAX))
-    frames = [*load_registry(spark, folder, files, spec), *extra]
+    series = [load_long(spark, folder, name, source, spec) for name, source in (long_files or {}).items()]
+    frames = [*load_registry(spark, folder, files, spec), *(f for f in series if f is not None), *extra]
     if not any("code" in f.columns for f in frames):
         spec = PanelSpec(target=target, period_bounds=spec.period_bounds)
     whitelist = allowed if allowed is not None else allowed_entities(spark, spec.entity)

@@ -133,6 +133,21 @@ def test_box_and_describe(spark):
     assert d["std"] == pytest.approx(pd.Series(values).std())
 
 
+def test_kde_equals_the_sum_of_all_kernels(spark):
+    rng = np.random.default_rng(3)
+    shapes = {"wide": rng.normal(size=400), "hot": np.repeat(rng.normal(size=9), 60), "far": np.append(rng.normal(size=300), [1e4, -1e4])}
+    rows = [(k, float(v)) for k, values in shapes.items() for v in values] + [("wide", None), ("flat", 1.0), ("flat", 1.0)]
+    out = stats.kde(spark.createDataFrame(rows, "kind string, v double"), "v", ["kind"]).toPandas()
+    assert set(out.kind) == set(shapes) and len(out) == 300
+    for kind, values in shapes.items():
+        part = out[out.kind == kind].sort_values("point")
+        h = len(values) ** -0.2 * values.std(ddof=1)
+        x = np.linspace(values.min(), values.max(), 100)
+        want = np.exp(-0.5 * ((x[:, None] - values) / h) ** 2).sum(axis=1) / (len(values) * h * math.sqrt(2 * math.pi))
+        np.testing.assert_allclose(part.x, x, rtol=1e-9, atol=1e-9)
+        np.testing.assert_allclose(part.density, want, rtol=0, atol=1e-11 / h)
+
+
 def test_kde_integrates_to_about_one(spark):
     rng = np.random.default_rng(2)
     v = rng.normal(size=400)

@@ -177,6 +177,20 @@ def test_prepare_panel(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
+def test_prepare_panel_reads_long_files(spark, tmp_path):
+    raw = make_raw(tmp_path)
+    (raw / "hdi.csv").write_text('country,year,indexCode,value\n"France",2015,HDI,0.9\nFrance,2016,HDI,..\nFrance,2015,GII,0.1\nMars,2015,HDI,1\n')
+    source = files.LongFile("hdi", "indexCode", "HDI", "country", "year", "value")
+    absent = files.LongFile("absent", "indexCode", "GII", "country", "year", "value")
+    got = {(r["entity"], r["period"], r["hdi"]) for r in files.load_long(spark, str(raw), "hdi", source).collect()}
+    assert got == {("France", 2015, 0.9), ("France", 2016, None), ("Mars", 2015, 1.0)}
+    out = prepare_panel(spark, str(raw), train_end=2016, long_files={"hdi": source, "gii": absent})
+    assert "hdi" in out.spec.features and "gii" not in out.spec.features
+    assert out.full.where("entity = 'France' and period = 2015").first()["hdi"] == 0.9
+    with pytest.raises(ValueError, match="lacks"):
+        files.load_long(spark, str(raw), "x", files.LongFile("hdi", "code", "HDI", "country", "year", "value"))
+
+
 def test_prepare_sequential_has_no_nulls(spark, tmp_path):
     out = prepare_panel(spark, str(make_raw(tmp_path)), train_end=2016, sequential=True)
     assert out.full.na.drop().count() == out.full.count() == 33
