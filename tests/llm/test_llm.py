@@ -348,6 +348,12 @@ def test_shards_are_equal_and_repeatable(spark, odd, none, docs):
     assert len(count) == 16 and count.max() - count.min() <= 1
     assert all(sorted(g) == list(range(len(g))) for _, g in a.groupby("shard").slot)
     assert a.sort_values("doc_id").values.tolist() == b.sort_values("doc_id").values.tolist()
+    small = shards.shards(docs, "doc_id", "text", 16, bucket_bytes=4096)
+    files = small.select("shard", "slot", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at")).toPandas()
+    assert files.groupby("shard").file.nunique().max() <= files.file.nunique() / 16 + 2
+    for _, part in files.groupby("shard"):
+        assert part.sort_values(["file", "at"]).slot.tolist() == list(range(len(part)))
+    assert sorted(small.select("doc_id").toPandas().doc_id) == sorted(a.doc_id)
     few = shards.shards(odd, "doc_id", "text", 16)
     assert few.count() == odd.count() and set(few.columns) == {*odd.columns, "shard", "slot"}
     assert shards.shards(none, "doc_id", "text").count() == 0
