@@ -4,23 +4,31 @@ A pair says that one document (label 1) is better than another (label 0). The
 odds are the logistic function of the difference of two scores, each a weighted
 sum of features of a text; the weights minimise the logistic loss on the
 differences of the features. Scores are then cut at a quantile.
+
+Every labelled row trains. The rows are dealt into blocks at random, pairs are drawn
+inside the blocks, and each step of Newton's method is one scan that sums over them.
+Sums are of decimals, so their order does not matter and reruns agree.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import in_arrow, text_chunks, word_hashes
+from panelkit.llm.common import in_arrow, text_chunks, width, word_hashes
+from panelkit.operators.quantiles import column_quantiles
+from panelkit.runtime import cached, stored
 
-#: Most labelled rows the fit takes, chosen by hash, and pairs for each of the better ones.
-FIT_ROWS, RIVALS = 20_000, 24
+#: Pairs for each row of the commoner label.
+RIVALS = 24
+#: Rows of the commoner label in a block, on average, and least of the rarer one.
+BLOCK, LEAST = 4_096, 256
 #: The score at the cut; scores at or above it count as good.
 CUT = 0.3
 
@@ -112,97 +120,184 @@ def expand(z: np.ndarray) -> np.ndarray:
     return np.hstack([z, z * z])
 
 
-def fit(x: np.ndarray, label: np.ndarray, seed: int = 5, ridge: float = 1e-3, rounds: int = 50) -> Ranker:
-    """Newton's method on the logistic loss of ``RIVALS`` random pairs for each better document.
+def _with_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, end, data, offsets in text_chunks(batch.column(1)):
+            x = features(data, offsets)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists], ["doc", "x"])
+
+
+def featured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, x): id and features of every row of ``docs``."""
+    flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    return flat.transform(in_arrow, _with_features, T.StructType([flat.schema["doc"], T.StructField("x", T.ArrayType(T.DoubleType()))]))
+
+
+def _matrix(lists: pa.ListArray) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), len(FEATURES))
 
-    The threshold is the quantile of all scores at the share of label 0.
-    Without both labels every document scores above the cut.
+
+def training_rows(found: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(label, x, deal, hash) of every row of ``found`` that may train: its label, its features and two hashes.
+
+    Only rows whose crc32(id as text) mod 5 is not 0 are taken. Ids with null or
+    contradicting labels do not train. Rows equal in id and features are told apart by number.
     """
-    mean, scale = x.mean(axis=0) if len(x) else 0.0, x.std(axis=0) if len(x) else 1.0
-    mean, scale = np.broadcast_to(mean, (len(FEATURES),)), np.broadcast_to(scale, (len(FEATURES),))
-    scale = np.where(scale > 1e-9, scale, 1.0)
-    z = expand((x - mean) / scale) if len(x) else np.zeros((0, 2 * len(FEATURES)))
+    may = F.crc32(F.col("doc").cast("string").cast("binary")) % 5 != 0
+    known = (
+        labels.where(f"`{id_col}` is not null and `{label_col}` in (0, 1)").groupBy(F.col(f"`{id_col}`").alias("key"))
+        .agg(F.min(f"`{label_col}`").alias("label"), F.max(f"`{label_col}`").alias("other")).where("label = other")
+        .select("key", F.col("label").cast("int"))
+    )
+    rows = found.where(may).join(known.hint("merge"), F.col("doc") == F.col("key"))  # both grow with the input
+    counted = rows.groupBy("doc", "label", "x").agg(F.count(F.lit(1)).alias("n"))
+    copies = counted.select("doc", "label", "x", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    return copies.select("label", "x", F.xxhash64("doc", "copy").alias("deal"), F.xxhash64("x").alias("hash"))
+
+
+def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of every feature over all rows."""
+    def sums(of: Callable[[int], Column]) -> np.ndarray:
+        row = rows.agg(F.count(F.lit(1)), *[F.sum(of(i).cast("decimal(38,18)")).cast("double") for i in range(len(FEATURES))]).first()
+        return np.array(row[1:], float) / row[0] if row[0] else np.zeros(len(FEATURES))
+
+    mean = sums(lambda i: F.col("x")[i])
+    scale = np.sqrt(sums(lambda i: (F.col("x")[i] - F.lit(float(mean[i]))) ** 2))
+    return mean, np.where(scale > 1e-9, scale, 1.0)
+
+
+def _dealt(rows: DataFrame, n: dict[int, int]) -> DataFrame:
+    """Rows with ``block``, the rows of a block together: one for each row of the commoner label, and
+    for the rarer label as many as it takes to have ``LEAST`` of them everywhere."""
+    common = int(n[1] >= n[0])
+    blocks = -(-n[common] // BLOCK)
+    copies = min(blocks, -(-blocks * LEAST // n[1 - common]))
+    times = F.when(F.col("label") == common, 1).otherwise(copies)
+    at = F.explode(F.sequence(F.lit(0), times - 1))
+    spread = rows.withColumn("_at", at).withColumn("block", F.pmod(F.col("deal") + F.col("_at"), F.lit(blocks)).cast("int"))
+    return (
+        spread.repartition(min(blocks, width(rows)), "block").sortWithinPartitions("block", "hash", "label")
+        .select("block", "label", "x")
+    )
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, labels, features) of the blocks, whose rows come one after the other."""
+    number, parts = None, []
+
+    def whole() -> tuple[int, np.ndarray, np.ndarray]:
+        return number, np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    for batch in batches:
+        block, label, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(2))
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if parts and block[a] != number:
+                yield whole()
+                parts = []
+            number = int(block[a])
+            parts.append((label[a:b], x[a:b]))
+    if parts:
+        yield whole()
+
+
+def _pairs(block: int, label: np.ndarray, z: np.ndarray, seed: int) -> np.ndarray:
+    """Differences of features of the pairs of a block: each row of the commoner label has about ``RIVALS`` of them."""
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-    weights = np.zeros(2 * len(FEATURES))
     if not len(good) or not len(bad):
-        return Ranker(mean, scale, weights, -1.0, 1.0)
-    rng = np.random.default_rng(seed)
-    many = int(np.ceil(RIVALS * max(1, len(bad) / len(good))))
-    first = np.repeat(good, min(many, 4 * RIVALS))
-    gap = z[first] - z[bad[rng.integers(0, len(bad), len(first))]]
+        return z[:0]
+    rng = np.random.default_rng(seed + block)
+    first = np.repeat(good, int(np.ceil(RIVALS * max(1, len(bad) / len(good)))))
+    return z[first] - z[bad[rng.integers(0, len(bad), len(first))]]
+
+
+def _newton(dealt: DataFrame, mean: np.ndarray, scale: np.ndarray, seed: int, ridge: float, rounds: int) -> np.ndarray:
+    """Weights that minimise the logistic loss of all pairs."""
+    size = 2 * len(FEATURES)
+    weights = np.zeros(size)
+
+    def sums(weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block, label, x in _blocks(batches):
+                gap = _pairs(block, label, expand((x - mean) / scale), seed)
+                p = 1 / (1 + np.exp(np.clip(gap @ weights, -35, 35)))
+                curve = (gap * (p * (1 - p))[:, None]).T @ gap
+                values = np.concatenate([[len(gap)], gap.T @ p, curve.ravel()])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], ["i", "v"])
+
+        cells = dealt.transform(in_arrow, run, "i int, v double").groupBy("i").agg(F.sum(F.col("v").cast("decimal(38,12)")).cast("double").alias("v"))
+        cells = cells.toPandas()
+        out = np.zeros(1 + size + size * size)
+        out[cells["i"]] = cells["v"]
+        return out[0], out[1 : 1 + size], out[1 + size :].reshape(size, size)
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(np.clip(gap @ weights, -35, 35)))
-        gradient = gap.T @ p / len(gap) - ridge * weights
-        curve = (gap * (p * (1 - p))[:, None]).T @ gap / len(gap) + ridge * np.eye(len(weights))
-        step = np.linalg.solve(curve, gradient)
+        n, slope, curve = sums(weights)
+        step = np.linalg.solve(curve / n + ridge * np.eye(size), slope / n - ridge * weights)
         weights = weights + step
         if np.abs(step).max() < 1e-8:
             break
-    raw = z @ weights
-    threshold = cut_at(np.sort(raw[good]), np.sort(raw[bad]), len(bad) / (len(good) + len(bad)), raw)
-    spread = max(float(np.median(raw[good]) - np.median(raw[bad])), 1e-6)
-    return Ranker(mean, scale, weights, threshold, 6 / spread)
-
+    return weights
 
-def cut_at(good: np.ndarray, bad: np.ndarray, share: float, raw: np.ndarray) -> float:
-    """The quantile of the scores at ``share``, moved to the middle of the gap in which it lies."""
-    order = np.sort(raw)
-    k = min(max(int(round(share * len(order))), 1), len(order) - 1)
-    return float((order[k - 1] + order[k]) / 2)
 
+def fit(rows: DataFrame, seed: int = 5, ridge: float = 1e-3, rounds: int = 50) -> Ranker:
+    """Newton's method on the logistic loss of random pairs, over all of ``rows`` (see ``training_rows``).
 
-def _rows_with_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start, end, data, offsets in text_chunks(batch.column(1)):
-            x = features(data, offsets)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), lists], ["label", "x"])
+    The threshold is the quantile of all scores at the share of label 0, in the middle of the gap in
+    which it lies. Without both labels every document scores above the cut.
+    """
+    mean, scale = _moments(rows)
+    n = {0: 0, 1: 0} | {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if not n[0] or not n[1]:
+        return Ranker(mean, scale, np.zeros(2 * len(FEATURES)), -1.0, 1.0)
+    with cached(_dealt(rows, n)) as dealt:
+        weights = _newton(dealt, mean, scale, seed, ridge, rounds)
+    ranker = Ranker(mean, scale, weights, 0.0, 1.0)
+
+    def raws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, good = ranker.raw(_matrix(batch.column(1))), batch.column(0).to_numpy() == 1
+            yield pa.RecordBatch.from_arrays([pa.array(raw), pa.array(raw, mask=~good), pa.array(raw, mask=good)], ["raw", "good", "bad"])
 
+    total = n[0] + n[1]
+    k = min(max(n[0], 1), total - 1)
+    at = (k - 0.5) / (total - 1)
+    found = column_quantiles(rows.select("label", "x").transform(in_arrow, raws, "raw double, good double, bad double"), ["raw", "good", "bad"], [at, 0.5])
+    spread = max(found["good"][0.5] - found["bad"][0.5], 1e-6)
+    return Ranker(mean, scale, weights, found["raw"][at], 6 / spread)
 
-def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int = FIT_ROWS) -> Ranker:
-    """A ranker fitted on at most ``fit_rows`` labelled documents: those whose ids have the smallest hashes.
 
-    Only rows whose crc32(id as text) mod 5 is not 0 are taken. Ids with null or
-    contradicting labels do not train.
-    """
-    key = F.col("key")
-    known = (
-        labels.where(f"`{id_col}` is not null and `{label_col}` in (0, 1)").groupBy(F.col(f"`{id_col}`").alias("key"))
-        .agg(F.min(f"`{label_col}`").alias("label"), F.max(f"`{label_col}`").alias("other")).where("label = other")
-        .where(F.crc32(key.cast("string").cast("binary")) % 5 != 0)
-    )
-    some = known.select("key", F.col("label").cast("int")).orderBy(F.xxhash64("key"), "key").limit(fit_rows)
-    flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    rows = flat.join(F.broadcast(some), F.col("doc") == key).select("label", "text")  # fit_rows rows of two numbers at most
-    sample = rows.transform(in_arrow, _rows_with_features, "label int, x array<double>").orderBy(F.xxhash64("x"), "label").limit(fit_rows).toPandas()
-    x = np.array(sample["x"].tolist(), float).reshape(len(sample), len(FEATURES))
-    return fit(x, sample["label"].to_numpy(int))
+def trained(found: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> Ranker:
+    """A ranker fitted on all labelled rows of ``found`` (see ``featured``) that are not held out."""
+    return fit(stored(training_rows(found, labels, id_col, label_col)))
 
 
-def scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int = FIT_ROWS) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(id_col, held_out, score double, predicted int) for every row of ``docs``.
 
     Only the text enters a score. Null and empty texts score as texts without
     words; null ids are not held out and have no label; repeated documents stay
     repeated. Without labels of both kinds every document passes.
     """
-    ranker = trained(docs, labels, id_col, text_col, label_col, fit_rows)
-    flat = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    found = stored(featured(docs, id_col, text_col))
+    ranker = trained(found, labels, id_col, label_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end, data, offsets in text_chunks(batch.column(1)):
-                score = pa.array(ranker.score(features(data, offsets)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), score], ["doc", "score"])
+            score = pa.array(ranker.score(_matrix(batch.column(1))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), score], ["doc", "score"])
 
-    scored = flat.transform(in_arrow, run, T.StructType([flat.schema["doc"], T.StructField("score", T.DoubleType())]))
+    scored = found.transform(in_arrow, run, T.StructType([found.schema["doc"], T.StructField("score", T.DoubleType())]))
     held = F.coalesce(F.crc32(F.col("doc").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return scored.select(F.col("doc").alias(id_col), held.alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose score is at least ``CUT``, with all their columns; nothing is shuffled."""
-    ranker = trained(docs, labels, id_col, text_col, label_col, fit_rows)
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``CUT``, with all their columns; no text is shuffled."""
+    ranker = trained(featured(docs, id_col, text_col), labels, id_col, label_col)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -267,6 +267,43 @@ def test_quality_on_held_out_rows(spark, odd, none):
     assert bradley_terry.scores(none, marks, "doc_id", "text", "quality").count() == 0
 
 
+def test_quality_is_learnt_from_every_labelled_row(spark, monkeypatch):
+    n = 27_000  # more rows than any bound on those that train would let pass
+    rows = [(i, "a " * (i % 50 + 1) + "word " * (i % 7) + "|| " * (i % 2)) for i in range(n)] + [(1, "twice")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    labels = spark.createDataFrame([(i, (i + 1) % 2) for i in range(n)], "doc_id long, quality int")
+    found = bradley_terry.featured(docs, "doc_id", "text").cache()
+    ranker = bradley_terry.trained(found, labels, "doc_id", "quality")
+    may = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    raw = b"\n".join(t.encode() for _, t in may) + b"\n"
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) + 1 for _, t in may])])
+    x = bradley_terry.features(np.frombuffer(raw, np.uint8), offsets)
+    label = np.array([(i + 1) % 2 for i, _ in may])
+    assert len(x) > 20_000
+    np.testing.assert_allclose(ranker.mean, x.mean(axis=0), rtol=1e-12, atol=1e-12)
+    order = np.sort(ranker.raw(x))
+    k = int((label == 0).sum())
+    assert ranker.threshold == pytest.approx((order[k - 1] + order[k]) / 2, abs=1e-9)
+    again = bradley_terry.trained(found.repartition(3), labels, "doc_id", "quality")
+    assert (again.weights == ranker.weights).all() and (again.mean == ranker.mean).all()
+    monkeypatch.setattr(bradley_terry, "BLOCK", 10**9)  # all pairs drawn in one place
+    whole = bradley_terry.trained(found, labels, "doc_id", "quality")
+    assert np.corrcoef(whole.raw(x), ranker.raw(x))[0, 1] > 0.999
+
+
+def test_blocks_hold_every_row_and_both_labels(spark):
+    rows = [(i, [float(i % 11)] * len(bradley_terry.FEATURES)) for i in range(20_000)] + [(i, [1.0] * len(bradley_terry.FEATURES)) for i in range(300)]
+    found = spark.createDataFrame(rows, "doc long, x array<double>")
+    labels = spark.createDataFrame([(i, int(i % 50 != 0)) for i in range(20_000)], "doc_id long, quality int")
+    train = bradley_terry.training_rows(found, labels, "doc_id", "quality").cache()
+    may = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5]
+    n = collections.Counter(int(i % 50 != 0) for i in may)
+    assert {r["label"]: r["count"] for r in train.groupBy("label").count().collect()} == n
+    sizes = bradley_terry._dealt(train, n).groupBy("block").pivot("label", [0, 1]).count().toPandas().set_index("block")
+    assert sorted(sizes.index) == list(range(-(-n[1] // bradley_terry.BLOCK)))
+    assert sizes["1"].sum() == n[1] and (sizes["0"] >= 150).all() and sizes["0"].sum() % n[0] == 0
+
+
 def leaked(texts, items):
     """Documents that hold a whole item, by brute force."""
     tok = lambda t: " ".join(re.findall(r"[^\W_]+", (t or "").lower()))
