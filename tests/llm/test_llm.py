@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from panelkit.llm import (
-    bradley_terry, chat, decontaminate, graph, mixing, nn_descent, partenum, patience, shards, token_counts, warc,
+    bradley_terry, chat, common, decontaminate, graph, mixing, nn_descent, partenum, patience, shards, token_counts, warc,
 )
 from panelkit.llm.queries import ORACLES, QUERIES
 from tests.oracle import compare, connect
@@ -267,6 +268,17 @@ def test_quality_on_held_out_rows(spark, odd, none):
     assert bradley_terry.scores(none, marks, "doc_id", "text", "quality").count() == 0
 
 
+def test_batches_for_workers_are_bounded(spark):
+    df = spark.range(0, 24_000, 1, 1).select(F.repeat(F.lit("x"), 2_000).alias("t"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    found = [r.n for r in df.transform(common.in_arrow, sizes, "n long").collect()]
+    assert sum(found) >= 48_000_000 and max(found) < 1.1 * common.BATCH_BYTES
+
+
 def test_quality_is_learnt_from_every_labelled_row(spark, monkeypatch):
     n = 27_000  # more rows than any bound on those that train would let pass
     rows = [(i, "a " * (i % 50 + 1) + "word " * (i % 7) + "|| " * (i % 2)) for i in range(n)] + [(1, "twice")] * 2
