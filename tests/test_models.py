@@ -340,3 +340,30 @@ def test_train_all_reports_failures(regression):
     assert list(run.models) == ["elastic_net"] and "svr" in run.failures
     assert run.predictions.count() == 26
     assert run.metrics.first()["time"] > 0
+
+
+def test_neighbours_among_many_points_take_few_comparisons(spark, monkeypatch):
+    """Imputed panels put many points on a few values: a query still meets few of them."""
+    from panelkit.models import knn
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(40_300, 4))
+    x[:, 0] = np.minimum(rng.geometric(0.6, len(x)), 8) * 1.5
+    x[:, 1] = rng.choice([-0.6, 0.6, 1.8], len(x), p=[0.6, 0.2, 0.2])
+    x[rng.random(len(x)) < 0.6, 2] = 0.1
+    x[rng.random(len(x)) < 0.6, 3] = 0.2
+    points, queries = x[:40_000], x[40_000:]
+    compared = []
+    plain = knn.distances
+
+    def counted(a, b, metric):
+        compared.append(len(a) * len(b))
+        return plain(a, b, metric)
+
+    monkeypatch.setattr(knn, "distances", counted)
+    row, at, value = knn.Leaves(points, 5).nearest(queries, 5, "euclidean")
+    assert sum(compared) <= 12 * knn.LEAF * len(queries)
+    every = np.round(plain(queries, points, "euclidean"), knn.DECIMALS)
+    want = np.argsort(every, axis=1, kind="stable")[:, :5]
+    assert np.array_equal(at.astype(int).reshape(-1, 5), want)
+    assert np.array_equal(value.reshape(-1, 5), np.take_along_axis(every, want, axis=1))
