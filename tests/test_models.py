@@ -367,3 +367,23 @@ def test_neighbours_among_many_points_take_few_comparisons(spark, monkeypatch):
     want = np.argsort(every, axis=1, kind="stable")[:, :5]
     assert np.array_equal(at.astype(int).reshape(-1, 5), want)
     assert np.array_equal(value.reshape(-1, 5), np.take_along_axis(every, want, axis=1))
+
+
+def test_training_steps_map_no_rows(monkeypatch):
+    """The width of the feature map is known without drawing its frequencies anew in every step."""
+    from dataclasses import replace
+
+    from panelkit.models import net
+
+    maps = [net.FeatureMap(kind, dims) for kind in ("identity", "rbf", "poly") for dims in (1, 2, 4, 7)]
+    assert [m.width for m in maps] == [m(np.zeros((1, m.dims))).shape[1] for m in maps]
+    rng = np.random.default_rng(0)
+    config = net.svr_config({"kernel": "rbf"}, 500, 4)
+    x, y = config.mapping(rng.normal(size=(500, 4))), rng.normal(size=500)
+    flat = net.initial_weights(config)
+
+    def mapped(self, z):
+        raise AssertionError("a step mapped rows")
+
+    monkeypatch.setattr(net.FeatureMap, "__call__", mapped)
+    assert net.local_steps(flat, x, y, replace(config, local_epochs=1), 5).shape == flat.shape
