@@ -1,9 +1,9 @@
 """Alignment of the tokens that two vocabularies cut from the same text.
 
-Token ends in bytes are compared at the current shift between the two index
-sequences. Where they agree the step doubles, so that stretches of one-to-one tokens
-are jumped over by a few comparisons of slices; where they do not, the step is
-halved back to the first difference, the end that lags is moved on until
+Tokens' lengths in bytes are compared at the current shift between the two index
+sequences, from a place where both end. While slices agree the step doubles, so that stretches of
+one-to-one tokens are jumped over by a few comparisons; where they do not, the first
+difference is the lowest bit set in their exclusive or, the end that lags is moved on until
 both meet, and the shift that results holds from there.
 
 Two tokens that end at the same byte of the same text are suffixes of one another. The
@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,8 @@ BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts are cut into pieces of about this many characters, where both vocabularies cut as well.
 PIECE = 1 << 18
-#: Ends compared at once at first.
-PROBE = 8
+#: Lengths compared at once at first.
+PROBE = 32
 #: Links held until they are counted, and pairs in a row of counts.
 HELD, ROW = 1 << 20, 1 << 16
 
@@ -133,39 +134,55 @@ def possible_pairs(a: list[bytes], b: list[bytes]) -> int:
 def common_stops(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """After how many tokens of each sequence both end at the same place, for rising ends with the same last one.
 
-    ``a`` and ``b`` are the ends. Slices are compared at the shift j - i, with steps that
-    double while they are equal and are halved at the first difference.
+    ``a`` and ``b`` are the ends. Slices of their differences are compared at the shift j - i, with steps that
+    double while they are equal.
     """
     n, i, j = len(a), 0, 0
-    a, b = [*a.tolist(), -1], [*b.tolist(), -2]  # no slice beyond the end is equal
-    starts_a, starts_b, lengths = [], [], []  # stretches: every token on from here is a stop
+    sizes = [np.diff(x, prepend=0) for x in (a, b)]
+    kind = np.min_scalar_type(max(int(x.max(initial=0)) for x in sizes))
+    a, b = (memoryview(x.astype(kind)) for x in sizes)
+    w, number = kind.itemsize, int.from_bytes
+    raw_a, raw_b = a.tobytes() + b"\xff" * w, b.tobytes()  # no slice beyond the end is equal
+    stretches = []  # starts and length, one after the other: every token on from the starts is a stop
     start_a = start_b = 0
     while True:
-        step = PROBE
-        while a[i : i + step] == b[j : j + step]:
-            i, j, step = i + step, j + step, 2 * step
-        while step > 1:
-            step >>= 1
-            if a[i : i + step] == b[j : j + step]:
-                i, j = i + step, j + step
-        starts_a.append(start_a)
-        starts_b.append(start_b)
-        lengths.append(i - start_a)
+        step = PROBE * w
+        at_a, at_b = i * w, j * w
+        while not (differ := number(raw_a[at_a : at_a + step], "little") ^ number(raw_b[at_b : at_b + step], "little")):
+            at_a, at_b, step = at_a + step, at_b + step, 2 * step
+        same = ((differ & -differ).bit_length() - 1) // (8 * w)
+        i, j = at_a // w + same, at_b // w + same
+        stretches += start_a, start_b, i - start_a
         if i == n:
             break
         x, y = a[i], b[j]
         while x != y:
             if x < y:
                 i += 1
-                x = a[i]
+                x += a[i]
             else:
                 j += 1
-                y = b[j]
+                y += b[j]
         start_a, start_b = i, j  # the group that ends here opens the next stretch
         i, j = i + 1, j + 1
-    total = np.array(lengths, np.int64)
+    starts_a, starts_b, total = np.array(stretches, np.int64).reshape(-1, 3).T
     inside = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total) + 1
-    return tuple(np.repeat(np.array(s, np.int64), total) + inside for s in (starts_a, starts_b))
+    return tuple(np.repeat(s, total) + inside for s in (starts_a, starts_b))
+
+
+@dataclass
+class _Text:
+    """What is known of a text of which some pieces are aligned."""
+
+    digest: object = field(default_factory=hashlib.sha256)
+    counts: list[int] = field(default_factory=lambda: [0, 0, 0])
+    links: list[np.ndarray] = field(default_factory=list)
+    broken: bool = False
+
+    def row(self) -> tuple[int, int, int, str, np.ndarray]:
+        if self.broken or not self.links:
+            return 0, 0, 0, "", np.zeros(0, np.int64)
+        return (*self.counts, self.digest.hexdigest(), np.concatenate(self.links))
 
 
 class Aligner:
@@ -178,13 +195,12 @@ class Aligner:
     def __init__(self, first: Vocabulary, second: Vocabulary, piece: int = PIECE):
         self.first, self.second, self.piece = first, second, piece
         self.sizes = [np.array([len(e) for e in v.entries]) for v in (first, second)]
+        self.bytes = [pa.array(v.entries, pa.large_binary()) for v in (first, second)]
         n, m = len(first.entries), len(second.entries)
-        self.texts = [f"{k}," for k in range(n)] + [f"{k}|" for k in range(n)] + [f"{k}," for k in range(m)] + [f"{k};" for k in range(m)]
-
-    def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return common_stops(*[np.cumsum(size[ids]) for size, ids in zip(self.sizes, (a, b))])
+        texts = [f"{k}," for k in range(n)] + [f"{k}|" for k in range(n)] + [f"{k}," for k in range(m)] + [f"{k};" for k in range(m)]
+        self.texts = pa.array(texts, pa.large_binary())
 
-    def _written(self, a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> str:
+    def _written(self, a: np.ndarray, b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray) -> tuple[bytes, np.ndarray]:
         n, m = len(self.first.entries), len(self.second.entries)
         key = np.empty(len(a) + len(b), np.int64)
         last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
@@ -192,31 +208,75 @@ class Aligner:
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
         key[np.arange(len(a)) + np.append(0, stop_b)[group_a]] = a + n * last_a
         key[np.arange(len(b)) + stop_a[group_b]] = 2 * n + b + m * last_b
-        return "".join(map(self.texts.__getitem__, key.tolist()))
-
-    def aligned(self, text: str | None) -> tuple[int, int, int, str, np.ndarray]:
-        """Tokens of each vocabulary, groups, the digest of the groups, and a code for the ids of each link.
+        return _joined(self.texts, key)
+
+    def _add(self, block: list[tuple[_Text, str]]) -> None:
+        """Align the pieces of ``block`` and add what is found to their texts."""
+        block = [(of, spaced) for of, spaced in block if not of.broken]
+        raw = [spaced.encode() for _, spaced in block]
+        ids, cuts = [], []
+        for v in (self.first, self.second):
+            # the second vocabulary puts the first space itself
+            found = [v.encode(spaced if v is self.first else spaced[1:]) for _, spaced in block]
+            cuts.append(np.cumsum([0, *map(len, found)]))
+            ids.append(np.fromiter(chain.from_iterable(found), np.int64, int(cuts[-1][-1])))
+        for v, entries, flat, cut in zip((self.first, self.second), self.bytes, ids, cuts):
+            if not v.lossless:
+                joined, at = _joined(entries, flat)
+                for (of, _), said, low, high in zip(block, raw, at[cut[:-1]].tolist(), at[cut[1:]].tolist()):
+                    of.broken = of.broken or joined[low:high] != said
+        whole = np.array([not of.broken for of, _ in block], bool)
+        if not whole.any():
+            return
+        if not whole.all():
+            block = [x for x, kept in zip(block, whole) if kept]
+            ids = [flat[np.repeat(whole, np.diff(cut))] for flat, cut in zip(ids, cuts)]
+            cuts = [np.cumsum(np.append(0, np.diff(cut)[whole])) for cut in cuts]
+        (a, b), (cut_a, cut_b) = ids, cuts
+        stop_a, stop_b = common_stops(*[np.cumsum(size[flat]) for size, flat in zip(self.sizes, ids)])
+        written, at = self._written(a, b, stop_a, stop_b)
+        links = a[stop_a - 1] * len(self.second.entries) + b[stop_b - 1]
+        cut = np.searchsorted(stop_a, cut_a, "right")
+        cut_text = at[cut_a + cut_b]
+        for k, (of, _) in enumerate(block):
+            if of.links:
+                of.digest.update(b";")
+            of.digest.update(written[cut_text[k] : cut_text[k + 1] - 1])
+            of.links.append(links[cut[k] : cut[k + 1]])
+            of.counts = [x + int(c[k + 1] - c[k]) for x, c in zip(of.counts, (cut_a, cut_b, cut))]
+
+    def aligned_all(self, texts: Iterable[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
+        """For every text, in order: tokens of each vocabulary, groups, the digest of the groups, and a code for the ids of each link.
 
         The code is the first id times the size of the second vocabulary, plus the second id.
         Texts that are null, empty, or not the joined bytes of their tokens have none, and an empty digest.
+        Short texts are aligned together, pieces of long ones apart.
         """
-        nothing = (0, 0, 0, "", np.zeros(0, np.int64))
-        digest, counts, links = hashlib.sha256(), [0, 0, 0], []
-        if not text:
-            return nothing
-        for k, part in enumerate(filter(None, pieces(text, self.piece))):
-            spaced = f" {part}" if k == 0 else part
-            ids = self.first.encode(spaced), self.second.encode(spaced[1:])
-            for v, found in zip((self.first, self.second), ids):
-                if not v.lossless and b"".join(map(v.entries.__getitem__, found)) != spaced.encode():
-                    return nothing
-            a, b = (np.asarray(found, np.int64) for found in ids)
-            stop_a, stop_b = self._groups(a, b)
-            written = self._written(a, b, stop_a, stop_b)
-            digest.update(((";" if k else "") + written[:-1]).encode())
-            links.append(a[stop_a - 1] * len(self.second.entries) + b[stop_b - 1])
-            counts = [x + len(y) for x, y in zip(counts, (a, b, stop_a))]
-        return (*counts, digest.hexdigest(), np.concatenate(links))
+        waiting, block, size = [], [], 0
+        for text in texts:
+            waiting.append(_Text())
+            for k, part in enumerate(filter(None, pieces(text or "", self.piece))):
+                block.append((waiting[-1], f" {part}" if k == 0 else part))
+                size += len(part)
+                if size >= self.piece:
+                    self._add(block)
+                    block, size = [], 0
+            if not block:
+                yield from (of.row() for of in waiting)
+                waiting = []
+        if block:
+            self._add(block)
+        yield from (of.row() for of in waiting)
+
+    def aligned(self, text: str | None) -> tuple[int, int, int, str, np.ndarray]:
+        """``aligned_all`` of one text."""
+        return next(self.aligned_all([text]))
+
+
+def _joined(entries: pa.Array, keys: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The bytes of the entries at ``keys``, one after the other, and where each starts; the last place is their length."""
+    _, at, joined = entries.take(pa.array(keys)).buffers()
+    return joined.to_pybytes() if joined else b"", np.frombuffer(at, np.int64)[: len(keys) + 1]
 
 
 def _counted(codes: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -274,9 +334,8 @@ def alignments(docs: DataFrame, id_col: str, text_col: str, first: str = BYTE_LE
         for batch in batches:
             kind, texts, at = batch.column(0).type, batch.column(1), 0
             rows, codes, times, n = [], [], [], 0
-            for k in range(batch.num_rows):
-                *row, links = aligner.aligned(texts[k].as_py())
-                code, often = _counted([links], [np.ones(len(links), np.int64)])
+            for k, (*row, links) in enumerate(aligner.aligned_all(text.as_py() for text in texts)):
+                code, often = np.unique(links, return_counts=True)
                 rows.append(row)
                 codes.append(code)
                 times.append(often)

@@ -172,3 +172,34 @@ def test_links_are_suffixes(aligner):
     small_a, small_b = [b"ab", b"b", b"b", b"c"], [b"b", b"xb", b"zab", b"q"]
     brute = sum(x.endswith(y) or y.endswith(x) for x in small_a for y in small_b)
     assert ta.possible_pairs(small_a, small_b) == brute
+
+
+@pytest.mark.parametrize("long", [200, 255, 256, 70_000])
+def test_stops_of_long_tokens(long):
+    a = np.cumsum([1, long, 1, 1, *[long] * 100, 2, 3])
+    b = np.cumsum([1 + long, 2, *[long] * 100, 4, 1])
+    both = np.intersect1d(a, b, return_indices=True)
+    got = ta.common_stops(a, b)
+    assert (got[0] == both[1] + 1).all() and (got[1] == both[2] + 1).all() and len(got[0]) == 103
+
+
+@pytest.mark.parametrize("piece", [1, 50, 1000, ta.PIECE])
+def test_texts_together(plain, aligner, piece):
+    """Texts that are aligned together, among them some that are not given back, give what each gives by the definition."""
+    texts = [t for _, t in ODD if t is None or len(t) < 10_000] + ["a ▁ b", "It is a long one. " * 100, "▁", "", "end"]
+    cut = ta.Aligner(aligner.first, aligner.second, piece)
+    got = list(cut.aligned_all(iter(texts)))
+    assert len(got) == len(texts) and len({g[:4] for g in got}) > 10
+    m = len(aligner.second.entries)
+    for text, (*row, links) in zip(texts, got):
+        want = by_definition(plain, text)
+        assert tuple(row) == want[:4] and links.tolist() == [i * m + j for i, j in want[4]]
+
+
+def test_short_texts_share_a_search(aligner, monkeypatch):
+    """The cost beside the tokenisers is one of blocks of text, whatever the number of texts."""
+    calls, search = [], ta.common_stops
+    monkeypatch.setattr(ta, "common_stops", lambda a, b: calls.append(len(a)) or search(a, b))
+    rows = list(aligner.aligned_all(f"text number {k}, not a long one" for k in range(500)))
+    assert len(rows) == 500 and all(r[0] for r in rows)
+    assert calls == [sum(r[0] for r in rows)]
