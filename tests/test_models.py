@@ -342,6 +342,27 @@ def test_train_all_reports_failures(regression):
     assert run.metrics.first()["time"] > 0
 
 
+def test_trained_models_search_the_full_grids(spark, regression, monkeypatch):
+    """Every regressor is searched with its full grid on five folds, over all rows it is given."""
+    from panelkit.models import training
+    from panelkit.plans import catalog
+
+    train, test, spec, _ = regression
+    searched = {}
+
+    def spy(kind, rows, spec, grid, k, **options):
+        searched[kind] = (grid, k, rows.count())
+        found = grid_search("elastic_net", rows, spec, {"alpha": [0.1]}, k=2)
+        found.kind = kind
+        return found
+
+    monkeypatch.setattr(training, "grid_search", spy)
+    monkeypatch.setattr(catalog, "_split_customers", lambda *_: (train, test))
+    monkeypatch.setattr(catalog, "CY", spec)
+    assert catalog.QUERIES["trained_models"](spark, "").count() == 7
+    assert searched == {kind: (GRIDS[kind], 5, train.count()) for kind in NAMES}
+
+
 def test_neighbours_among_many_points_take_few_comparisons(spark, monkeypatch):
     """Imputed panels put many points on a few values: a query still meets few of them."""
     from panelkit.models import knn
