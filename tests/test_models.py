@@ -363,6 +363,91 @@ def test_trained_models_search_the_full_grids(spark, regression, monkeypatch):
     assert searched == {kind: (GRIDS[kind], 5, train.count()) for kind in NAMES}
 
 
+@pytest.mark.parametrize("kind, params", [
+    ("gradient_boosting", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.2, "min_samples_leaf": 20}),
+    ("mlp", {"hidden_layer_sizes": (8,), "max_iter": 25}),
+    ("svr", {"C": 10, "kernel": "rbf", "rounds": 3}),
+])
+def test_fits_inside_tasks_score_as_sparks_jobs(spark, monkeypatch, kind, params):
+    """Without random rows both ways give the same scores; neither fits a candidate twice."""
+    from panelkit.models import local, search
+
+    rng, n = np.random.default_rng(8), 900
+    pdf = pd.DataFrame({"entity": [f"e{i // 9}" for i in range(n)], "period": [i % 9 for i in range(n)],
+                        "a": rng.normal(size=n), "b": rng.normal(size=n).round(1), "c": rng.integers(0, 5, n)})
+    pdf["y"] = 5 + np.sin(pdf["a"]) + pdf["b"] * pdf["c"] + rng.normal(scale=0.3, size=n)
+    train, spec = spark.createDataFrame(pdf), PanelSpec(target="y", features=("a", "b", "c"))
+    fits = []
+    plain = search.fit_regressor
+    monkeypatch.setattr(search, "fit_regressor", lambda *a: fits.append(1) or plain(*a))
+    # gamma and the penalty of boosted leaves have no effect here
+    candidates = [{**params, "gamma": "scale", "reg_alpha": 0} if kind == "svr" else {**params, "reg_alpha": a} for a in (0, 1)]
+    inside = search.cross_validate(kind, train, spec, candidates, k=2, refit=False).scores
+    assert not fits
+    monkeypatch.setattr(local, "MOST_BYTES", 0)
+    jobs = search.cross_validate(kind, train, spec, candidates, k=2, refit=False).scores
+    assert len(fits) == 2 and [r[:2] for r in inside] == [r[:2] for r in jobs] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert np.allclose(np.array(inside, dtype=float), np.array(jobs, dtype=float), atol=1e-8)
+
+
+def test_full_grids_hold_fewer_fits():
+    from panelkit.models import local
+
+    def counted(features):
+        kinds = ("random_forest", "xgboost", "gradient_boosting", "svr", "mlp")
+        return {k: len(local.alike(k, expand_grid(GRIDS[k]), features)) for k in kinds}
+
+    assert counted(4) == {"random_forest": 48, "xgboost": 24, "gradient_boosting": 162, "svr": 24, "mlp": 48}
+    assert counted(5) == {"random_forest": 48, "xgboost": 48, "gradient_boosting": 162, "svr": 24, "mlp": 48}
+    same = local.alike("svr", expand_grid(GRIDS["svr"]), 4)
+    assert sorted(i for mine in same.values() for i in mine) == list(range(48))
+
+
+def test_trees_grown_together_are_those_grown_alone():
+    from panelkit.models import trees
+
+    rng = np.random.default_rng(0)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 4, 400), np.zeros(400)])
+    y, train = x[:, 0] * x[:, 1] + rng.normal(size=400) + 50, np.arange(400) % 4 > 0
+    cells = trees.Cells.build(x, y, train, 32)
+    shared = {"least": 2, "gain": 0.0, "subset": 2}
+    members = [(0, 3, 2), (1, 8, 2), (2, 3, 9), (3, 8, 9)]
+    together = sorted(trees.forest_scores(cells, shared, members, (1, 0)))
+    assert together == [trees.forest_scores(cells, shared, [m], (1, 0))[0] for m in members]
+    assert together[3][1] > together[1][1] > 0
+    shared = {"rate": 0.8, "depth": 3, "gain": 0.0, "subset": 3}
+    members = [(0, 4, 0.1, 1), (1, 9, 0.1, 1), (2, 9, 0.3, 1), (3, 9, 0.3, 5)]
+    together = sorted(trees.boosted_scores(cells, shared, members, (1, 0)))
+    alone = [trees.boosted_scores(cells, shared, [m], (1, 0))[0] for m in members]
+    assert np.allclose(np.array(together), np.array(alone)) and together[2][1] > together[0][1]
+
+    # cells stand for their rows: the scores are those of the rows
+    tree = trees.grow(cells, *(lambda n, t: (n, t[None]))(*cells.weighted(np.ones(300))), [3], 1, 0.0, 3, rng)[0][0]
+    row = np.empty(400)
+    row[train] = tree[cells.of]
+    error = ((y[train] - cells.mean - row[train]) ** 2).sum()
+    assert cells.scores(tree)[0] == pytest.approx(1 - error / (y[train].var() * 300))
+
+
+@pytest.mark.parametrize("n, decimals", [(20, 3), (500, 9), (5000, 1), (5000, 2)])
+def test_borders_of_bins(n, decimals):
+    """Quantile borders by the walk over the sorted values that Spark does."""
+    from panelkit.models import trees
+
+    values = np.random.default_rng(n).normal(size=n).round(decimals)
+    known, counts = np.unique(values, return_counts=True)
+    wanted, stride, upto = [], n / min(32, n), counts[0]
+    target = stride
+    for i in range(1, len(known)):
+        before, upto = upto, upto + counts[i]
+        if abs(before - target) < abs(upto - target):
+            wanted.append((known[i - 1] + known[i]) / 2)
+            target += stride
+    if len(known) <= min(32, n):
+        wanted = (known[1:] + known[:-1]) / 2
+    assert np.allclose(trees.thresholds(values, 32), wanted) and len(wanted) <= 31
+
+
 def test_neighbours_among_many_points_take_few_comparisons(spark, monkeypatch):
     """Imputed panels put many points on a few values: a query still meets few of them."""
     from panelkit.models import knn
