@@ -403,7 +403,7 @@ def test_full_grids_hold_fewer_fits():
     assert sorted(i for mine in same.values() for i in mine) == list(range(48))
 
 
-def test_trees_grown_together_are_those_grown_alone():
+def test_trees_grown_together_are_those_grown_alone(monkeypatch):
     from panelkit.models import trees
 
     rng = np.random.default_rng(0)
@@ -415,6 +415,8 @@ def test_trees_grown_together_are_those_grown_alone():
     together = sorted(trees.forest_scores(cells, shared, members, (1, 0)))
     assert together == [trees.forest_scores(cells, shared, [m], (1, 0))[0] for m in members]
     assert together[3][1] > together[1][1] > 0
+    monkeypatch.setattr(trees, "NODES", 3)
+    assert together == sorted(trees.forest_scores(cells, shared, members, (1, 0)))
     shared = {"rate": 0.8, "depth": 3, "gain": 0.0, "subset": 3}
     members = [(0, 4, 0.1, 1), (1, 9, 0.1, 1), (2, 9, 0.3, 1), (3, 9, 0.3, 5)]
     together = sorted(trees.boosted_scores(cells, shared, members, (1, 0)))
